@@ -50,8 +50,8 @@ CATEGORY_COLOURS = {
 OTHER_COLOUR = "#CCCCCC"
 
 # The patterns for numbers with units and for the observation time.
-NON_DIGITS = r"[^\d]"
-NON_NUMERIC = r"[^\d.-]"
+NON_DIGITS = r"[^\d]+"
+NON_NUMERIC = r"[^\d.-]+"
 OBSERVATION_TIME = r"(\d{1,2}[:.]\d{2},\s\w{3}\s\d{1,2})"
 
 

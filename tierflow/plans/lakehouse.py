@@ -10,7 +10,7 @@ from tierflow import schemas
 from tierflow.operators.merge import upsert
 from tierflow.plans import gold, silver
 from tierflow.sources import pages as pg, tables
-from tierflow.sources.tables import day_of, table_path
+from tierflow.sources.tables import month_of, table_path
 
 
 def load_raw(pages: DataFrame, base: str) -> dict[str, int]:
@@ -45,21 +45,21 @@ def refresh_silver(
     _merge(
         silver.silver_actual(raw, since=since), table_path(base, "silver", "aqi_index"),
         batch, full_refresh,
-        {"partitions": {"p_city": F.col("city"), "p_day": day_of("event_ts")},
+        {"partitions": {"p_city": F.col("city"), "p_month": month_of("event_ts")},
          "sort": ["event_ts"], "drop_null_keys": True},
     )
     raw = tables.scan(spark, table_path(base, "bronze", "raw_weather_forecast"), schemas.RAW_FORECAST)
-    # The day of observation changes from scrape to scrape, the city does not.
+    # The time of observation changes from scrape to scrape, the city does not.
     _merge(
         silver.silver_forecast(raw, since=since), table_path(base, "silver", "weather_forecast"),
         batch, full_refresh,
-        {"partitions": {"p_city": F.col("city"), "p_day": day_of("observation_ts")},
+        {"partitions": {"p_city": F.col("city"), "p_month": month_of("observation_ts")},
          "sort": ["observation_ts"], "scope": ["p_city"], "drop_null_keys": True},
     )
 
 
 def silver_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    kinds = {"p_city": "string", "p_day": "date"}
+    kinds = {"p_city": "string", "p_month": "string"}
     return (
         tables.scan_partitioned(
             spark, table_path(base, "silver", "aqi_index"), schemas.SILVER_ACTUAL, kinds

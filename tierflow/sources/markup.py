@@ -46,6 +46,10 @@ class Page(HTMLParser):
     def _shut(self, element):
         element.last, element.last_text = len(self.elements), len(self.texts)
 
+    def updatepos(self, i, j):
+        """Line numbers are not needed."""
+        return j
+
     def handle_starttag(self, tag, attrs):
         parent = self._open[-1] if self._open else None
         element = Element(tag, attrs, parent, len(self.elements), len(self.texts))

@@ -8,12 +8,18 @@ from pyspark.sql.streaming import StreamingQuery
 from tierflow import schemas
 from tierflow.operators.dedup import latest_by_key
 from tierflow.plans.silver import silver_actual
-from tierflow.sources.tables import day_of, upsert_table
+from tierflow.sources.tables import month_of, upsert_table
+
+
+PARTITION_TYPES = {"p_city": "string", "p_month": "string"}
 
 
 def actual_partitions():
-    """Partition columns of the actual table; both are functions of its key."""
-    return {"p_city": F.col("city"), "p_day": day_of("event_ts")}
+    """Partition columns of the actual table; both are functions of its key.
+
+    A city has at most one row per hour, so a month rather than a day makes a file.
+    """
+    return {"p_city": F.col("city"), "p_month": month_of("event_ts")}
 
 
 def _newest(stored: DataFrame | None, batch: DataFrame) -> DataFrame:

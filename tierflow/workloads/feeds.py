@@ -78,7 +78,10 @@ def _text(*parts):
 
 
 def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    # A page is far larger, and far more work, than the row it is made from. The narrow rows
+    # are spread before they grow.
+    slots = spark.sparkContext.defaultParallelism * 2
+    return table(spark, sf_dir, "events").repartition(slots, "event_id").select(
         F.concat(F.lit("region-"), (F.col("user_id") % 5).cast("string")).alias("province"),
         F.concat(F.lit("new-city-"), (F.col("user_id") % 20).cast("string")).alias("city"),
         F.col("ts").alias("fetched_ts"), "event_id", "event_type", "value",

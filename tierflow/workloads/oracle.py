@@ -195,6 +195,13 @@ _CELLS = f"""{_PAGE}, cells AS (SELECT pg.*, i, event_id % 7 = 0 AND i = 3 AS ba
  (SELECT *, lag(h) OVER (PARTITION BY event_id ORDER BY i) AS prev FROM cells WHERE NOT bad_hour))"""
 
 _SILVER_A = "SELECT id, province, city, event_ts, aqi_val, aqi_status, main_pollutant, pollutant_val, weather_condition, temp_val, humidity_val, wind_val, wind_dir, alert, scraped_ts FROM sa"
+def _plain(x):
+    """Text with its character references resolved."""
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&amp;", "&")):
+        x = f"replace({x}, '{name}', '{sign}')"
+    return x
+
+
 _HEADING = """CASE event_id % 7 WHEN 0 THEN 'Air quality near the city centre ' WHEN 1 THEN NULL
  WHEN 2 THEN 'Updated ' || clock ELSE 'Air quality • index • ' || clock || ' Local time ' END"""
 _CLOCK = "hour(ts) || CASE WHEN event_id % 2 = 0 THEN ':' ELSE '.' END || lpad(CAST(minute(ts) AS VARCHAR), 2, '0') || ', ' || strftime(ts, '%b %-d')"
@@ -223,7 +230,7 @@ SQL = {
     "silver_actual": f"WITH {SA} {_SILVER_A}",
     "full_refresh": f"WITH {SA} {_SILVER_A}",
     "stream_upsert": f"WITH {SA} {_SILVER_A}",
-    "partitioned_write": f"WITH {SA} SELECT *, city AS p_city, CAST(event_ts AS DATE) AS p_day FROM ({_SILVER_A})",
+    "partitioned_write": f"WITH {SA} SELECT *, city AS p_city, strftime(event_ts, '%Y-%m') AS p_month FROM ({_SILVER_A})",
     "silver_forecast": f"""WITH {SF} SELECT id, province, city, forecast_ts, observation_ts, aqi_val, weather_condition,
  temp_val, wind_val, humidity_val, scraped_ts FROM sf""",
     "silver_rejects": f"""WITH {SA} SELECT count(*) AS total_rows,
@@ -340,9 +347,9 @@ SQL = {
  FROM customer, range(1, 4) r(i)) SELECT p AS province_slug, c AS city_slug, {_title('p')} AS province, {_title('c')} AS city,
  'https://example.org/' || p || '/' || c AS url FROM l""",
     "topn_recent": f"WITH {SA} {_SILVER_A} WHERE event_ts IS NOT NULL ORDER BY event_ts DESC, city LIMIT 10",
-    "pages_extract": """SELECT page_id, url, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
- trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, 'Indonesia' AS country,
- trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), 'Air quality in ', '')) AS city_named FROM pages""",
+    "pages_extract": f"""SELECT page_id, url, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
+ trim({_plain("regexp_extract(html, '<title>([^<]*)</title>', 1)")}) AS title, 'Indonesia' AS country,
+ trim(replace({_plain("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}, 'Air quality in ', '')) AS city_named FROM pages""",
     "pages_extract_items": """SELECT page_id, CAST(i AS INTEGER) AS pos,
  regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)[i + 1] AS href,
  trim(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)[i + 1]) AS label
