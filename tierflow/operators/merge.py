@@ -8,10 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-class DuplicateKeyError(ValueError):
-    """Raised for arguments; duplicate keys in data fail the Spark job itself."""
-
-
 def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

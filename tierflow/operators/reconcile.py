@@ -4,29 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierflow.operators.dedup import latest_by_key
+from tierflow.operators.merge import spread_null_keys
 
-_KEYS = ["_entity", "_no_entity", "_time"]
+_SAFE_KEYS = ["_city", "_no_city", "_time"]
+_PLAIN_KEYS = ["_city", "_time"]
 
 
 def _prepared(
-    df: DataFrame, time: str, since: Column | None, keep: str | None
+    df: DataFrame, prefix: str, time: str, since: Column | None, keep: str | None
 ) -> DataFrame:
-    """Bound one input by its own time and reduce it to one row per entity and time.
+    """Bound one input by its own time and, unless it is keyed, keep one row per key.
 
-    The entity enters as a NULL-safe pair of columns, so that the window and the join use
-    the same partitioning.
+    In an unkeyed input the city enters as a NULL-safe pair of columns, so that the window
+    and the join use the same partitioning.
     """
-    kept = df.filter(F.col(time).isNotNull() if since is None else F.col(time) >= since)
-    kept = (
-        kept.withColumn("_entity", F.coalesce(F.col("city"), F.lit("")))
-        .withColumn("_no_entity", F.col("city").isNull())
-        .withColumnRenamed(time, "_time")
-        .drop("city")
-    )
-    return kept if keep is None else latest_by_key(kept, _KEYS, "scraped_ts", keep)
+    rows = df.filter(F.col(time).isNotNull() if since is None else F.col(time) >= since)
+    rows = rows.withColumnRenamed(time, "_time")
+    if keep is None:
+        rows, keys = rows.withColumnRenamed("city", "_city"), _PLAIN_KEYS
+    else:
+        keys = _SAFE_KEYS
+        rows = rows.withColumns(
+            {"_city": F.coalesce("city", F.lit("")), "_no_city": F.col("city").isNull()}
+        ).drop("city")
+        rows = latest_by_key(rows, keys, "scraped_ts", keep)
+    others = [F.col(c).alias(prefix + c) for c in rows.columns if c not in keys]
+    return rows.select(*keys, *others, F.lit(True).alias(prefix + "here"))
 
 
 def reconcile(
@@ -49,39 +55,43 @@ def reconcile(
       bound on the joined time would stay above a full outer join.
     * The choice between several scrapes of one (city, time) is made per input, ahead of
       the join, so many versions of one key never multiply into pairs. The join reuses
-      the partitioning of that step: one shuffle per input in all. ``unique_inputs``
-      leaves the step out for inputs that are keyed tables.
+      the partitioning of that step: one shuffle per input in all.
     * Rows without a city match nothing, but compete for one place per time.
+    * ``unique_inputs`` says that both inputs are keyed tables: one row per (city, time)
+      and no row without a city. The step ahead of the join is then left out.
     """
     if prefer not in ("forecast", "actual"):
         raise ValueError("prefer must be 'forecast' or 'actual'")
     choice = None if unique_inputs else keep
-    a = _prepared(actual, "event_ts", since, choice)
-    f = _prepared(forecast, "forecast_ts", since, choice)
-    a = a.select(*_KEYS, *[F.col(c).alias(f"a_{c}") for c in a.columns if c not in _KEYS], F.lit(True).alias("a_here"))
-    f = f.select(*_KEYS, *[F.col(c).alias(f"f_{c}") for c in f.columns if c not in _KEYS], F.lit(True).alias("f_here"))
-    joined = a.join(f, _KEYS, "full")
-
-    first, second = ("f", "a") if prefer == "forecast" else ("a", "f")
-    one, two = F.col(f"{first}_scraped_ts"), F.col(f"{second}_scraped_ts")
-    beaten = (two < one) if keep == "first" else (two > one)
-    beaten = F.coalesce(beaten, one.isNull() & two.isNotNull())
-    rivals = F.col("_no_entity") & F.col("a_here").isNotNull() & F.col("f_here").isNotNull()
-    hidden = {first: rivals & beaten, second: rivals & ~beaten}
-
-    def side(name: str, column: str) -> Column:
-        return F.when(~hidden[name], F.col(f"{name}_{column}"))
+    keys = _PLAIN_KEYS if unique_inputs else _SAFE_KEYS
+    a = _prepared(actual, "a_", "event_ts", since, choice)
+    f = _prepared(forecast, "f_", "forecast_ts", since, choice)
+    joined = a.join(f, keys, "full")
+
+    first, second = ("f_", "a_") if prefer == "forecast" else ("a_", "f_")
+    hidden = {}
+    if not unique_inputs:
+        one, two = F.col(first + "scraped_ts"), F.col(second + "scraped_ts")
+        beaten = (two < one) if keep == "first" else (two > one)
+        beaten = F.coalesce(beaten, one.isNull() & two.isNotNull())
+        rivals = F.col("_no_city") & F.col("a_here").isNotNull() & F.col("f_here").isNotNull()
+        hidden = {first: rivals & beaten, second: rivals & ~beaten}
+
+    def side(prefix: str, column: str) -> Column:
+        value = F.col(prefix + column)
+        return F.when(~hidden[prefix], value) if hidden else value
 
     def either(column: str) -> Column:
         return F.coalesce(side(first, column), side(second, column))
 
+    city = F.col("_city") if unique_inputs else F.when(~F.col("_no_city"), F.col("_city"))
     return joined.select(
-        F.coalesce(side("a", "province"), side("f", "province")).alias("province"),
-        F.when(~F.col("_no_entity"), F.col("_entity")).alias("city"),
+        F.coalesce(side("a_", "province"), side("f_", "province")).alias("province"),
+        city.alias("city"),
         F.col("_time").alias("event_ts"),
         *[either(column).alias(name) for name, column in shared.items()],
-        *[side("a", c).alias(c) for c in actual_only],
-        *[side("f", c).alias(c) for c in forecast_only],
+        *[side("a_", c).alias(c) for c in actual_only],
+        *[side("f_", c).alias(c) for c in forecast_only],
         either("scraped_ts").alias("scraped_ts"),
     )
 
@@ -92,8 +102,6 @@ def full_outer(actual: DataFrame, forecast: DataFrame) -> DataFrame:
     Output columns carry the prefixes ``act_`` and ``fc_``. Rows with a NULL key, which
     match nothing, are spread over the tasks.
     """
-    from tierflow.operators.merge import spread_null_keys
-
     a = spread_null_keys(actual, ["city", "event_ts"], "spread")
     f = spread_null_keys(forecast, ["city", "forecast_ts"], "spread")
     a = a.select(*[F.col(c).alias(f"act_{c}") for c in a.columns])
