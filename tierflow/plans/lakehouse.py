@@ -109,7 +109,7 @@ def refresh_gold(
 
 
 def fact_table(spark: SparkSession, base: str) -> DataFrame:
-    kinds = {"p_city_id": "string", "p_month": "int"}
+    kinds = {"p_city_id": "string", "p_month": "integer"}
     return tables.scan_partitioned(
         spark, table_path(base, "gold", "fact_aqi_weather"), schemas.FACT, kinds
     ).drop(*kinds)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tierflow.operators.merge import upsert
 
@@ -92,9 +92,20 @@ def laid_out(df: DataFrame, partitions: Mapping[str, Column], sort: Sequence[str
     """
     names = list(partitions)
     df = df.withColumns(dict(partitions))
+    # A nullable text would be rewritten by the writer, which then sorts by the partition
+    # columns alone. Empty texts and NULL share a directory anyway.
+    texts = [f.name for f in df.schema if f.name in partitions and f.dataType == StringType()]
+    df = df.withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
     return df.hint("rebalance", *names).sortWithinPartitions(*names, *sort)
 
 
+def _with_partitions(df: DataFrame, partitions: Mapping[str, Column]) -> DataFrame:
+    """The partition columns as a reader of the table sees them: an empty text is NULL."""
+    df = df.withColumns(dict(partitions))
+    texts = [f.name for f in df.schema if f.name in partitions and f.dataType == StringType()]
+    return df.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in texts})
+
+
 def write_partitioned(
     df: DataFrame, path: str, partitions: Mapping[str, Column], sort: Sequence[str],
     mode: str = "overwrite",
@@ -135,10 +146,13 @@ def land_csv(df: DataFrame, folder: str, label: str, stamp: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a landing. Texts may contain line breaks, files are of bounded size."""
+    """Read a landing. Texts may contain line breaks, files are of bounded size.
+
+    A null marker that cannot occur keeps quoted empty texts apart from absent values.
+    """
     return (
         spark.read.schema(schema).option("header", True).option("escape", '"')
-        .option("multiLine", True).csv(path)
+        .option("nullValue", "\u0000").option("multiLine", True).csv(path)
     )
 
 
@@ -231,8 +245,7 @@ def upsert_table(
     if not exists(spark, f"{stage}/_SUCCESS"):
         if exists(spark, path):
             table = spark.read.schema(staged_schema).parquet(path)
-            marked = source.withColumns(dict(partitions))
-            near = _touched(table, marked, scope, touched_limit)
+            near = _touched(table, _with_partitions(source, partitions), scope, touched_limit)
             merged = combine(near.select(*source.columns), source)
         else:
             merged = combine(None, source)
@@ -250,7 +263,7 @@ def _empty_left_partitions(
     """Delete partition directories of the scope in which no merged row lies any more."""
     names = list(partitions)
     table = spark.read.schema(schema).parquet(path)
-    new = merged.withColumns(dict(partitions))
+    new = _with_partitions(merged, partitions)
     kept = new.select(*names).distinct()
     near = _touched(table, new, scope, limit).withColumn("_file", F.col("_metadata.file_path"))
     kept = kept.select(*[F.col(n).alias(f"_k_{n}") for n in names])
