@@ -117,6 +117,11 @@ def test_upsert_without_target_and_composite_key(spark, rows):
     assert rows(got) == [("b", 2, "tb", 5), ("b", 20, "sb", 4)]
 
 
+def test_upsert_shuffles_each_side_once(spark):
+    plan = upsert(*tables(spark), "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_upsert_rejects_duplicate_source_keys(spark):
     target, _ = tables(spark)
     source = spark.createDataFrame([("x", 1, "", 1), ("x", 2, "", 1)], SCHEMA)

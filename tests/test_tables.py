@@ -126,15 +126,22 @@ def test_upsert_table_rewrites_touched_partitions_only(spark, path, rows):
 
 @pytest.mark.parametrize("limit", [2000, 1])
 def test_upsert_table_moves_rows_between_partitions(spark, path, rows, limit):
-    first = frame(spark, ("1", "a", AT, 1), ("2", "a b", AT, 2), ("3", "c", AT, 3))
+    later, other = datetime(2026, 3, 12), datetime(2026, 3, 11)
+    first = frame(
+        spark, ("1", "a", AT, 1), ("2", "a b", AT, 2), ("3", "c", AT, 3), ("5", "a", other, 5), ("6", "a b", AT, 6)
+    )
     options = {"scope": ["p_city"], "touched_limit": limit}
     tables.upsert_table(first, path, "id", parts(), ["at"], "0", **options)
-    later = datetime(2026, 3, 12)
+    before = set(spark.read.parquet(path).inputFiles())
     tables.upsert_table(
         frame(spark, ("1", "a", later, 9), ("2", "a b", later, 8)), path, "id", parts(), ["at"], "1", **options
     )
     got = tables.scan_partitioned(spark, path, KIND, PART_TYPES)
-    assert rows(got, "id", "at", "v") == [("1", later, 9), ("2", later, 8), ("3", AT, 3)]
+    assert rows(got, "id", "at", "v") == [
+        ("1", later, 9), ("2", later, 8), ("3", AT, 3), ("5", other, 5), ("6", AT, 6)
+    ]
+    # Neither the other city nor the day of the same city without a moved row is rewritten.
+    assert len(before & set(spark.read.parquet(path).inputFiles())) == 2
 
 
 def test_a_staged_batch_is_published_again(spark, path, rows):

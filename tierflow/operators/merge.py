@@ -60,7 +60,10 @@ def upsert(
     if drop_null_keys:
         source = source.dropna(subset=keys)
     if target is None:
-        return unique_or_fail(source, keys) if check_unique else source
+        if not check_unique:
+            return source
+        spread = spread_null_keys(source, keys, "_spread")
+        return unique_or_fail(spread, keys, "_spread").drop("_spread")
     if set(target.columns) != set(source.columns):
         raise ValueError(
             f"columns differ: target {sorted(target.columns)}, source {sorted(source.columns)}"

@@ -15,7 +15,8 @@ def day_offsets(
     """Days passed since the start of each group: one more whenever the hour falls.
 
     Rows without an hour must have been removed. ``order`` is unique within a group and
-    ``chunk`` is any non-decreasing function of it, for example the calendar day.
+    ``chunk`` is any non-decreasing function of it, for example the minute; it should be
+    fine enough for the rows of the largest group in one chunk to suit one task.
 
     A group may hold a large share of all rows, so it is never walked through in one
     task: falls are counted inside (group, chunk), each chunk is summed up in one row,

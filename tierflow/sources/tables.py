@@ -225,8 +225,9 @@ def upsert_table(
     steps publishes the staged rows again instead of merging into a half-written table.
 
     The partition columns have to be functions of the key. If rows can move between
-    partitions, name in ``scope`` the partition columns that cannot: the merge then reads
-    and rewrites all partitions with the same scope values.
+    partitions, name in ``scope`` the partition columns that cannot change. The keys of all
+    partitions with the same scope values are then searched for the batch's keys, and the
+    partitions that hold one are rewritten too.
 
     ``combine`` makes the merged rows of the stored ones (None at first) and the batch; it
     is an upsert by ``key`` with the given options unless stated.
@@ -244,34 +245,48 @@ def upsert_table(
 
     if not exists(spark, f"{stage}/_SUCCESS"):
         if exists(spark, path):
+            incoming = f"{stage}-rows"
+            if not exists(spark, f"{incoming}/_SUCCESS"):
+                source.write.mode("overwrite").parquet(incoming)
+            source = spark.read.schema(source.schema).parquet(incoming)
             table = spark.read.schema(staged_schema).parquet(path)
-            near = _touched(table, _with_partitions(source, partitions), scope, touched_limit)
+            wanted = _with_partitions(source, partitions).select(*names)
+            if moving:
+                wanted = wanted.unionByName(
+                    _holding(table, source, key, partitions, scope, touched_limit).select(*names)
+                )
+            near = _touched(table, wanted, names, touched_limit)
             merged = combine(near.select(*source.columns), source)
         else:
             merged = combine(None, source)
         merged.write.mode("overwrite").parquet(stage)
     merged = spark.read.schema(source.schema).parquet(stage)
     if moving and exists(spark, path):
-        _empty_left_partitions(spark, path, staged_schema, merged, partitions, scope, touched_limit)
+        table = spark.read.schema(staged_schema).parquet(path)
+        _drop_left_partitions(table, merged, key, partitions, scope, touched_limit)
     write_partitioned(merged, path, partitions, sort)
     drop_table(spark, stage)
+    drop_table(spark, f"{stage}-rows")
 
 
-def _empty_left_partitions(
-    spark, path, schema, merged, partitions, scope, limit
-) -> None:
-    """Delete partition directories of the scope in which no merged row lies any more."""
+def _holding(table, batch, key, partitions, scope, limit) -> DataFrame:
+    """Rows of the table, within the batch's scope, whose key occurs in the batch."""
+    keys = [key] if isinstance(key, str) else list(key)
+    near = _touched(table, _with_partitions(batch, partitions), scope, limit)
+    return near.join(batch.select(*keys), keys, "left_semi")
+
+
+def _drop_left_partitions(table, merged, key, partitions, scope, limit) -> None:
+    """Delete the partitions whose rows have all moved into others."""
+    spark = table.sparkSession
     names = list(partitions)
-    table = spark.read.schema(schema).parquet(path)
-    new = _with_partitions(merged, partitions)
-    kept = new.select(*names).distinct()
-    near = _touched(table, new, scope, limit).withColumn("_file", F.col("_metadata.file_path"))
-    kept = kept.select(*[F.col(n).alias(f"_k_{n}") for n in names])
+    folder = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
+    held = _holding(table.withColumn("_folder", folder), merged, key, partitions, scope, limit)
+    kept = _with_partitions(merged, partitions).select(*names).distinct().toDF(*[f"_k_{n}" for n in names])
     match = [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names]
-    folder = F.regexp_replace("_file", r"/[^/]*$", "")
-    gone = near.join(kept, match, "left_anti").select(folder.alias("folder")).distinct()
+    left = held.join(kept, match, "left_anti").select("_folder").distinct()
     jvm = spark.sparkContext._jvm
-    for row in gone.toLocalIterator():
+    for row in left.toLocalIterator():
         # File paths are URIs, in which special characters are encoded.
-        folder_path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(row["folder"]))
-        drop_table(spark, folder_path.toString())
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(row["_folder"]))
+        drop_table(spark, path.toString())

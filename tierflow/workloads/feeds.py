@@ -1,4 +1,4 @@
-"""Raw feeds and stored pages derived from the ``events`` table."""
+"""Raw feeds derived from ``events`` and stored pages derived from ``customer``."""
 
 from __future__ import annotations
 
@@ -78,21 +78,26 @@ def _text(*parts):
 
 
 def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer to make a page of, fetched 37 minutes after the one before."""
     # A page is far larger, and far more work, than the row it is made from. The narrow rows
     # are spread before they grow.
     slots = spark.sparkContext.defaultParallelism * 2
-    return table(spark, sf_dir, "events").repartition(slots, "event_id").select(
-        F.concat(F.lit("region-"), (F.col("user_id") % 5).cast("string")).alias("province"),
-        F.concat(F.lit("new-city-"), (F.col("user_id") % 20).cast("string")).alias("city"),
-        F.col("ts").alias("fetched_ts"), "event_id", "event_type", "value",
+    rows = table(spark, sf_dir, "customer").repartition(slots, "c_custkey")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    rows = rows.withColumn("ts", F.timestamp_add("MINUTE", F.col("c_custkey") * 37, start))
+    return rows.select(
+        F.concat(F.lit("region-"), (F.col("c_nationkey") % 5).cast("string")).alias("province"),
+        F.concat(F.lit("new-city-"), F.col("c_nationkey").cast("string")).alias("city"),
+        F.col("ts").alias("fetched_ts"), F.col("c_custkey").alias("number"),
+        F.lower("c_mktsegment").alias("status"), F.abs("c_acctbal").alias("value"),
         _hour_text().alias("hour_text"),
     )
 
 
 def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page with a current observation per event; every fifth one lacks its card."""
+    """One page with a current observation per customer; every fifth one lacks its card."""
     angle = F.floor(F.col("value") * 7).cast("int") % 360
-    code = F.lpad((F.col("event_id") % 14).cast("string"), 2, "0")
+    code = F.lpad((F.col("number") % 14).cast("string"), 2, "0")
     card = _text(
         '<div class="p-4 bg-white rounded"><div><img alt="weather condition icon" src="/icons/weather-',
         code, 'd.svg"><p>', F.col("value"), '°</p><p>', F.floor("value").cast("int"),
@@ -102,19 +107,19 @@ def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = _text(
         "<!DOCTYPE html><html><head><script>var p='<p class=\"truncate\">x</p>';</script></head><body>",
         '<div><p class="text-sm truncate">',
-        F.when(F.col("event_id") % 3 == 0, "Now").otherwise(_text("Alert &amp; ", F.col("event_type"))),
+        F.when(F.col("number") % 3 == 0, "Now").otherwise(_text("Alert &amp; ", F.col("status"))),
         '</p></div><div class="card aqi-bg-yellow"><p class="text-lg font-medium"> ',
-        F.floor("value").cast("int"), '* </p><p class="font-body-l-medium">', F.col("event_type"),
+        F.floor("value").cast("int"), '* </p><p class="font-body-l-medium">', F.col("status"),
         '</p></div><div class="font-body-m-medium"><p>Main pollutant</p><p>PM2.5</p><p>',
         F.col("value"), '&nbsp;µg/m³</p></div>',
-        F.when(F.col("event_id") % 5 == 0, "").otherwise(card),
+        F.when(F.col("number") % 5 == 0, "").otherwise(card),
         '<h2>Air quality • ', F.col("hour_text"), ' Local time</h2></body></html>',
     )
     return _page_base(spark, sf_dir).withColumn("html", html)
 
 
 def forecast_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per event with a table of six cells, some of which cannot be read.
+    """One page per customer with a table of six cells, some of which cannot be read.
 
     Cell i shows the hour i * 5 hours after the scrape; cell 0 says ``Now``. Cell 3 has no
     readable hour on every seventh page, and cell 2 a metric without value on every ninth.
@@ -122,16 +127,16 @@ def forecast_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = F.hour("fetched_ts")
 
     def cell(i):
-        broken_hour = (F.col("event_id") % 7 == 0) & (i == 3)
+        broken_hour = (F.col("number") % 7 == 0) & (i == 3)
         clock = (
             F.when(i == 0, "Now").when(broken_hour, "--")
             .otherwise(_text(F.lpad(((hour + i * 5) % 24).cast("string"), 2, "0"), ":00"))
         )
-        broken_metric = (F.col("event_id") % 9 == 0) & (i == 2)
+        broken_metric = (F.col("number") % 9 == 0) & (i == 2)
         metric = F.when(broken_metric, "<b>?</b>").otherwise(
             _text('<p class="font-medium">', F.col("value"), ' km/h</p>')
         )
-        code = F.lpad(((F.col("event_id") + i) % 14).cast("string"), 2, "0")
+        code = F.lpad(((F.col("number") + i) % 14).cast("string"), 2, "0")
         return _text(
             '<td><p class="max-w-12"> ', clock, ' </p><img src="/img/ic-w-', code, 'd.svg">',
             '<div class="aqi-bg-green w-8">', F.floor("value").cast("int") + i,

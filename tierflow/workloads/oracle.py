@@ -185,14 +185,15 @@ _IS_T = "contains(x, '°')"
 _IS_W = "NOT contains(x, '°') AND contains(x, 'km/h')"
 _IS_H = "NOT contains(x, '°') AND NOT contains(x, 'km/h') AND contains(x, '%')"
 
-_PAGE = """pg AS (SELECT *, 'Region ' || (user_id % 5) AS province_t, 'New City ' || (user_id % 20) AS city_t,
- strftime(date_trunc('hour', ts), '%H:%M, %b %d') AS hour_text,
- strftime(ts, '%Y-%m-%d %H:%M:%S') AS scraped FROM events)"""
+_PAGE = """pg AS (SELECT *, 'Region ' || (nation % 5) AS province_t, 'New City ' || nation AS city_t,
+ strftime(date_trunc('hour', ts), '%H:%M, %b %d') AS hour_text, strftime(ts, '%Y-%m-%d %H:%M:%S') AS scraped
+ FROM (SELECT c_custkey AS number, c_nationkey AS nation, lower(c_mktsegment) AS status, abs(c_acctbal) AS value,
+ TIMESTAMP '2024-01-01' + to_minutes(c_custkey * 37) AS ts FROM customer))"""
 
-_CELLS = f"""{_PAGE}, cells AS (SELECT pg.*, i, event_id % 7 = 0 AND i = 3 AS bad_hour, event_id % 9 = 0 AND i = 2 AS bad_metric,
+_CELLS = f"""{_PAGE}, cells AS (SELECT pg.*, i, number % 7 = 0 AND i = 3 AS bad_hour, number % 9 = 0 AND i = 2 AS bad_metric,
  CASE WHEN i = 0 THEN hour(ts) ELSE (hour(ts) + i * 5) % 24 END AS h FROM pg, range(6) r(i)),
- dated AS (SELECT *, sum(CASE WHEN h < prev THEN 1 ELSE 0 END) OVER (PARTITION BY event_id ORDER BY i) AS day_offset FROM
- (SELECT *, lag(h) OVER (PARTITION BY event_id ORDER BY i) AS prev FROM cells WHERE NOT bad_hour))"""
+ dated AS (SELECT *, sum(CASE WHEN h < prev THEN 1 ELSE 0 END) OVER (PARTITION BY number ORDER BY i) AS day_offset FROM
+ (SELECT *, lag(h) OVER (PARTITION BY number ORDER BY i) AS prev FROM cells WHERE NOT bad_hour))"""
 
 _SILVER_A = "SELECT id, province, city, event_ts, aqi_val, aqi_status, main_pollutant, pollutant_val, weather_condition, temp_val, humidity_val, wind_val, wind_dir, alert, scraped_ts FROM sa"
 def _plain(x):
@@ -355,22 +356,22 @@ SQL = {
  trim(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)[i + 1]) AS label
  FROM pages, LATERAL (SELECT unnest(range(len(regexp_extract_all(html, '<li>')))) AS i)""",
     "current_extract": f"""WITH {_PAGE} SELECT province_t AS province, city_t AS city,
- CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) || '*' AS aqi, event_type AS aqi_status, 'PM2.5' AS main_pollutant,
+ CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) || '*' AS aqi, status AS aqi_status, 'PM2.5' AS main_pollutant,
  CAST(value AS VARCHAR) || ' µg/m³' AS concentration,
- CASE WHEN event_id % 5 = 0 THEN 'N/A' ELSE {_label("lpad(CAST(event_id % 14 AS VARCHAR), 2, '0')", "'Unknown (' || lpad(CAST(event_id % 14 AS VARCHAR), 2, '0') || ')'")} END AS weather,
- CASE WHEN event_id % 5 = 0 THEN 'N/A' ELSE CAST(value AS VARCHAR) || '°' END AS temperature,
- CASE WHEN event_id % 5 = 0 THEN 'N/A' ELSE CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) || '%' END AS humidity,
- CASE WHEN event_id % 5 = 0 THEN 'N/A' ELSE CAST(value AS VARCHAR) || ' km/h' END AS wind_speed,
- CASE WHEN event_id % 5 = 0 THEN 'N/A' ELSE {_compass('CAST(floor(value * 7) AS INTEGER) % 360')} END AS wind_direction,
- CASE WHEN event_id % 3 = 0 THEN 'No Alert' ELSE 'Alert & ' || event_type END AS alert,
+ CASE WHEN number % 5 = 0 THEN 'N/A' ELSE {_label("lpad(CAST(number % 14 AS VARCHAR), 2, '0')", "'Unknown (' || lpad(CAST(number % 14 AS VARCHAR), 2, '0') || ')'")} END AS weather,
+ CASE WHEN number % 5 = 0 THEN 'N/A' ELSE CAST(value AS VARCHAR) || '°' END AS temperature,
+ CASE WHEN number % 5 = 0 THEN 'N/A' ELSE CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) || '%' END AS humidity,
+ CASE WHEN number % 5 = 0 THEN 'N/A' ELSE CAST(value AS VARCHAR) || ' km/h' END AS wind_speed,
+ CASE WHEN number % 5 = 0 THEN 'N/A' ELSE {_compass('CAST(floor(value * 7) AS INTEGER) % 360')} END AS wind_direction,
+ CASE WHEN number % 3 = 0 THEN 'No Alert' ELSE 'Alert & ' || status END AS alert,
  hour_text AS observation_ts, scraped AS scraped_ts FROM pg""",
     "forecast_extract": f"""WITH {_CELLS} SELECT province_t AS province, city_t AS city,
  strftime(CAST(ts AS DATE) + CAST(day_offset AS INTEGER), '%Y-%m-%d') || ' ' || lpad(CAST(h AS VARCHAR), 2, '0') || ':00:00' AS forecast_ts,
  CAST(CAST(floor(value) AS INTEGER) + i AS VARCHAR) AS aqi,
- {_label("lpad(CAST((event_id + i) % 14 AS VARCHAR), 2, '0')", "'Code ' || lpad(CAST((event_id + i) % 14 AS VARCHAR), 2, '0')")} AS weather,
+ {_label("lpad(CAST((number + i) % 14 AS VARCHAR), 2, '0')", "'Code ' || lpad(CAST((number + i) % 14 AS VARCHAR), 2, '0')")} AS weather,
  CAST(value AS VARCHAR) || '°' AS temperature, CAST(value AS VARCHAR) || ' km/h' AS wind_speed, (i * 10) || '%' AS humidity,
  hour_text AS observation_ts, scraped AS scraped_ts FROM dated WHERE NOT bad_metric""",
-    "forecast_quarantine": f"""WITH {_CELLS} SELECT 'new-city-' || (user_id % 20) AS city, ts AS fetched_ts, CAST(i AS INTEGER) AS pos,
+    "forecast_quarantine": f"""WITH {_CELLS} SELECT 'new-city-' || nation AS city, ts AS fetched_ts, CAST(i AS INTEGER) AS pos,
  CASE WHEN bad_hour THEN '--' ELSE lpad(CAST(h AS VARCHAR), 2, '0') || ':00' END AS clock,
  CASE WHEN bad_hour THEN 'unreadable hour' ELSE 'metric without a value' END AS error FROM cells WHERE bad_hour OR bad_metric""",
     "bronze_append_evolve": f"""WITH {FA} SELECT *, count(*) OVER () AS rows_added FROM fa
