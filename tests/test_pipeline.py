@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tierflow import schemas
 from tierflow.functions import times
+from tierflow.operators.merge import upsert
 from tierflow.plans import gold, lakehouse, silver
 from tierflow.sources import tables
 from tierflow.sources.tables import table_path
@@ -79,6 +80,12 @@ def test_two_runs_from_pages_to_star(spark, base, rows):
     broken = gold.star_integrity(fact, dims["dim_city"], dims["dim_aqi"], dims["dim_date"]).filter("orphan_rows > 0")
     assert rows(broken) == []
 
+    assert "gold_dim_date" in lakehouse.register_views(spark, base)
+    joined = spark.sql("""
+        SELECT c.city, count(*) AS n FROM gold_fact_aqi_weather f JOIN gold_dim_city c ON f.city_id = c.id
+        JOIN gold_dim_date d ON f.date_id = d.id WHERE d.day_name = 'Tuesday' GROUP BY c.city""")
+    assert rows(joined) == [("bogor", 2), ("depok", 4)]
+
     before = rows(fact)
     run(spark, base, 2, stored(spark, *[]))
     assert rows(snapshot(spark, base)[0]) == before
@@ -149,3 +156,21 @@ def test_look_back_leaves_out_old_scrapes(spark, base):
     raw.write.parquet(f"{base}/landing")
     stream_actual(spark, f"{base}/landing", f"{base}/t", f"{base}/c", look_back="2024-01-20").awaitTermination()
     assert spark.read.parquet(f"{base}/t").agg(F.min("scraped_ts")).first()[0] >= datetime(2024, 1, 20)
+
+
+def test_older_merges_leave_their_columns(spark, rows):
+    actual = silver.silver_actual(feeds.raw_actual(spark, SF)).limit(50)
+    changed = actual.withColumns({"scraped_ts": F.lit(datetime(2030, 1, 1)).cast("timestamp_ntz"), "wind_val": F.lit(-1.0)})
+    got = upsert(actual, changed, "id", update_cols=silver.ACTUAL_UPDATES)
+    assert rows(got.drop("wind_val")) == rows(actual.drop("wind_val"))
+    assert {r.wind_val for r in got.collect()} == {-1.0}
+    assert not {"id", "province", "city"} & set(silver.FORECAST_UPDATES)
+    assert "observation_ts" not in gold.FACT_LOOKUP_UPDATES
+
+
+def test_overlapping_categories_cannot_be_merged(spark):
+    actual, forecast = silver.silver_actual(feeds.raw_actual(spark, SF)), silver.silver_forecast(feeds.raw_forecast(spark, SF))
+    stamp = times.local_stamp("2026-03-10 00:00:00")
+    rows = gold.fact_with_lookups(actual, forecast, gold.dim_city(actual, stamp), gold.dim_category(actual, stamp))
+    with pytest.raises(Exception, match="duplicate source key"):
+        upsert(rows.limit(0), rows, "fact_id", update_cols=gold.FACT_LOOKUP_UPDATES).collect()

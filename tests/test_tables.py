@@ -9,7 +9,7 @@ from tierflow import schemas
 from tierflow.operators.merge import upsert
 from tierflow.session import scratch_path, shared_dir
 from tierflow.sources import tables
-from tierflow.sources.targets import target_list
+from tierflow.sources.targets import locations_from_config, target_list
 
 KIND = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("city", T.StringType()),
@@ -88,9 +88,9 @@ def test_files_are_sorted(spark, path):
         assert group.sort_values("n")["at"].is_monotonic_increasing
 
 
-def test_month_partition(spark):
-    df = frame(spark, ("1", "a", AT, 1)).select(tables.month_of("at"))
-    assert df.first()[0] == "2026-03"
+def test_partition_columns(spark):
+    df = frame(spark, ("1", "a", AT, 1)).select(tables.day_of("at"), tables.month_of("at"), tables.year_of("at"))
+    assert tuple(df.first()) == (date(2026, 3, 10), "2026-03", 2026)
 
 
 def test_csv_keeps_awkward_text(spark, path, rows):
@@ -159,7 +159,10 @@ def test_table_path():
 
 
 def test_target_list(spark, rows):
-    locations = spark.createDataFrame([("west-java", ["bandung", "depok"]), ("jakarta", ["jakarta"]), ("none", [])], schemas.LOCATIONS)
+    locations = locations_from_config(spark, [
+        {"province": "west-java", "cities": ["bandung", "depok"]}, {"province": "jakarta", "cities": ["jakarta"]},
+        {"province": "none", "cities": None},
+    ])
     assert rows(target_list(locations, "https://example.org/%s/%s"), "province", "city", "url") == [
         ("Jakarta", "Jakarta", "https://example.org/jakarta/jakarta"),
         ("West Java", "Bandung", "https://example.org/west-java/bandung"),

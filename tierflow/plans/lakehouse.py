@@ -113,3 +113,26 @@ def fact_table(spark: SparkSession, base: str) -> DataFrame:
     return tables.scan_partitioned(
         spark, table_path(base, "gold", "fact_aqi_weather"), schemas.FACT, kinds
     ).drop(*kinds)
+
+
+def register_views(spark: SparkSession, base: str) -> list[str]:
+    """Make the tables known to ``spark.sql`` as views named ``layer_table``."""
+    actual, forecast = silver_tables(spark, base)
+    views = {
+        "bronze_raw_aqi_index": tables.scan(
+            spark, table_path(base, "bronze", "raw_aqi_index"), schemas.RAW_ACTUAL
+        ),
+        "bronze_raw_weather_forecast": tables.scan(
+            spark, table_path(base, "bronze", "raw_weather_forecast"), schemas.RAW_FORECAST
+        ),
+        "silver_aqi_index": actual,
+        "silver_weather_forecast": forecast,
+        "gold_fact_aqi_weather": fact_table(spark, base),
+    }
+    for name in ("dim_city", "dim_aqi", "dim_date"):
+        latest = tables.latest_version(spark, table_path(base, "gold", name))
+        if latest is not None:
+            views[f"gold_{name}"] = spark.read.parquet(latest)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

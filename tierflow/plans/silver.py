@@ -135,3 +135,4 @@ ACTUAL_UPDATES = [
     c for c in schemas.SILVER_ACTUAL.names if c not in ("id", "province", "city", "event_ts", "scraped_ts")
 ]
 FORECAST_UPDATES = [c for c in schemas.SILVER_FORECAST.names if c not in ("id", "province", "city")]
+FORECAST_VALUE_UPDATES = ["aqi_val", "weather_condition", "temp_val", "wind_val", "humidity_val"]

@@ -84,6 +84,10 @@ def month_of(column: str) -> Column:
     return F.substring(F.col(column).cast("string"), 1, 7)
 
 
+def year_of(column: str) -> Column:
+    return F.year(F.col(column))
+
+
 def laid_out(df: DataFrame, partitions: Mapping[str, Column], sort: Sequence[str]) -> DataFrame:
     """Arrange rows for a partitioned, sorted write.
 

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierflow.functions.text import slug_to_title
+from tierflow.schemas import LOCATIONS
+
+
+def locations_from_config(spark: SparkSession, locations: Sequence[Mapping]) -> DataFrame:
+    """The nested relation of a loaded configuration: dicts of a province and its cities."""
+    rows = [(entry["province"], list(entry["cities"] or ())) for entry in locations]
+    return spark.createDataFrame(rows, LOCATIONS)
 
 
 def target_list(locations: DataFrame, url_pattern: str) -> DataFrame:

@@ -36,15 +36,15 @@ def _forecast(spark, sf):
     return silver.silver_forecast(feeds.raw_forecast(spark, sf))
 
 
-def _stored(spark, sf):
-    """Both typed tables, stored once for queries that read them several times."""
-    base = scratch_path(spark, "silver")
-    for name, rows in (("a", _actual(spark, sf)), ("f", _forecast(spark, sf))):
-        rows.write.parquet(f"{base}/{name}")
-    return (
-        tables.scan(spark, f"{base}/a", schemas.SILVER_ACTUAL),
-        tables.scan(spark, f"{base}/f", schemas.SILVER_FORECAST),
-    )
+def _stored(rows: DataFrame) -> DataFrame:
+    """A table written once: the state of an earlier run, or rows that are read several times."""
+    path = scratch_path(rows.sparkSession, "table")
+    rows.write.parquet(path)
+    return tables.scan(rows.sparkSession, path, rows.schema)
+
+
+def _stored_silver(spark, sf):
+    return _stored(_actual(spark, sf)), _stored(_forecast(spark, sf))
 
 
 def silver_actual(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,16 +76,16 @@ def fact_reconciled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _prior_fact(actual, forecast):
-    return gold.fact_rows(actual.filter(PRIOR), forecast.filter(PRIOR))
+    return _stored(gold.fact_rows(actual.filter(PRIOR), forecast.filter(PRIOR)))
 
 
 def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored(spark, sf)
+    actual, forecast = _stored_silver(spark, sf)
     return gold.fact_rows(actual, forecast, _prior_fact(actual, forecast))
 
 
 def fact_merged(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored(spark, sf)
+    actual, forecast = _stored_silver(spark, sf)
     return gold.fact_merged(actual, forecast, _prior_fact(actual, forecast))
 
 
@@ -102,9 +102,9 @@ def dim_city(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_city_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _actual(spark, sf)
+    rows = _stored(_actual(spark, sf))
     early = rows.filter("scraped_ts < timestamp_ntz '2024-01-01 01:00:00'")
-    state = gold.dim_city(early, times.local_stamp(FIRST_RUN_AT))
+    state = _stored(gold.dim_city(early, times.local_stamp(FIRST_RUN_AT)))
     return upsert(state, gold.dim_city(rows, times.local_stamp(SECOND_RUN_AT), state), "id")
 
 
@@ -113,9 +113,9 @@ def dim_category(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_category_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _actual(spark, sf)
+    rows = _stored(_actual(spark, sf))
     early = rows.filter(PRIOR).filter(F.col("aqi_status") != "view")
-    state = gold.dim_category(early, times.local_stamp(FIRST_RUN_AT))
+    state = _stored(gold.dim_category(early, times.local_stamp(FIRST_RUN_AT)))
     return upsert(state, gold.dim_category(rows, times.local_stamp(SECOND_RUN_AT), state), "id")
 
 
@@ -124,8 +124,8 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_date_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored(spark, sf)
-    state = gold.dim_date(actual.filter(PRIOR), forecast.filter(PRIOR), times.local_stamp(FIRST_RUN_AT))
+    actual, forecast = _stored_silver(spark, sf)
+    state = _stored(gold.dim_date(actual.filter(PRIOR), forecast.filter(PRIOR), times.local_stamp(FIRST_RUN_AT)))
     rows = gold.dim_date(actual, forecast, times.local_stamp(SECOND_RUN_AT), state)
     return upsert(state, rows, "id")
 
@@ -210,7 +210,7 @@ def range_lookup_many(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_with_lookups(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored(spark, sf)
+    actual, forecast = _stored_silver(spark, sf)
     stamp = times.local_stamp(FIRST_RUN_AT)
     return gold.fact_with_lookups(
         actual, forecast, gold.dim_city(actual, stamp), gold.dim_category(actual, stamp)
@@ -225,7 +225,7 @@ def dim_lookup_city(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_integrity(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored(spark, sf)
+    actual, forecast = _stored_silver(spark, sf)
     stamp = times.local_stamp(FIRST_RUN_AT)
     return gold.star_integrity(
         gold.fact_rows(actual, forecast), gold.dim_city(actual, stamp),
@@ -266,7 +266,7 @@ def hour_rollover(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_row_detail(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _forecast(spark, sf).select("city", "forecast_ts", "province", "weather_condition", "aqi_val")
+    rows = _stored(_forecast(spark, sf)).select("city", "forecast_ts", "province", "weather_condition", "aqi_val")
     return first_row_only(rows, ["city"], ["forecast_ts"], ["province", "weather_condition"])
 
 
