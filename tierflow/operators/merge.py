@@ -19,12 +19,13 @@ def _any_null(keys: Sequence[str]) -> Column:
 def spread_null_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Add a column that spreads rows with a NULL key and is zero for all others.
 
-    A NULL key matches nothing, yet equal hashing would send all such rows to one task.
+    A NULL key matches nothing, yet equal hashing would send all such rows to one task. The
+    input partition enters the hash for the sake of equal rows; it is the same again when a
+    task is repeated.
     """
     hashed = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
-    return df.withColumn(
-        name, F.when(_any_null(keys), F.xxhash64(*hashed)).otherwise(F.lit(0).cast("bigint"))
-    )
+    spread = F.xxhash64(*hashed, F.spark_partition_id())
+    return df.withColumn(name, F.when(_any_null(keys), spread).otherwise(F.lit(0).cast("bigint")))
 
 
 def unique_or_fail(df: DataFrame, keys: Sequence[str], spread: str | None = None) -> DataFrame:
@@ -99,7 +100,7 @@ def upsert_small_source(
     target: DataFrame,
     source: DataFrame,
     key: str,
-    max_rows: int = 100_000,
+    max_rows: int = 10_000,
     **options,
 ) -> DataFrame:
     """Upsert that leaves a large target where it is when the source is small.

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from tierflow.operators.merge import upsert
+from tierflow.operators.merge import upsert, upsert_small_source
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -234,11 +234,14 @@ def upsert_table(
     partitions that hold one are rewritten too.
 
     ``combine`` makes the merged rows of the stored ones (None at first) and the batch; it
-    is an upsert by ``key`` with the given options unless stated.
+    is an upsert by ``key`` with the given options unless stated, which leaves the stored
+    rows unshuffled when the batch is small.
     """
     if combine is None:
         def combine(old, new):
-            return upsert(old, new, key, **options)
+            if old is None or not isinstance(key, str):
+                return upsert(old, new, key, **options)
+            return upsert_small_source(old, new, key, **options)
 
     spark = source.sparkSession
     names = list(partitions)
