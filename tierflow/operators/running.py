@@ -22,34 +22,31 @@ def day_offsets(
     task: falls are counted inside (group, chunk), each chunk is summed up in one row,
     and only these summaries are accumulated per group.
     """
-    chunked = df.withColumn("_chunk", chunk)
-    position = F.struct(*order)
-    inner = Window.partitionBy(*group, "_chunk").orderBy(*order)
+    # A struct compares NULL fields as equal, so windows and join share one partitioning.
+    keyed = df.withColumns({"_group": F.struct(*group), "_chunk": chunk})
+    inner = Window.partitionBy("_group", "_chunk").orderBy(*order)
+    to_here = inner.rowsBetween(Window.unboundedPreceding, 0)
     fall = F.when(F.col(hour) < F.lag(hour).over(inner), 1).otherwise(0)
-    detail = chunked.withColumn("_fall", fall)
-    running = F.sum("_fall").over(inner.rowsBetween(Window.unboundedPreceding, 0))
-    detail = detail.withColumn("_inside", running).drop("_fall")
+    detail = keyed.withColumn("_fall", fall)
+    detail = detail.withColumn("_inside", F.sum("_fall").over(to_here)).drop("_fall")
 
+    # The last row of a chunk knows all that is needed of it.
     summary = (
-        chunked.select(*group, "_chunk", hour, *[c for c in order if c not in group + [hour]])
-        .withColumn("_fall", fall)
-        .groupBy(*group, "_chunk")
-        .agg(
-            F.sum("_fall").alias("_falls"),
-            F.min_by(hour, position).alias("_first"),
-            F.max_by(hour, position).alias("_last"),
-        )
+        detail.withColumns({
+            "_first": F.first(hour).over(to_here),
+            "_next": F.lead(F.lit(1)).over(inner),
+        })
+        .filter(F.col("_next").isNull())
+        .select("_group", "_chunk", "_first", F.col(hour).alias("_last"), F.col("_inside").alias("_falls"))
     )
-    outer = Window.partitionBy(*group).orderBy("_chunk")
+    outer = Window.partitionBy("_group").orderBy("_chunk")
     at_edge = F.when(F.col("_first") < F.lag("_last").over(outer), 1).otherwise(0)
     summary = summary.withColumn("_edge", at_edge)
     before = F.sum(F.col("_edge") + F.col("_falls")).over(
         outer.rowsBetween(Window.unboundedPreceding, 0)
     ) - F.col("_falls")
-    keys = [*group, "_chunk"]
-    summary = summary.select(*[F.col(k).alias(f"_k_{k}") for k in keys], before.alias("_before"))
-    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return detail.join(summary, match, "inner").select(
+    summary = summary.select("_group", "_chunk", before.alias("_before"))
+    return detail.join(summary, ["_group", "_chunk"], "inner").select(
         *df.columns, (F.col("_inside") + F.col("_before")).cast("int").alias(name)
     )
 
