@@ -1,8 +1,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_oracle import TABLES, compare
+from tierflow.workloads.oracle import SQL
+from tierflow.workloads.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,10 +18,10 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     rows, verdict = compare(spark, connection, name, SF)
     assert verdict == "ok"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +63,30 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+_SHIPPED = "_tierflow_shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, whatever directory the driver was started in.
+
+    The zip holds source files only and goes out through Spark's own file service, once
+    per context.
+    """
+    context = spark.sparkContext
+    if getattr(context, _SHIPPED, False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    target = os.path.join(tempfile.mkdtemp(prefix="tierflow-"), "tierflow.zip")
+    with open(target, "wb") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(target)
+    setattr(context, _SHIPPED, True)
