@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from tierflow.llm.bpe import roundtrip_digests
 from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
 from tierflow.llm.secrets import scan_secrets
@@ -11,11 +14,16 @@ def op1_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op6_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup)}
 
 SQL = {
     "op6_exact_dedup": r"""
