@@ -8,6 +8,8 @@ from tierflow.llm.bpe import roundtrip_digests
 from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
 from tierflow.llm.secrets import scan_secrets
+from tierflow.llm.token_files import library_encoder, read_index, token_positions, write_token_files
+from tierflow.session import scratch_path
 
 
 def op1_secrets(spark, sf_dir):
@@ -23,7 +25,13 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup)}
+def op9_token_files(spark, sf_dir):
+    vocabulary, files = public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), files, lambda: library_encoder(vocabulary))
+    return token_positions(read_index(spark, files)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup, op9_token_files)}
 
 SQL = {
     "op6_exact_dedup": r"""
