@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tierflow.session import scratch_path
 
@@ -88,3 +88,22 @@ def attach(rows: DataFrame, keyed: DataFrame, key: str, size: str, total: int, h
 def per_batch(df: DataFrame, work: Callable, schema: str, names: list[str], **needed) -> DataFrame:
     """``work(batches, **needed)`` over the named columns of ``df``."""
     return df.select(*names).mapInArrow(lambda batches: work(batches, **needed), schema)
+
+
+def positions(df: DataFrame, order: list, name: str, label: str = "ordered") -> DataFrame:
+    """``df`` with each row's place in the given order, from 0, without gathering the rows.
+
+    The rows are dealt out by ranges of the order and stored; a row's place is its place in
+    its range behind all earlier ranges, of which there are as many as shuffle partitions.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    held = stored(ranged.withColumn("_id", F.monotonically_increasing_id()), label)
+    part = F.shiftright("_id", 33)
+    counts = held.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return (
+        held.withColumn("_part", part).join(F.broadcast(counts), "_part")
+        .withColumn(name, F.col("_before") + F.col("_id") - F.shiftleft("_part", 33))
+        .drop("_id", "_part", "_before")
+    )

@@ -7,6 +7,7 @@ import public_tokenizers
 from tierflow.llm.bpe import roundtrip_digests
 from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
+from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.secrets import scan_secrets
 from tierflow.llm.token_files import library_encoder, read_index, token_positions, write_token_files
 from tierflow.session import scratch_path
@@ -31,9 +32,60 @@ def op9_token_files(spark, sf_dir):
     return token_positions(read_index(spark, files)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup, op9_token_files)}
+def op10_mixing(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents")).drop("repeats")
+
+
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup, op9_token_files, op10_mixing)}
+
+def _mixing_sql() -> str:
+    """The mix in SQL; a round of exchanges per step."""
+    sql = rf"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5('{SEED}:' || doc_id) AS lot
+            FROM documents),
+        numbered AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM sized GROUP BY source),
+        whole AS (SELECT sum(source_size)::BIGINT AS words, sum(weight)::BIGINT AS weights FROM numbered),
+        filled AS (
+            SELECT 0 AS step, words / weights AS level FROM whole
+            UNION ALL
+            SELECT step + 1, (SELECT (w.words - coalesce(sum({MAX_EPOCHS} * source_size) FILTER ({MAX_EPOCHS} * source_size <= weight * level), 0))
+                                     / sum(weight) FILTER ({MAX_EPOCHS} * source_size > weight * level)
+                              FROM numbered, whole w GROUP BY w.words)
+            FROM filled WHERE step < 40 AND level IS NOT NULL),
+        reached AS (SELECT arg_max(level, step) AS level FROM filled WHERE step = 40 OR level IS NULL),
+        planned AS (
+            SELECT n.source, source_size, target, floor(epochs) AS whole, epochs - floor(epochs) AS part,
+                   ('0x' || substr(md5('{SEED}:' || coalesce('0' || n.source, '1')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS phase
+            FROM (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS epochs
+                  FROM (SELECT source, source_size,
+                               CASE WHEN level IS NULL THEN ({MAX_EPOCHS} * source_size)::DOUBLE
+                                    ELSE least(({MAX_EPOCHS} * source_size)::DOUBLE, weight * level) END AS target
+                        FROM numbered, reached)) n),
+        chosen0 AS (
+            SELECT doc_id, s.source, size, source_size, target, whole, pos,
+                   floor((pos + 1) * part + phase) > floor(pos * part + phase) AS more
+            FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, lot, doc_id) - 1 AS pos FROM sized) s
+            JOIN planned p ON s.source IS NOT DISTINCT FROM p.source)"""
+    for i in range(ROUNDS):
+        sql += f""",
+        off{i} AS (SELECT *, target - sum(size * (whole + more::INT)) OVER (PARTITION BY source) AS off FROM chosen{i}),
+        near{i} AS (SELECT *, abs(off - CASE WHEN more THEN -size ELSE size END) AS remaining FROM off{i}),
+        best{i} AS (SELECT *, row_number() OVER (
+                        PARTITION BY source ORDER BY remaining < abs(off) AND whole < {MAX_EPOCHS} DESC, remaining, pos) = 1
+                        AND remaining < abs(off) AND whole < {MAX_EPOCHS} AS swap FROM near{i}),
+        chosen{i + 1} AS (SELECT doc_id, source, size, source_size, target, whole, pos, more <> swap AS more FROM best{i})"""
+    return sql + f"""
+        SELECT doc_id, size::BIGINT AS size, source_size, target, (size * (whole + more::INT))::BIGINT AS taken
+        FROM chosen{ROUNDS}"""
+
 
 SQL = {
+    "op10_mixing": _mixing_sql(),
     "op6_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
