@@ -90,14 +90,13 @@ def per_batch(df: DataFrame, work: Callable, schema: str, names: list[str], **ne
     return df.select(*names).mapInArrow(lambda batches: work(batches, **needed), schema)
 
 
-def positions(df: DataFrame, order: list, name: str, label: str = "ordered") -> DataFrame:
-    """``df`` with each row's place in the given order, from 0, without gathering the rows.
+def numbered(df: DataFrame, name: str, label: str = "numbered") -> DataFrame:
+    """``df`` stored, with each row's place in the present order from 0.
 
-    The rows are dealt out by ranges of the order and stored; a row's place is its place in
-    its range behind all earlier ranges, of which there are as many as shuffle partitions.
+    A row's place is its place in its partition behind all earlier partitions; only the
+    partitions' sizes, one row each, are summed in one task and broadcast.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    held = stored(ranged.withColumn("_id", F.monotonically_increasing_id()), label)
+    held = stored(df.withColumn("_id", F.monotonically_increasing_id()), label)
     part = F.shiftright("_id", 33)
     counts = held.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,3 +106,8 @@ def positions(df: DataFrame, order: list, name: str, label: str = "ordered") ->
         .withColumn(name, F.col("_before") + F.col("_id") - F.shiftleft("_part", 33))
         .drop("_id", "_part", "_before")
     )
+
+
+def positions(df: DataFrame, order: list, name: str, label: str = "ordered") -> DataFrame:
+    """``df`` with each row's place in the given order, from 0, dealt out by ranges of the order."""
+    return numbered(df.repartitionByRange(*order).sortWithinPartitions(*order), name, label)

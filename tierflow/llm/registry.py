@@ -10,6 +10,7 @@ from tierflow.llm.exact_dedup import exact_dedup
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.secrets import scan_secrets
 from tierflow.llm.token_files import library_encoder, read_index, token_positions, write_token_files
+from tierflow.llm.topk import top_k
 from tierflow.session import scratch_path
 
 
@@ -36,7 +37,11 @@ def op10_mixing(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents")).drop("repeats")
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup, op9_token_files, op10_mixing)}
+def op7_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup, op7_top_k, op9_token_files, op10_mixing)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
@@ -86,6 +91,18 @@ def _mixing_sql() -> str:
 
 SQL = {
     "op10_mixing": _mixing_sql(),
+    "op7_top_k": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT * FROM (
+            SELECT query_id, vec_id, score,
+                   (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank
+            FROM scored) WHERE rank <= 20""",
     "op6_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
