@@ -7,6 +7,7 @@ import public_tokenizers
 from tierflow.llm.bpe import roundtrip_digests
 from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
+from tierflow.llm.langid import identify_documents
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.secrets import scan_secrets
 from tierflow.llm.token_files import library_encoder, read_index, token_positions, write_token_files
@@ -23,6 +24,10 @@ def op2_byte_bpe(spark, sf_dir):
     return roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_language(spark, sf_dir):
+    return identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chars")
 
@@ -41,7 +46,7 @@ def op7_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op6_exact_dedup, op7_top_k, op9_token_files, op10_mixing)}
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op6_exact_dedup, op7_top_k, op9_token_files, op10_mixing)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
@@ -93,9 +98,9 @@ SQL = {
     "op10_mixing": _mixing_sql(),
     "op7_top_k": """
         WITH vectors AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
             FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
