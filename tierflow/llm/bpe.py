@@ -1,11 +1,13 @@
 """Byte-level BPE as a finite-state transducer, and streaming decoding.
 
 A sequence of tokens is what the merges make of its bytes exactly when every two
-neighbours are what the merges make of *their* bytes. That gives a non-deterministic
-transducer: after each byte either the current token goes on, or it ends and has to suit
-the token before it. ``Transducer`` determinises it while it reads: a state is the set of
-live hypotheses, each with the tokens on which they still differ; what all agree on is
-emitted. Hypotheses die within the length of the longest token, so the lookahead is bounded.
+neighbours are what the merges make of *their* bytes. So after each byte either the
+current token goes on, or it ends and has to suit the token before it: a non-deterministic
+transducer. ``Transducer`` determinises it while it reads. A state is the set of live
+hypotheses, i.e. the places where the current token may have begun, given by the tokens
+that ended there; a step tells the one token that may end at the new place. Tokens on which
+all live hypotheses agree are emitted; hypotheses begin within the length of the longest
+token, which bounds the lookahead.
 """
 
 from __future__ import annotations
@@ -57,37 +59,63 @@ class Transducer:
     so memory stays bounded.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 60_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000):
         self.ranks, self.most_states = ranks, most_states
-        self.children: list[dict[int, int]] = [{}]
-        self.token_at = [-1]
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token:
-                below = self.children[node]
-                if byte not in below:
-                    below[byte] = len(self.children)
-                    self.children.append({})
-                    self.token_at.append(-1)
-                node = below[byte]
-            self.token_at[node] = rank
-        self.first = self.children[0]
-        self.children = [below or None for below in self.children]
         merges = Merges(ranks)
         # The two parts that the last merge of a token joins, and the token by its parts.
         self.whole = [False] * (max(ranks.values()) + 1)
+        self.size = [0] * len(self.whole)
         self.halves: dict[int, tuple[int, int]] = {}
         for token, rank in ranks.items():
             parts = merges(token, rank)
+            self.size[rank] = len(token)
             self.whole[rank] = len(token) == 1 or len(parts) == 2
             if len(parts) == 2:
                 self.halves[rank] = ranks[parts[0]], ranks[parts[1]]
         self.joined = {pair: rank for rank, pair in self.halves.items()}
+        self._build_trie()
         self._restart()
 
+    def _build_trie(self):
+        """The trie of the tokens; for each node the longest proper suffix that is a node too."""
+        children: list[dict[int, int]] = [{}]
+        self.token_at, self.depth = [-1], [0]
+        for token, rank in self.ranks.items():
+            node = 0
+            for byte in token:
+                if byte not in children[node]:
+                    children[node][byte] = len(children)
+                    children.append({})
+                    self.token_at.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                node = children[node][byte]
+            self.token_at[node] = rank
+        self.children = children
+        self.suffix = [0] * len(children)
+        level = list(children[0].values())
+        while level:
+            below = []
+            for node in level:
+                for byte, child in children[node].items():
+                    at = self.suffix[node]
+                    while at and byte not in children[at]:
+                        at = self.suffix[at]
+                    self.suffix[child] = children[at].get(byte, 0)
+                    below.append(child)
+            level = below
+
     def _restart(self):
-        self.numbers, self.states, self.steps, self.ends = {}, [], [], []
-        self._number((-1, ()))
+        self.numbers, self.states, self.steps = {}, [], []
+        self._number((0, (-1,)))
+
+    def _starts(self, node: int) -> list[int]:
+        """The nodes of all suffixes of a node's bytes from which a token may still go on."""
+        found = []
+        while node:
+            if self.children[node]:
+                found.append(node)
+            node = self.suffix[node]
+        return [*found, 0]
 
     def suits(self, before: int, token: int) -> bool:
         """Do the merges leave this token alone after that one (-1: at the start)?
@@ -119,58 +147,60 @@ class Transducer:
             number = self.numbers[state] = len(self.states)
             self.states.append(state)
             self.steps.append({})
-            self.ends.append(self._complete(state))
         return number
 
-    def _complete(self, state):
-        """The tokens outstanding if the input ends here: those of the one complete hypothesis."""
-        last, hypotheses = state
-        for pending, node in hypotheses:
-            token = self.token_at[node]
-            if token >= 0 and self.suits(pending[-1] if pending else last, token):
-                return (*pending, token)
-        return ()
-
-    def _step(self, number: int, byte: int):
-        """The hypotheses stay in the order in which their current tokens began."""
-        last, hypotheses = self.states[number]
-        children, after = self.children, []
-        for pending, node in hypotheses:
-            below = children[node]
-            if below is not None and byte in below:
-                after.append((pending, below[byte]))
-        out = ()
-        if after:
-            ended = self.ends[number]
-            after.append((ended, self.first[byte]))
-            shared, pending = 0, after[0][0]
-            while shared < len(pending) and all(p[:shared + 1] == pending[:shared + 1] for p, _ in after):
-                shared += 1
-            if shared:
-                out = pending[:shared]
-                last, after = out[-1], [(p[shared:], node) for p, node in after]
-        else:
-            out = self.ends[number]
-            last, after = out[-1] if out else last, [((), self.first[byte])]
-        return self._number((last, tuple(after))), out
+    def _step(self, number: int, byte: int) -> tuple[int, int]:
+        """The next state, and the token that ends with this byte if the input does."""
+        node, befores = self.states[number]
+        children, depth, suffix = self.children, self.depth, self.suffix
+        before = dict(zip(map(depth.__getitem__, self._starts(node)), befores))
+        while node and byte not in children[node]:
+            node = suffix[node]
+        node = children[node][byte]
+        at, token = node, -1
+        while at:
+            token = self.token_at[at]
+            if token >= 0 and self.suits(before[depth[at] - 1], token):
+                break
+            at = suffix[at]
+        assert at, "any bytes have an encoding"
+        live = tuple([before[depth[s] - 1] if s else token for s in self._starts(node)])
+        return self._number((node, live)), token
 
     def __call__(self, data: bytes) -> list[int]:
         """Token ids of ``data``."""
         whole = self.ranks.get(data)
         if whole is not None or not data:
             return [whole] if data else []
+        return [token for tokens in self.stream(data) for token in tokens]
+
+    def stream(self, data: bytes, at_once: int = 4096) -> Iterator[list[int]]:
+        """The ids in order; after every ``at_once`` bytes all that are certain by then."""
         if len(self.states) > self.most_states:
             self._restart()
-        out: list[int] = []
-        number, steps = 0, self.steps
-        for byte in data:
-            move = steps[number].get(byte)
-            if move is None:
-                move = steps[number][byte] = self._step(number, byte)
-            number, tokens = move
-            out += tokens
-        out += self.ends[number]
-        return out
+        number, steps, size = 0, self.steps, self.size
+        ends: list[int] = []  # the token that ends at each place since the last emission
+        for start in range(0, len(data), at_once):
+            for byte in data[start:start + at_once]:
+                move = steps[number].get(byte)
+                if move is None:
+                    move = steps[number][byte] = self._step(number, byte)
+                number, token = move
+                ends.append(token)
+            places = {len(ends)}
+            if start + at_once < len(data):
+                places |= {len(ends) - self.depth[s] for s in self._starts(self.states[number][0])}
+                while len(places) > 1:
+                    last = max(places)
+                    places.remove(last)
+                    places.add(last - size[ends[last - 1]])
+            agreed = at = places.pop()
+            out = []
+            while at:
+                out.append(ends[at - 1])
+                at -= size[ends[at - 1]]
+            yield out[::-1]
+            ends = ends[agreed:]
 
 
 # Transitions of the UTF-8 machine: what the next byte may be, by state. State 0 is between
@@ -225,6 +255,9 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes], at_once: int = 4096)
     yield machine.close()
 
 
+MOST_MATCHES = 200_000
+
+
 class Codec:
     """Encoding and decoding with one rank file."""
 
@@ -234,16 +267,24 @@ class Codec:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
+        self.matches: dict[str, bytes] = {}
         self.encode_texts = ChunkEncoder(self._codes)
 
     def _codes(self, parts: list[str]) -> list[bytes]:
-        transduce, split = self.transduce, self.split.findall
+        transduce, split, known = self.transduce, self.split.findall, self.matches
         out = []
         for part in parts:
-            ids = array("I")
+            codes = b""
             for match in split(part):
-                ids.extend(transduce(match.encode()))
-            out.append(ids.tobytes())
+                code = known.get(match)
+                if code is None:
+                    code = array("I", transduce(match.encode())).tobytes()
+                    if len(match) <= 100:
+                        known[match] = code
+                codes += code
+            out.append(codes)
+        if len(known) > MOST_MATCHES:
+            known.clear()
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
