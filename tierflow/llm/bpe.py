@@ -59,7 +59,7 @@ class Transducer:
     so memory stays bounded.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000):
         self.ranks, self.most_states = ranks, most_states
         merges = Merges(ranks)
         # The two parts that the last merge of a token joins, and the token by its parts.
@@ -92,6 +92,7 @@ class Transducer:
             self.token_at[node] = rank
         self.children = children
         self.suffix = [0] * len(children)
+        self.begins: dict[int, tuple[int, ...]] = {}
         level = list(children[0].values())
         while level:
             below = []
@@ -105,17 +106,22 @@ class Transducer:
             level = below
 
     def _restart(self):
-        self.numbers, self.states, self.steps = {}, [], []
+        self.numbers: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.steps: dict[int, tuple[int, int]] = {}  # state number * 256 + byte -> the same and a token
         self._number((0, (-1,)))
 
-    def _starts(self, node: int) -> list[int]:
-        """The nodes of all suffixes of a node's bytes from which a token may still go on."""
-        found = []
-        while node:
-            if self.children[node]:
-                found.append(node)
-            node = self.suffix[node]
-        return [*found, 0]
+    def _begins(self, node: int) -> tuple[int, ...]:
+        """The lengths of a node's suffixes from which a token may still go on, longest first."""
+        found = self.begins.get(node)
+        if found is None:
+            lengths, at = [], node
+            while at:
+                if self.children[at]:
+                    lengths.append(self.depth[at])
+                at = self.suffix[at]
+            found = self.begins[node] = (*lengths, 0)
+        return found
 
     def suits(self, before: int, token: int) -> bool:
         """Do the merges leave this token alone after that one (-1: at the start)?
@@ -144,27 +150,26 @@ class Transducer:
     def _number(self, state) -> int:
         number = self.numbers.get(state)
         if number is None:
-            number = self.numbers[state] = len(self.states)
+            number = self.numbers[state] = len(self.states) << 8
             self.states.append(state)
-            self.steps.append({})
         return number
 
     def _step(self, number: int, byte: int) -> tuple[int, int]:
         """The next state, and the token that ends with this byte if the input does."""
-        node, befores = self.states[number]
-        children, depth, suffix = self.children, self.depth, self.suffix
-        before = dict(zip(map(depth.__getitem__, self._starts(node)), befores))
+        node, befores = self.states[number >> 8]
+        children, depth, suffix, token_at = self.children, self.depth, self.suffix, self.token_at
+        before = dict(zip(self._begins(node), befores))
         while node and byte not in children[node]:
             node = suffix[node]
         node = children[node][byte]
         at, token = node, -1
         while at:
-            token = self.token_at[at]
+            token = token_at[at]
             if token >= 0 and self.suits(before[depth[at] - 1], token):
                 break
             at = suffix[at]
         assert at, "any bytes have an encoding"
-        live = tuple([before[depth[s] - 1] if s else token for s in self._starts(node)])
+        live = tuple([before[length - 1] if length else token for length in self._begins(node)])
         return self._number((node, live)), token
 
     def __call__(self, data: bytes) -> list[int]:
@@ -181,15 +186,16 @@ class Transducer:
         number, steps, size = 0, self.steps, self.size
         ends: list[int] = []  # the token that ends at each place since the last emission
         for start in range(0, len(data), at_once):
+            put = ends.append
             for byte in data[start:start + at_once]:
-                move = steps[number].get(byte)
+                move = steps.get(number + byte)
                 if move is None:
-                    move = steps[number][byte] = self._step(number, byte)
+                    move = steps[number + byte] = self._step(number, byte)
                 number, token = move
-                ends.append(token)
+                put(token)
             places = {len(ends)}
             if start + at_once < len(data):
-                places |= {len(ends) - self.depth[s] for s in self._starts(self.states[number][0])}
+                places |= {len(ends) - length for length in self._begins(self.states[number >> 8][0])}
                 while len(places) > 1:
                     last = max(places)
                     places.remove(last)
