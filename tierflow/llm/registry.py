@@ -9,6 +9,7 @@ from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
 from tierflow.llm.html_content import extract_content, learn_content
 from tierflow.llm.langid import identify_documents
+from tierflow.llm.lm import score_documents
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.secrets import scan_secrets
 from tierflow.llm.token_files import library_encoder, read_index, token_positions, write_token_files
@@ -29,6 +30,10 @@ def op3_language(spark, sf_dir):
     return identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scores(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return extract_content(pages, learn_content(pages))
@@ -52,7 +57,7 @@ def op7_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op5_main_text, op6_exact_dedup, op7_top_k, op9_token_files, op10_mixing)}
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op9_token_files, op10_mixing)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
