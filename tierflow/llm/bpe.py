@@ -20,7 +20,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from tierflow.llm.chunks import ChunkEncoder
@@ -261,37 +260,16 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes], at_once: int = 4096)
     yield machine.close()
 
 
-MOST_MATCHES = 200_000
-
-
 class Codec:
     """Encoding and decoding with one rank file."""
 
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
-        self.transduce, self.split = Transducer(ranks), regex.compile(pattern)
+        self.transduce = Transducer(ranks)
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.matches: dict[str, bytes] = {}
-        self.encode_texts = ChunkEncoder(self._codes)
-
-    def _codes(self, parts: list[str]) -> list[bytes]:
-        transduce, split, known = self.transduce, self.split.findall, self.matches
-        out = []
-        for part in parts:
-            codes = b""
-            for match in split(part):
-                code = known.get(match)
-                if code is None:
-                    code = array("I", transduce(match.encode())).tobytes()
-                    if len(match) <= 100:
-                        known[match] = code
-                codes += code
-            out.append(codes)
-        if len(known) > MOST_MATCHES:
-            known.clear()
-        return out
+        self.encode_texts = ChunkEncoder(lambda match: array("I", self.transduce(match.encode())).tobytes(), pattern)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(codes, np.uint32) for codes in self.encode_texts(texts)]

@@ -12,6 +12,8 @@ import re
 from collections.abc import Callable
 from itertools import chain
 
+import regex
+
 # The characters with the Unicode property White_Space, without the plain blank.
 SPACES = "\t-\r\x85\xa0  -     　"
 _RUNS = re.compile(f"([ {SPACES}]{{2,}}|[{SPACES}])")
@@ -48,26 +50,41 @@ def chunks(text: str) -> list[str]:
 class ChunkEncoder:
     """Encodes texts by chunks and remembers the codes of short ones.
 
-    Two tables of up to ``most`` chunks: when the younger one is full it replaces the
-    older one, so frequent chunks stay and memory is bounded.
+    ``encode`` gives the code of one match of the pattern. Two tables of up to ``most``
+    chunks: when the younger one is full it replaces the older one, so frequent chunks stay
+    and memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 150_000, longest: int = 100):
-        self.encode, self.most, self.longest = encode, most, longest
+    def __init__(self, encode: Callable[[str], bytes], pattern: str, most: int = 150_000, longest: int = 100):
+        self.encode, self.split = encode, regex.compile(pattern).findall
+        self.most, self.longest = most, longest
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _code(self, chunk: str) -> bytes:
+        if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
+            return self.encode(chunk)  # letters with their blank are one match
+        codes = b""
+        for match in self.split(chunk):
+            code = self.known.get(match) or self.older.get(match)
+            if code is None:
+                code = self.encode(match)
+                if len(match) <= self.longest:
+                    self.known[match] = code
+            codes += code
+        return codes
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(text) for text in texts]
         if len(self.known) > self.most:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = set(chain.from_iterable(cut)).difference(known)
-        known.update((chunk, older[chunk]) for chunk in missing.intersection(older))
-        missing = [chunk for chunk in missing if chunk not in older]
-        known.update(zip(missing, self.encode(missing)))
-        codes = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for chunk in missing:
+        long = []
+        for chunk in set(chain.from_iterable(cut)).difference(known):
+            known[chunk] = older.get(chunk) or self._code(chunk)
             if len(chunk) > self.longest:
-                del known[chunk]
+                long.append(chunk)
+        codes = [b"".join(map(known.__getitem__, words)) for words in cut]
+        for chunk in long:
+            del known[chunk]
         return codes

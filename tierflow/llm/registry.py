@@ -12,7 +12,7 @@ from tierflow.llm.langid import identify_documents
 from tierflow.llm.lm import score_documents
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.secrets import scan_secrets
-from tierflow.llm.token_files import library_encoder, read_index, token_positions, write_token_files
+from tierflow.llm.token_files import library_encoder, token_positions, write_token_files
 from tierflow.llm.topk import top_k
 from tierflow.session import scratch_path
 
@@ -45,8 +45,8 @@ def op6_exact_dedup(spark, sf_dir):
 
 def op9_token_files(spark, sf_dir):
     vocabulary, files = public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "tokens")
-    write_token_files(table(spark, sf_dir, "documents"), files, lambda: library_encoder(vocabulary))
-    return token_positions(read_index(spark, files)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    write_token_files(table(spark, sf_dir, "documents"), files, lambda: library_encoder(vocabulary, public_tokenizers.PATTERN))
+    return token_positions(spark, files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op10_mixing(spark, sf_dir):

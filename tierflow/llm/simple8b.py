@@ -26,28 +26,22 @@ def block_ends(sizes: np.ndarray, block: int = BLOCK) -> np.ndarray:
     return np.minimum(starts + (nth + 1) * block, np.repeat(np.cumsum(sizes), counts))
 
 
-def _choices(values: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each position: the selector that would pack most values from there, and how many those are.
+def _selectors(widths: np.ndarray) -> np.ndarray:
+    """The first selector whose word would hold the values from each place on.
 
-    ``left``: the number of values up to the end of the block. A word may stay part empty
-    only there.
+    ``widths`` has a row per block with enough zeros behind its values, so that a word may
+    stay part empty at the end of a block and nowhere else.
     """
-    n = len(values)
-    selector, taken = np.zeros(n, np.uint8), np.ones(n, np.int32)
-    place, left = np.arange(n, dtype=np.int32), left.astype(np.int32)
-    width = _widths(values)
-    open_at = place
-    for s in range(1, 16):
-        # The nearest value from here on that is too wide.
-        stop = np.minimum.accumulate(np.where(width > BITS[s], place, np.int32(n))[::-1])[::-1]
-        count = np.minimum(np.int32(COUNTS[s]), left[open_at])
-        fits = stop[open_at] - open_at >= count
-        at = open_at[fits]
-        selector[at], taken[at] = s, count[fits]
-        open_at = open_at[~fits]
-        if not len(open_at):
-            break
-    return selector, taken
+    largest = np.concatenate([widths.ravel(), np.zeros(COUNTS.max(), np.uint8)])
+    selector, n, reach = np.zeros(widths.size, np.uint8), widths.size, 1
+    for s in range(15, 0, -1):
+        # ``largest`` holds the largest width among the ``reach`` values from each place on.
+        while reach < COUNTS[s]:
+            step = min(reach, COUNTS[s] - reach)
+            largest = np.maximum(largest[:len(largest) - step], largest[step:])
+            reach += step
+        np.putmask(selector, largest[:n] <= BITS[s], s)
+    return selector
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
@@ -65,18 +59,23 @@ def pack(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else np.zeros(0, np.int64)
     if not len(values):
         return np.zeros(0, np.uint64), np.zeros(len(ends), np.uint32)
-    end_of = np.repeat(ends, ends - starts)
-    selector, taken = _choices(values, end_of - np.arange(len(values)))
-    begins = np.zeros(len(values), bool)
-    at = starts[starts < ends]
-    stop = ends[starts < ends]
+    row = int((ends - starts).max()) + int(COUNTS.max())
+    rows = np.arange(len(ends), dtype=np.int64) * row
+    shift = rows - starts  # from the place of a value to its place in the rows
+    widths = np.zeros((len(ends), row), np.uint8)
+    widths.ravel()[np.arange(len(values)) + np.repeat(shift, ends - starts)] = _widths(values)
+    selector = _selectors(widths)
+    begins = np.zeros(widths.size, bool)
+    at, stop = rows[starts < ends], (ends + shift)[starts < ends]
     while len(at):
         begins[at] = True
-        at = at + taken[at]
+        at = at + COUNTS[selector[at]]
         going = at < stop
         at, stop = at[going], stop[going]
     at = np.flatnonzero(begins)
-    chosen = selector[at]
+    chosen, block = selector[at], at // row
+    at -= shift[block]
+    taken = np.minimum(COUNTS[chosen], ends[block] - at)
     width = np.where(chosen == ESCAPE, 2, 1)
     place = np.cumsum(width) - width
     words = np.zeros(int(width.sum()), np.uint64)
@@ -88,7 +87,7 @@ def pack(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             continue
         lanes = np.arange(COUNTS[s])
         held = padded[at[mine, None] + lanes]
-        held[lanes[None, :] >= taken[at[mine]][:, None]] = 0
+        held[lanes[None, :] >= taken[mine, None]] = 0
         shifts = (lanes * BITS[s]).astype(np.uint64)
         words[place[mine]] = np.bitwise_or.reduce(held << shifts, axis=1) | np.uint64(s) << np.uint64(60)
     return words, place[np.searchsorted(at, starts)].astype(np.uint32)

@@ -27,8 +27,10 @@ from tierflow.llm.common import arrow_batch, slices, texts_of
 from tierflow.llm.simple8b import block_ends, pack, unpack
 
 MAGIC = b"S8B1"
-FILE_SCHEMA = "shard int, part int, payload binary"
+FILE_SCHEMA = "shard int, part int, n_ids long, payload binary"
 PART_IDS = 1 << 20
+#: Half the number of chunks whose codes a worker remembers.
+MOST_CHUNKS = 400_000
 
 
 def write_payload(keys: list[int | None], ids: list[np.ndarray]) -> bytes:
@@ -61,26 +63,31 @@ def read_payload(payload: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     return [None if null else key for key, null in zip(keys, nulls)], np.split(values, np.cumsum(sizes)[:-1])
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level files write each byte: itself if printable, else from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class LibraryEncoder:
-    """Ids by a tokenizer file of the tokenizers library, without added special tokens.
+    """Ids by a byte-level tokenizer file of the tokenizers library, without added special tokens.
 
     Texts that hold the text of one of the file's special tokens are handed over whole, as
-    the library recognises it there; all others go by chunks.
+    the library recognises it there. All others go by chunks and matches of the file's
+    pattern: the library's model encodes each match that is not remembered.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.by_chunks = ChunkEncoder(self._codes)
-
-    def _codes(self, parts: list[str]) -> list[bytes]:
-        out = []
-        for start in range(0, len(parts), 4096):
-            found = self.library.encode_batch_fast(parts[start:start + 4096], add_special_tokens=False)
-            out += [array("I", encoding.ids).tobytes() for encoding in found]
-        return out
+        tokenize, letters = self.library.model.tokenize, self.letters
+        self.by_chunks = ChunkEncoder(lambda match: array(
+            "I", [token.id for token in tokenize(match.encode().decode("latin-1").translate(letters))]
+        ).tobytes(), pattern, most=MOST_CHUNKS)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         whole = [any(s in text for s in self.special) for text in texts]
@@ -91,8 +98,8 @@ class LibraryEncoder:
 
 
 @cache
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def library_encoder(path: str, pattern: str) -> LibraryEncoder:
+    return LibraryEncoder(path, pattern)
 
 
 def write_token_files(docs: DataFrame, out: str, encoder: Callable[[], Callable], end_id: int | None = 0,
@@ -114,12 +121,12 @@ def write_token_files(docs: DataFrame, out: str, encoder: Callable[[], Callable]
                 ids.append(np.concatenate([found, end]))
                 held += len(ids[-1])
                 if held >= part_ids:
-                    yield arrow_batch(schema, [shard], [part], [write_payload(keys, ids)])
+                    yield arrow_batch(schema, [shard], [part], [held], [write_payload(keys, ids)])
                     keys, ids, held, part = [], [], 0, part + 1
         if keys:
-            yield arrow_batch(schema, [shard], [part], [write_payload(keys, ids)])
+            yield arrow_batch(schema, [shard], [part], [held], [write_payload(keys, ids)])
 
-    schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
+    schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary())])
     (
         docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
@@ -141,7 +148,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                                                  np.concatenate(ids).astype(np.int64))
                 yield arrow_batch(schema, [shard] * n, [part] * n, range(n), keys, lists)
 
-    return spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(
+    return spark.read.schema(FILE_SCHEMA).parquet(path).drop("n_ids").mapInArrow(
         run, "shard int, part int, nth int, doc_id long, ids array<long>")
 
 
@@ -158,18 +165,19 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                 yield arrow_batch(schema, [shard] * n, [part] * n, range(n), keys, [len(i) for i in ids],
                                   [zlib.crc32(i.astype("<u4").tobytes()) for i in ids])
 
-    return spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(
+    return spark.read.schema(FILE_SCHEMA).parquet(path).drop("n_ids").mapInArrow(
         run, "shard int, part int, nth int, doc_id long, n_tokens long, ids_crc32 long")
 
 
-def token_positions(index: DataFrame) -> DataFrame:
-    """``index`` with ``start``: the number of ids of all documents before.
+def token_positions(spark: SparkSession, path: str) -> DataFrame:
+    """``read_index`` with ``start``: the number of ids of all documents before.
 
-    Within a shard a running sum; the shards before it, one row each, are summed first.
+    Within a shard a running sum; the shards before it, one row each, are summed first,
+    from the numbers beside the payloads.
     """
-    shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("of_shard"))
+    shards = spark.read.schema(FILE_SCHEMA).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("of_shard"))
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.select("shard", F.coalesce(F.sum("of_shard").over(ahead), F.lit(0)).alias("of_earlier"))
     inside = Window.partitionBy("shard").orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
-    running = index.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    running = read_index(spark, path).withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     return running.join(shards, "shard").withColumn("start", F.col("of_earlier") + F.col("inside"))
