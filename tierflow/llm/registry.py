@@ -11,6 +11,7 @@ from tierflow.llm.html_content import extract_content, learn_content
 from tierflow.llm.langid import identify_documents
 from tierflow.llm.lm import score_documents
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
+from tierflow.llm.near_dup import near_duplicates
 from tierflow.llm.secrets import scan_secrets
 from tierflow.llm.token_files import library_encoder, token_positions, write_token_files
 from tierflow.llm.topk import top_k
@@ -43,6 +44,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op8_ngram_jaccard(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark, sf_dir):
     vocabulary, files = public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents"), files, lambda: library_encoder(vocabulary, public_tokenizers.PATTERN))
@@ -57,7 +62,7 @@ def op7_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op9_token_files, op10_mixing)}
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
@@ -106,6 +111,28 @@ def _mixing_sql() -> str:
 
 
 SQL = {
+    "op8_ngram_jaccard": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingled AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM worded WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+        links AS (
+            SELECT p.a, p.b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+                FROM shingled x JOIN shingled y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
+            JOIN sizes m ON m.doc_id = p.a JOIN sizes n ON n.doc_id = p.b
+            WHERE 100 * shared >= 80 * (m.n + n.n - shared)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+        JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id""",
     "op10_mixing": _mixing_sql(),
     "op7_top_k": """
         WITH vectors AS (
