@@ -284,44 +284,35 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-
-
-def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every row, without special tokens and without a shuffle.
-
-    Null and empty texts have no ids; rows may repeat; other columns are not read. ``path``
-    has to exist on the executors.
+def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
+                     with_ids: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids (unless not wanted), ids_sha256 and decoded_sha256 of every row, without a shuffle.
+
+    The ids (array of int) hold no special tokens; ids_sha256 is the digest of the ids as
+    little-endian unsigned 32-bit integers, decoded_sha256 that of the bytes which the
+    streaming decoder makes of them. Null and empty texts have no ids. Rows may repeat;
+    other columns are not read. ``path`` has to exist on the executors.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
+                        ("decoded_sha256", pa.string()), *([("ids", pa.list_(pa.int32()))] if with_ids else [])])
 
     def run(batches):
         own = codec(path, pattern)
         for part in slices(batches):
-            ids = own.encode(texts_of(part.column(1)))
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, flat)], schema=schema)
-
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        run, "doc_id long, ids array<int>")
-
-
-def roundtrip_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encodes and decodes every row; returns the number of ids and digests of ids and of decoded bytes.
-
-    Null and empty texts: no ids and the digests of nothing.
-    """
-    def run(batches):
-        own = codec(path, pattern)
-        for part in slices(batches):
-            rows = []
-            for key_, ids in zip(part.column(0).to_pylist(), own.encode(texts_of(part.column(1)))):
-                decoded = hashlib.sha256()
+            encoded = own.encode(texts_of(part.column(1)))
+            digests, decoded = [], []
+            for ids in encoded:
+                digests.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                whole = hashlib.sha256()
                 for piece in decode_stream(ids.tolist(), own.tokens):
-                    decoded.update(piece.encode())
-                rows.append((key_, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), decoded.hexdigest()))
-            yield arrow_batch(_OUT, *zip(*rows))
+                    whole.update(piece.encode())
+                decoded.append(whole.hexdigest())
+            sizes = [len(ids) for ids in encoded]
+            columns = [part.column(0), sizes, digests, decoded]
+            if with_ids:
+                ends = np.cumsum([0, *sizes]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(ends, np.concatenate(encoded).astype(np.int32)))
+            yield arrow_batch(schema, *columns)
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tierflow.llm.bpe import roundtrip_digests
+from tierflow.llm.bpe import encode_documents
 from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
 from tierflow.llm.html_content import extract_content, learn_content
@@ -24,7 +24,7 @@ def op1_secrets(spark, sf_dir):
 
 def op2_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
 def op3_language(spark, sf_dir):
