@@ -257,7 +257,10 @@ def learn_content(pages: DataFrame, key: str = "page_id", html: str = "html", mo
     """
     tagged = pages.select(F.xxhash64(pages[key].cast("string"), pages[html]).alias("lot"), pages[html].alias("html")).filter(
         F.col("html").rlike("(?i)<(article|main)\\b") & (F.length("html") <= TRAINING_CHARS))
-    sample = [row.html for row in tagged.orderBy("lot").limit(most).collect()]
+    # The numbers alone are ranked; only the chosen pages themselves come to the driver, each once.
+    last = tagged.select("lot").distinct().orderBy("lot").limit(most).agg(F.max("lot")).first()[0]
+    chosen = tagged.filter(F.col("lot") <= F.lit(last).cast("long")).dropDuplicates(["lot"])
+    sample = [row.html for row in chosen.orderBy("lot").limit(most).collect()]
     shown_pages = [page for i, html_ in enumerate([SAMPLE] * 5 + sample) for page in dressed(html_, i)]
     return fit([p for p in map(labelled, shown_pages) if p])
 
