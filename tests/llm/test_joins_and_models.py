@@ -280,7 +280,7 @@ def test_language_model(spark, documents, clashing, monkeypatch):
     rng = random.Random(1)
     lines = ["the cat sat on the mat", "A dog\tran off", "le chat noir é"]
     texts = [(i, " ".join(rng.choice(lines) for _ in range(40)) + f" rare{i}") for i in range(60)] + [
-        (1, "the cat"), (1, "the cat"), (2, None), (3, ""), (None, "The CAT unknown1 unknown1"), (4, "word " * 60_000)]
+        (1, "the cat"), (1, "the cat"), (2, None), (3, ""), (None, "The CAT unknown1 unknown1"), (4, "word " * 30_000)]
     # With few held tokens most counts come from the join.
     monkeypatch.setattr(lm, "HELD", 8)
     got = lm.score_documents(clashing(documents(*texts))).collect()
@@ -299,11 +299,11 @@ def test_language_model(spark, documents, clashing, monkeypatch):
 
 
 def test_language_model_is_normalised():
-    chances = np.full(lm.CLASSES, 1 / lm.CLASSES)
+    chances = np.where(np.arange(lm.CLASSES) < 7, 0.14, 0.02 / (lm.CLASSES - 7))
     model = lm.LogBilinear.start(chances)
     trainer = lm.Trainer(model, chances, 1)
     rng = np.random.default_rng(2)
-    before = rng.integers(0, 5, 60_000)
+    before = rng.integers(0, 5, 30_000)
     for low in range(0, len(before), 256):
         b = before[low:low + 256]
         trainer.step(b, b, (b * 3 + 1) % 7)
@@ -313,4 +313,4 @@ def test_language_model_is_normalised():
         one = np.full(lm.CLASSES, b)
         got = score(one, one, every)
         assert (10 ** got).sum() == pytest.approx(1, abs=1e-3)
-        assert got[(b * 3 + 1) % 7] > -0.7  # from -3 by chance
+        assert got[(b * 3 + 1) % 7] > -0.4  # from -0.85 by chance
