@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierflow.operators import lookup
 from tierflow.operators.dedup import first_row_only, last_measures, latest_by_key
 from tierflow.operators.incremental import high_water, since_day, stamped
-from tierflow.operators.merge import merge_into_catalog, upsert, upsert_small_source
+from tierflow.operators.merge import merge_into_catalog, upsert, upsert_in_place
 from tierflow.operators.reconcile import full_outer, reconcile, times_in_either, union_tagged
 from tierflow.operators.running import day_offsets, global_row_number
 
@@ -138,19 +138,31 @@ def test_upsert_rejects_other_columns(spark):
         upsert(target, source, "id", update_cols=["nope"])
 
 
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_upsert_small_source_equals_upsert(spark, rows, limit):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_upsert_in_place_equals_upsert(spark, rows, threshold):
     target, source = tables(spark)
-    for options in ({}, {"update_cols": ["w"]}, {"newer_by": "at"}, {"drop_null_keys": True}):
-        assert rows(upsert_small_source(target, source, "id", max_rows=limit, **options)) == rows(
-            upsert(target, source, "id", **options)
-        )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for options in ({}, {"update_cols": ["w"]}, {"newer_by": "at"}, {"drop_null_keys": True}):
+            for key in ("id", ["id", "v"]):
+                both = [f(target, source, key, **options) for f in (upsert_in_place, upsert)]
+                assert rows(both[0]) == rows(both[1])
+        twice = spark.createDataFrame([("x", 1, "", 1), ("x", 2, "", 1)], SCHEMA)
+        for merge in (upsert_in_place, upsert):
+            with pytest.raises(Exception, match="duplicate source key: x"):
+                merge(target, twice, "id").collect()
+            with pytest.raises(ValueError, match="columns differ"):
+                merge(target, source.withColumn("more", F.lit(1)), "id")
+            with pytest.raises(ValueError, match="unknown update columns"):
+                merge(target, source, "id", update_cols=["nope"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_small_source_does_not_shuffle_the_target(spark):
     target = spark.range(1000).selectExpr("cast(id AS string) AS id", "1 AS v")
-    source = spark.createDataFrame([("5", 2)], "id string, v int")
-    plan = upsert_small_source(target, source, "id")._jdf.queryExecution().executedPlan().toString()
+    source = spark.range(5, 6).selectExpr("cast(id AS string) AS id", "2 AS v")
+    plan = upsert_in_place(target, source, "id")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [id" not in plan.split("Union")[1].split("BroadcastHashJoin")[0]
     assert "FullOuter" not in plan
 
@@ -169,7 +181,8 @@ def test_high_water(spark):
     probe = spark.range(1)
     assert probe.select(high_water(df, "t")).first()[0] == hour(12)
     assert probe.select(high_water(None, "t")).first()[0] == datetime(2020, 1, 1)
-    assert probe.select(high_water(df.filter("false"), "t")).first()[0] is None
+    # An empty state must not keep all later runs from loading.
+    assert probe.select(high_water(df.filter("false"), "t")).first()[0] == datetime(2020, 1, 1)
 
 
 def test_since_day(spark):
@@ -291,16 +304,18 @@ def test_union_tagged_pads_with_null(spark, rows):
 
 # --- lookups -------------------------------------------------------------------------
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_band_lookup_overlaps_gaps_and_edges(spark, limit):
+@pytest.mark.parametrize("wide", [False, True])
+def test_band_lookup_overlaps_gaps_and_edges(spark, wide):
     rng = random.Random(2)
     bands = [(f"b{n}", low, low + rng.choice([0, 1, 7, 300])) for n, low in enumerate(rng.sample(range(-50, 400), 30))]
     bands += [("empty", 5, 4), ("nothing", None, 3)]
+    if wide:
+        bands += [("open", 100.0, float("inf")), ("all", float("-inf"), float("inf")), ("broad", -1e9, 1e9)]
     values = [(n, v) for n, v in enumerate([*range(-60, 420, 3), None, 10**9])]
     got = lookup.band_lookup(
         spark.createDataFrame(values, "n int, v int"), F.col("v"),
-        spark.createDataFrame(bands, "name string, low int, high int"), "low", "high", {"band": "name"},
-        max_broadcast_rows=limit,
+        spark.createDataFrame([(b, *[None if x is None else float(x) for x in limits]) for b, *limits in bands],
+                              "name string, low double, high double"), "low", "high", {"band": "name"},
     )
     want = []
     for n, v in values:
@@ -312,7 +327,7 @@ def test_band_lookup_overlaps_gaps_and_edges(spark, limit):
 def test_band_lookup_of_points(spark, rows):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.5,)], "v double")
     bands = spark.createDataFrame([(float(n), float(n), n) for n in range(5)], "low double, high double, name int")
-    got = lookup.band_lookup(df, F.col("v"), bands, "low", "high", {"band": "name"}, max_broadcast_rows=2)
+    got = lookup.band_lookup(df, F.col("v"), bands, "low", "high", {"band": "name"})
     assert rows(got) == [(1.0, 1), (2.0, 2), (2.5, None)]
 
 
@@ -354,9 +369,8 @@ def test_day_offsets_of_random_groups(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [1000, 10])
-def test_global_row_number(spark, limit):
+def test_global_row_number(spark):
     data = [(n * 7 % 100, n) for n in range(250)]
     df = spark.createDataFrame(data, "v int, n int").repartition(6)
-    got = {(r.v, r.n): r.number for r in global_row_number(df, ["v", "n"], "number", limit).collect()}
+    got = {(r.v, r.n): r.number for r in global_row_number(df, ["v", "n"], "number").collect()}
     assert got == {row: i + 1 for i, row in enumerate(sorted(data))}

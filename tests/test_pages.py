@@ -138,3 +138,19 @@ def test_markup_spans():
     assert page.first(None, "p", exact="k j") is not None
     assert page.first(page.first(None, "div"), "p", token="k") is None
     assert page.text(None) is None
+
+
+def test_unreadable_pages_are_put_aside(spark):
+    """A marked section of an unknown kind stops the parser; the other pages go on."""
+    pages = stored(spark, "".join(PARTS), "<![foo bar]]>" + "".join(PARTS), None)
+    assert pg.current_rows(pages).count() == 2
+    assert pg.forecast_cells(pages).count() == 0
+    for feed in ("current", "forecast"):
+        failed = pg.page_quarantine(pages, feed).collect()
+        assert [r.feed for r in failed] == [feed] and failed[0].html.startswith("<![foo") and failed[0].error
+
+
+def test_now_without_a_fetch_time(spark):
+    pages = spark.createDataFrame(
+        [("u", "p", "c", f"<table><tr>{cell('Now')}{cell('15:00')}</tr></table>", None)], schemas.STORED_PAGES)
+    assert [(r.clock, r.error) for r in pg.forecast_cells(pages).collect()] == [("Now", "unreadable hour"), ("15:00", None)]

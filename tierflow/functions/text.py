@@ -65,7 +65,13 @@ def normalised(value: Column) -> Column:
 
 
 def slug_to_title(slug: Column) -> Column:
-    return F.initcap(F.replace(slug, F.lit("-"), F.lit(" ")))
+    """Hyphens become blanks, and a letter is upper case exactly if no letter stands before it.
+
+    ``initcap`` sees words between blanks only, so one is put behind every other sign that
+    is no letter, with a mark by which it is taken out again.
+    """
+    spaced = F.regexp_replace(F.lower(F.replace(slug, F.lit("-"), F.lit(" "))), r"([^\p{L} ])", "$1\u0001 ")
+    return F.replace(F.initcap(spaced), F.lit("\u0001 "), F.lit(""))
 
 
 def _cast(value: Column, kind: str, strict: bool) -> Column:

@@ -12,11 +12,14 @@ def high_water(df: DataFrame | None, column: str, days: int = 2) -> Column:
     """``max(column) - days`` as a scalar subquery, or a fixed early time without state.
 
     The bound is computed inside the query: Spark evaluates it once and pushes the
-    comparison down to the scans that use it. An empty state gives NULL, as in SQL.
+    comparison down to the scans that use it. An empty state has no latest time; it gets
+    the early time too, else no later run would ever load anything.
     """
+    first = F.lit(FIRST_RUN).cast("timestamp_ntz")
     if df is None:
-        return F.lit(FIRST_RUN).cast("timestamp_ntz")
-    return df.select((F.max(column) - F.make_dt_interval(F.lit(days))).alias("bound")).scalar()
+        return first
+    bound = F.coalesce(F.max(column) - F.make_dt_interval(F.lit(days)), first)
+    return df.select(bound.alias("bound")).scalar()
 
 
 def since_day(as_of: str, days: int = 1) -> Column:

@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def small_copy(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """The rows as a local relation if there are at most ``max_rows``, else None.
-
-    At most ``max_rows + 1`` rows reach the driver. The copy has a proven size and its
-    plan is not computed again.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def dim_lookup(
     df: DataFrame, dim: DataFrame, on: str, dim_key: str, columns: dict[str, str]
 ) -> DataFrame:
@@ -36,45 +24,45 @@ def band_lookup(
     low: str,
     high: str,
     columns: dict[str, str],
-    max_broadcast_rows: int = 1000,
 ) -> DataFrame:
     """Left range lookup: every band with ``low <= value <= high``, or NULLs without one.
 
-    Up to ``max_broadcast_rows`` bands are broadcast. More of them are cut into buckets
-    and joined by bucket: a value lies in one bucket and a band meets each of its buckets
-    once, so the matches are the same. Buckets are as wide as the average band, which
-    keeps the number of cut pieces below twice the number of bands plus one each.
+    Bands are sorted into levels by their width, in powers of two. A level's cells are as
+    wide as its widest band, so a band lies in one cell of its level or two, and a value in
+    one cell of each level that has bands. Narrow bands are not affected by wide ones, and
+    open ended ones are as wide as all limits together. The distinct values are looked up by
+    (level, cell), an ordinary equality join, and joined back to their rows.
     """
     side = bands.select(
         F.col(low).alias("_low"), F.col(high).alias("_high"),
         *[F.col(c).alias(n) for n, c in columns.items()],
-    )
-    probed = df.withColumn("_value", value)
-    inside = F.col("_value").between(F.col("_low"), F.col("_high"))
-    copy = small_copy(side, max_broadcast_rows)
-    if copy is not None:
-        joined = probed.join(F.broadcast(copy), inside, "left")
-        return joined.select(*df.columns, *columns)
-
-    side = side.filter(F.col("_low") <= F.col("_high"))
-    lower, upper = F.col("_low").cast("double"), F.col("_high").cast("double")
-    # The second term keeps bucket numbers within BIGINT, the third keeps the width positive.
-    width = side.select(F.greatest(
-        F.avg(upper - lower),
-        F.max(F.greatest(F.abs(lower), F.abs(upper))) * 1e-12,
-        F.lit(1e-9),
-    )).scalar()
-
-    def bucket(column: Column) -> Column:
-        return F.floor(column.cast("double") / width)
-
-    pieces = side.withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col("_low")), bucket(F.col("_high"))))
-    )
-    joined = probed.withColumn("_probe", bucket(F.col("_value"))).join(
-        pieces, (F.col("_probe") == F.col("_bucket")) & inside, "left"
-    )
-    return joined.select(*df.columns, *columns)
+    ).filter(F.col("_low") <= F.col("_high"))
+    infinite = F.lit(float("inf"))
+    sizes = [F.abs(F.col(c).cast("double")) for c in ("_low", "_high")]
+    finite = [F.when(size < infinite, size) for size in sizes]
+    # The largest finite limit; everything beyond it is taken as just there.
+    edge = F.coalesce(side.select(F.max(F.greatest(*finite))).scalar(), F.lit(0.0))
+
+    def inside(column: Column) -> Column:
+        return F.greatest(-edge, F.least(edge, column.cast("double")))
+
+    width = F.greatest(inside(F.col("_high")) - inside(F.col("_low")), edge * 1e-12, F.lit(1e-9))
+    level = F.ceil(F.log2(width)).cast("int")
+
+    def cell(column: Column, at: Column) -> Column:
+        return F.floor(inside(column) / F.pow(F.lit(2.0), at))
+
+    side = side.withColumn("_level", level)
+    levels = side.select(F.collect_set("_level")).scalar()
+    pieces = side.withColumn("_cell", F.explode(F.array_distinct(F.array(
+        cell(F.col("_low"), F.col("_level")), cell(F.col("_high"), F.col("_level"))))))
+    valued = df.withColumn("_value", value)
+    probes = valued.select("_value").filter(F.col("_value").isNotNull()).distinct().select(
+        F.col("_value").alias("_probe"), F.explode(levels).alias("_level"))
+    probes = probes.withColumn("_cell", cell(F.col("_probe"), F.col("_level")))
+    found = probes.join(pieces, ["_level", "_cell"]).filter(
+        F.col("_probe").between(F.col("_low"), F.col("_high"))).select("_probe", *columns)
+    return valued.join(found, F.col("_value") == F.col("_probe"), "left").select(*df.columns, *columns)
 
 
 def orphans(

@@ -38,6 +38,29 @@ def unique_or_fail(df: DataFrame, keys: Sequence[str], spread: str | None = None
     return df.withColumn("_ok", ok).filter("_ok").drop("_ok")
 
 
+def _checked_columns(target, source, keys, update_cols) -> tuple[list[str], set[str]]:
+    """The columns of the result and those that a matched row changes, or an error."""
+    if set(target.columns) != set(source.columns):
+        raise ValueError(
+            f"columns differ: target {sorted(target.columns)}, source {sorted(source.columns)}"
+        )
+    columns = target.columns
+    changed = set(columns) - set(keys) if update_cols is None else set(update_cols)
+    unknown = changed - set(columns)
+    if unknown:
+        raise ValueError(f"unknown update columns: {sorted(unknown)}")
+    return columns, changed
+
+
+def _is_update(newer_by: str | None) -> Column:
+    """Does the joined source row replace the target row?"""
+    update = F.col("_s_here").isNotNull()
+    if newer_by:
+        ours, theirs = F.col(newer_by), F.col(f"_s_{newer_by}")
+        update = update & (ours.isNull() | F.coalesce(theirs >= ours, F.lit(False)))
+    return update
+
+
 def upsert(
     target: DataFrame | None,
     source: DataFrame,
@@ -65,15 +88,7 @@ def upsert(
             return source
         spread = spread_null_keys(source, keys, "_spread")
         return unique_or_fail(spread, keys, "_spread").drop("_spread")
-    if set(target.columns) != set(source.columns):
-        raise ValueError(
-            f"columns differ: target {sorted(target.columns)}, source {sorted(source.columns)}"
-        )
-    columns = target.columns
-    changed = set(columns) - set(keys) if update_cols is None else set(update_cols)
-    unknown = changed - set(columns)
-    if unknown:
-        raise ValueError(f"unknown update columns: {sorted(unknown)}")
+    columns, changed = _checked_columns(target, source, keys, update_cols)
 
     new = spread_null_keys(source, keys, "_spread")
     if check_unique:
@@ -84,10 +99,7 @@ def upsert(
     match = [F.col(k) == F.col(f"_s_{k}") for k in keys]
     joined = old.join(new, [*match, F.col("_t_spread") == F.col("_s_spread")], "full")
     inserted = F.col("_t_here").isNull()
-    update = F.col("_s_here").isNotNull()
-    if newer_by:
-        ours, theirs = F.col(newer_by), F.col(f"_s_{newer_by}")
-        update = update & (ours.isNull() | F.coalesce(theirs >= ours, F.lit(False)))
+    update = _is_update(newer_by)
 
     def merged(name: str) -> Column:
         take = (inserted | update) if name in changed else inserted
@@ -96,43 +108,38 @@ def upsert(
     return joined.select(*[merged(c) for c in columns])
 
 
-def upsert_small_source(
+def upsert_in_place(
     target: DataFrame,
     source: DataFrame,
-    key: str,
-    max_rows: int = 10_000,
-    **options,
+    key: str | Sequence[str],
+    update_cols: Sequence[str] | None = None,
+    newer_by: str | None = None,
+    drop_null_keys: bool = False,
+    check_unique: bool = True,
 ) -> DataFrame:
-    """Upsert that leaves a large target where it is when the source is small.
+    """``upsert`` as a left join and an append, for a target that should not be shuffled.
 
-    The source is counted up to ``max_rows``. Within that bound it is broadcast: target
-    rows are updated in a map-side left join, and the source rows whose key is absent
-    from the target are appended. Beyond it this is the plain ``upsert``.
+    The target is updated by a left join with the source; the source rows whose key the
+    target lacks are appended. Spark's statistics decide how each join runs: a small source
+    is broadcast and the target stays where it is, a large one is sorted and merged. The
+    rows, the checks and the errors are those of ``upsert`` at every size.
     """
-    if source.limit(max_rows + 1).count() > max_rows:
-        return upsert(target, source, key, **options)
-    if options.pop("drop_null_keys", False):
-        source = source.dropna(subset=[key])
-    if options.pop("check_unique", True):
-        source = unique_or_fail(source, [key])
-    columns = target.columns
-    update_cols = options.pop("update_cols", None)
-    newer_by = options.pop("newer_by", None)
-    if options:
-        raise TypeError(f"unknown options: {sorted(options)}")
-    changed = set(columns) - {key} if update_cols is None else set(update_cols)
+    keys = _names(key)
+    if drop_null_keys:
+        source = source.dropna(subset=keys)
+    columns, changed = _checked_columns(target, source, keys, update_cols)
+    if check_unique:
+        source = unique_or_fail(spread_null_keys(source, keys, "_spread"), keys, "_spread").drop("_spread")
     new = source.select(*[F.col(c).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_s_here"))
-    joined = target.join(F.broadcast(new), F.col(key) == F.col(f"_s_{key}"), "left")
-    update = F.col("_s_here").isNotNull()
-    if newer_by:
-        ours, theirs = F.col(newer_by), F.col(f"_s_{newer_by}")
-        update = update & (ours.isNull() | F.coalesce(theirs >= ours, F.lit(False)))
+    joined = target.join(new, [F.col(k) == F.col(f"_s_{k}") for k in keys], "left")
+    update = _is_update(newer_by)
     updated = joined.select(*[
         F.when(update, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
         for c in columns
     ])
-    matched = target.select(key).join(F.broadcast(source.select(key)), key, "left_semi").distinct()
-    inserted = source.select(*columns).join(matched, key, "left_anti")
+    # Of the target's keys only those of the source are left, once each.
+    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+    inserted = source.select(*columns).join(matched, keys, "left_anti")
     return updated.unionByName(inserted)
 
 

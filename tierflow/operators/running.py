@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierflow.operators.lookup import small_copy
 from tierflow.session import checkpointed
 
 
@@ -51,22 +50,16 @@ def day_offsets(
     )
 
 
-def global_row_number(
-    df: DataFrame, order: list[str], name: str, max_single_rows: int = 100_000
-) -> DataFrame:
+def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Number all rows by ``order``, which has to be unique.
 
-    A dimension of up to ``max_single_rows`` rows is numbered by an ordinary window. A
-    larger one is range-partitioned and checkpointed; each partition is numbered by
-    itself and shifted by the sizes of those before it.
+    The rows are range-partitioned; each is numbered within its partition and shifted by
+    the sizes of the partitions before it. A range's number and the places in it follow from
+    the sort, so no row is gathered anywhere; only the sizes are summed, one row each.
     """
     ordering = [F.asc_nulls_last(c) for c in order]
-    copy = small_copy(df, max_single_rows)
-    if copy is not None:
-        return copy.withColumn(name, F.row_number().over(Window.orderBy(*ordering)))
     # The identifier holds the partition in its upper bits and the position below them.
-    ranked = df.orderBy(*ordering).withColumn("_id", F.monotonically_increasing_id())
-    ranked = checkpointed(ranked)
+    ranked = checkpointed(df.orderBy(*ordering).withColumn("_id", F.monotonically_increasing_id()))
     part = F.shiftright("_id", 33)
     sizes = ranked.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     # One row per partition of the sort, so this window is small by construction.

@@ -74,16 +74,19 @@ def refresh_dimension(
     spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
     full_refresh: bool = False,
 ) -> DataFrame:
-    """Merge a dimension into its latest version and write the result as a new one."""
+    """Merge a dimension into its latest version and write the result as a new one.
+
+    Rows without a key would match nothing and be added by every run, so they are left out.
+    """
     latest = None if full_refresh else tables.latest_version(spark, path)
     state = None if latest is None else spark.read.parquet(latest)
-    merged = upsert(state, build(state), "id")
+    merged = upsert(state, build(state), "id", drop_null_keys=True)
     return spark.read.parquet(tables.write_version(merged, path))
 
 
 def refresh_gold(
     spark: SparkSession, base: str, batch: str, as_of: Column, full_refresh: bool = False,
-    grain: str = "exact",
+    grain: str = "hour",
 ) -> None:
     """Bring the dimensions and the fact up to date with the typed tables."""
     actual, forecast = silver_tables(spark, base)

@@ -59,20 +59,30 @@ def read_pages(
     """Replace the page text by the record that ``read`` makes of it.
 
     ``read`` gets a dict of the page text and the ``extra`` columns. Other columns pass
-    through Python as they are, as Arrow buffers.
+    through Python as they are, as Arrow buffers. A page that cannot be read has no record
+    but the reason in ``page_error``; it never stops the others.
     """
     kept = [name for name in df.columns if name != html]
-    schema = T.StructType([df.schema[name] for name in kept]).add("record", record)
+    schema = T.StructType([df.schema[name] for name in kept]).add("record", record).add("page_error", _STR)
     arrow = to_arrow_type(record)
     needed = (html, *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(name).to_pylist() for name in needed]
-            records = [read(dict(zip(("html", *extra), row))) for row in zip(*columns)]
+            records, errors = [], []
+            for row in zip(*columns):
+                record_, error = None, None
+                try:
+                    record_ = read(dict(zip(("html", *extra), row)))
+                except Exception as problem:  # whatever the page did to the parser
+                    error = f"{type(problem).__name__}: {problem}"[:500]
+                records.append(record_)
+                errors.append(error)
             arrays = [batch.column(name) for name in kept]
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(records, type=arrow)], names=[*kept, "record"]
+                [*arrays, pa.array(records, type=arrow), pa.array(errors, type=pa.string())],
+                names=[*kept, "record", "page_error"],
             )
 
     return df.mapInArrow(run, schema)
@@ -129,6 +139,8 @@ def read_forecast(row: dict) -> dict:
         try:
             now = clock.lower() == "now"
             hour = row["fetch_hour"] if now else int(clock.split(":")[0])
+            if hour is None:
+                raise ValueError("fetch time is missing")
             if not -2**31 <= hour < 2**31:
                 raise ValueError("hour out of range")
             cell["hour"] = hour
@@ -185,6 +197,7 @@ def read_items(row: dict) -> list[dict]:
 def current_rows(pages: DataFrame, labels: Mapping[str, str] = tx.WEATHER_LABELS) -> DataFrame:
     """One raw row of fourteen text columns per stored page."""
     read = read_pages(pages.select("province", "city", "fetched_ts", "html"), read_current, CURRENT_RECORD)
+    read = read.filter(F.col("page_error").isNull())
 
     def field(name):
         return F.col(f"record.{name}")
@@ -244,12 +257,29 @@ def quarantine(df: DataFrame) -> DataFrame:
     return df.filter(F.col("error").isNotNull())
 
 
+def page_quarantine(pages: DataFrame, feed: str) -> DataFrame:
+    """The pages of a feed (``current`` or ``forecast``) that cannot be read, with the reason."""
+    wanted = pages.select(
+        "province", "city", "fetched_ts", "html", F.hour("fetched_ts").alias("fetch_hour"),
+        F.col("html").alias("page"),
+    )
+    read, record = {
+        "current": (read_current, CURRENT_RECORD), "forecast": (read_forecast, FORECAST_RECORD),
+    }[feed]
+    failed = read_pages(wanted, read, record, extra=("fetch_hour",)).filter(F.col("page_error").isNotNull())
+    return failed.select(
+        F.lit(feed).alias("feed"), "province", "city", "fetched_ts",
+        F.col("page").alias("html"), F.col("page_error").alias("error"),
+    )
+
+
 def page_info(
     pages: DataFrame, country_href: str = "/indonesia", country: str = "Indonesia"
 ) -> DataFrame:
     """Language, title, country and city named by the main heading of each page."""
     wanted = pages.withColumn("country_href", F.lit(country_href))
     read = read_pages(wanted, read_page_info, PAGE_RECORD, extra=("country_href",))
+    read = read.filter(F.col("page_error").isNull())
     city = F.replace(F.col("record.h1"), F.lit("Air quality in "), F.lit(""))
     return read.select(
         *[c for c in pages.columns if c != "html"],

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from tierflow.operators.merge import upsert, upsert_small_source
+from tierflow.operators.merge import upsert, upsert_in_place
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -239,9 +239,9 @@ def upsert_table(
     """
     if combine is None:
         def combine(old, new):
-            if old is None or not isinstance(key, str):
+            if old is None:
                 return upsert(old, new, key, **options)
-            return upsert_small_source(old, new, key, **options)
+            return upsert_in_place(old, new, key, **options)
 
     spark = source.sparkSession
     names = list(partitions)

@@ -80,9 +80,8 @@ def _text(*parts):
 def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer to make a page of, fetched 37 minutes after the one before."""
     # A page is far larger, and far more work, than the row it is made from. The narrow rows
-    # are spread before they grow.
-    slots = spark.sparkContext.defaultParallelism * 2
-    rows = table(spark, sf_dir, "customer").repartition(slots, "c_custkey")
+    # are spread before they grow, over as many tasks as shuffles use.
+    rows = table(spark, sf_dir, "customer").repartition("c_custkey")
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     rows = rows.withColumn("ts", F.timestamp_add("MINUTE", F.col("c_custkey") * 37, start))
     return rows.select(
@@ -115,7 +114,12 @@ def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("number") % 5 == 0, "").otherwise(card),
         '<h2>Air quality • ', F.col("hour_text"), ' Local time</h2></body></html>',
     )
-    return _page_base(spark, sf_dir).withColumn("html", html)
+    return _page_base(spark, sf_dir).withColumn("html", _damaged(html, F.col("number") % 11 == 5))
+
+
+def _damaged(html, when):
+    """Some pages begin with a marked section of an unknown kind, on which the parser gives up."""
+    return F.when(when, F.concat(F.lit("<![foo bar]]>"), html)).otherwise(html)
 
 
 def forecast_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,4 +154,4 @@ def forecast_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<html><body><h2>Now at ', F.col("hour_text"), '</h2><table><tr>', cells,
         '<td>no clock</td></tr></table></body></html>',
     )
-    return _page_base(spark, sf_dir).withColumn("html", html)
+    return _page_base(spark, sf_dir).withColumn("html", _damaged(html, F.col("number") % 13 == 5))

@@ -175,8 +175,11 @@ def _band(x):
 
 
 def _title(x):
-    words = f"list_transform(string_split(replace({x}, '-', ' '), ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2)))"
-    return f"array_to_string({words}, ' ')"
+    """Sign by sign: a letter is upper case if the sign before it is no letter."""
+    s = f"lower(replace({x}, '-', ' '))"
+    sign = (f"CASE WHEN i = 1 OR NOT regexp_matches(substr({s}, i - 1, 1), '\\p{{L}}') "
+            f"THEN upper(substr({s}, i, 1)) ELSE substr({s}, i, 1) END")
+    return f"array_to_string(list_transform(range(1, length({s}) + 1), lambda i: {sign}), '')"
 
 
 _MEASURES = """[CAST(value AS VARCHAR) || '°', CASE WHEN event_id % 3 = 0 THEN CAST(value AS VARCHAR) || ' km/h' ELSE 'calm' END,
@@ -191,7 +194,7 @@ _PAGE = """pg AS (SELECT *, 'Region ' || (nation % 5) AS province_t, 'New City '
  TIMESTAMP '2024-01-01' + to_minutes(c_custkey * 37) AS ts FROM customer))"""
 
 _CELLS = f"""{_PAGE}, cells AS (SELECT pg.*, i, number % 7 = 0 AND i = 3 AS bad_hour, number % 9 = 0 AND i = 2 AS bad_metric,
- CASE WHEN i = 0 THEN hour(ts) ELSE (hour(ts) + i * 5) % 24 END AS h FROM pg, range(6) r(i)),
+ CASE WHEN i = 0 THEN hour(ts) ELSE (hour(ts) + i * 5) % 24 END AS h FROM pg, range(6) r(i) WHERE number % 13 <> 5),
  dated AS (SELECT *, sum(CASE WHEN h < prev THEN 1 ELSE 0 END) OVER (PARTITION BY number ORDER BY i) AS day_offset FROM
  (SELECT *, lag(h) OVER (PARTITION BY number ORDER BY i) AS prev FROM cells WHERE NOT bad_hour))"""
 
@@ -278,7 +281,8 @@ SQL = {
     "range_lookup": """SELECT o_orderkey, o_totalprice, n_name AS band FROM orders LEFT JOIN nation
  ON o_totalprice BETWEEN n_nationkey * 20000 AND n_nationkey * 20000 + 18000""",
     "range_lookup_many": """SELECT o_orderkey, o_totalprice, p_partkey AS band FROM orders LEFT JOIN part
- ON o_totalprice BETWEEN p_partkey * 40 AND p_partkey * 40 + p_size""",
+ ON o_totalprice >= CASE p_partkey WHEN 2 THEN 1000 ELSE p_partkey * 40 END
+ AND (p_partkey = 1 OR o_totalprice <= CASE p_partkey WHEN 2 THEN 1e9 ELSE p_partkey * 40 + p_size END)""",
     "fact_with_lookups": f"""WITH {_LOOKED_UP}, c AS ({_DIM_CITY} sa), k AS ({_DIM_CAT} sa GROUP BY aqi_status)
  SELECT fact_id, event_ts, c.id AS city_id, aqi, k.id AS aqi_id, weather_condition, temp_val, humidity_val, wind_val,
  pollutant_val, main_pollutant, wind_dir, alert, scraped_ts AS load_ts, observation_ts
@@ -344,7 +348,7 @@ SQL = {
  SELECT o_orderkey, try_strptime(obs || ', ' || year(o_orderdate), '%H:%M, %b %d, %Y') AS event_ts,
  try_strptime(obs || ', ' || (year(o_orderdate) - CASE WHEN month(o_orderdate) = 1 AND contains(obs, 'Dec') THEN 1 ELSE 0 END),
  '%H:%M, %b %d, %Y') AS event_ts_fixed FROM o""",
-    "target_list": f"""WITH l AS (SELECT 'west-' || lower(c_mktsegment) AS p, lower(replace(c_name, '#', '-')) || '-' || i AS c
+    "target_list": f"""WITH l AS (SELECT 'west-' || lower(c_mktsegment) AS p, lower(replace(c_name, '#', '_d''arc-3rd')) || '-' || i AS c
  FROM customer, range(1, 4) r(i)) SELECT p AS province_slug, c AS city_slug, {_title('p')} AS province, {_title('c')} AS city,
  'https://example.org/' || p || '/' || c AS url FROM l""",
     "topn_recent": f"WITH {SA} {_SILVER_A} WHERE event_ts IS NOT NULL ORDER BY event_ts DESC, city LIMIT 10",
@@ -364,7 +368,7 @@ SQL = {
  CASE WHEN number % 5 = 0 THEN 'N/A' ELSE CAST(value AS VARCHAR) || ' km/h' END AS wind_speed,
  CASE WHEN number % 5 = 0 THEN 'N/A' ELSE {_compass('CAST(floor(value * 7) AS INTEGER) % 360')} END AS wind_direction,
  CASE WHEN number % 3 = 0 THEN 'No Alert' ELSE 'Alert & ' || status END AS alert,
- hour_text AS observation_ts, scraped AS scraped_ts FROM pg""",
+ hour_text AS observation_ts, scraped AS scraped_ts FROM pg WHERE number % 11 <> 5""",
     "forecast_extract": f"""WITH {_CELLS} SELECT province_t AS province, city_t AS city,
  strftime(CAST(ts AS DATE) + CAST(day_offset AS INTEGER), '%Y-%m-%d') || ' ' || lpad(CAST(h AS VARCHAR), 2, '0') || ':00:00' AS forecast_ts,
  CAST(CAST(floor(value) AS INTEGER) + i AS VARCHAR) AS aqi,
@@ -378,9 +382,17 @@ SQL = {
  UNION ALL SELECT NULL AS province, * EXCLUDE (province), count(*) OVER () FROM fa""",
     "csv_roundtrip": "SELECT * FROM customer",
     "ensure_table": "SELECT * FROM customer",
+    "page_quarantine": f"""WITH {_PAGE} SELECT 'current' AS feed, * FROM (SELECT 'region-' || (nation % 5) AS province,
+ 'new-city-' || nation AS city, ts AS fetched_ts, 'AssertionError' AS error FROM pg WHERE number % 11 = 5)
+ UNION ALL SELECT 'forecast', 'region-' || (nation % 5), 'new-city-' || nation, ts, 'AssertionError' FROM pg WHERE number % 13 = 5""",
     "catalog_scan": " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-        for t in "region nation customer supplier part orders lineitem events".split()
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, min({k})::BIGINT AS min_key, max({k})::BIGINT AS max_key, count({c}) AS filled FROM {t}"
+        for t, k, c in (
+            ("region", "r_regionkey", "r_name"), ("nation", "n_nationkey", "n_name"), ("customer", "c_custkey", "c_acctbal"),
+            ("supplier", "s_suppkey", "s_acctbal"), ("part", "p_partkey", "p_retailprice"), ("orders", "o_orderkey", "o_orderdate"),
+            ("lineitem", "l_orderkey", "l_shipdate"), ("events", "event_id", "ts"), ("documents", "doc_id", "source"),
+            ("embeddings", "vec_id", "label"), ("pages", "page_id", "url"), ("benchmark", "item_id", "text"),
+            ("labels", "doc_id", "quality"), ("conversations", "conv_id", "turn"))
     ),
     "build_dimension": """SELECT upper(md5(p_brand || p_type)) AS id, p_brand, p_type, min(p_size) AS min_size,
  max(p_size) AS max_size, max(p_retailprice) AS top_price FROM part GROUP BY p_brand, p_type""",

@@ -71,28 +71,34 @@ def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _keyed(actual, forecast):
+    """Typed tables have one row per city and time; rows without them match nothing."""
+    return actual.dropna(subset=["city", "event_ts"]), forecast.dropna(subset=["city", "forecast_ts"])
+
+
 def fact_reconciled(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.fact_rows(_actual(spark, sf), _forecast(spark, sf))
+    return gold.fact_rows(*_keyed(_actual(spark, sf), _forecast(spark, sf)), unique_inputs=True)
 
 
 def _prior_fact(actual, forecast):
-    return _stored(gold.fact_rows(actual.filter(PRIOR), forecast.filter(PRIOR)))
+    """The fact that an earlier run has left, as the stored table that it is."""
+    return _stored(gold.fact_rows(actual.filter(PRIOR), forecast.filter(PRIOR), unique_inputs=True))
 
 
 def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored_silver(spark, sf)
-    return gold.fact_rows(actual, forecast, _prior_fact(actual, forecast))
+    actual, forecast = _keyed(_actual(spark, sf), _forecast(spark, sf))
+    return gold.fact_rows(actual, forecast, _prior_fact(actual, forecast), unique_inputs=True)
 
 
 def fact_merged(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _stored_silver(spark, sf)
-    return gold.fact_merged(actual, forecast, _prior_fact(actual, forecast))
+    actual, forecast = _keyed(_actual(spark, sf), _forecast(spark, sf))
+    return gold.fact_merged(actual, forecast, _prior_fact(actual, forecast), unique_inputs=True)
 
 
 def rolling_day(spark: SparkSession, sf: str) -> DataFrame:
     rows = gold.reconciled(
-        _actual(spark, sf), _forecast(spark, sf),
-        since=since_day("2024-01-30"), keep="last", prefer="actual",
+        *_keyed(_actual(spark, sf), _forecast(spark, sf)),
+        since=since_day("2024-01-30"), prefer="actual", unique_inputs=True,
     )
     return rows.withColumn("fact_id", entity_hour_key(F.col("city"), F.col("event_ts"), 6))
 
@@ -198,14 +204,16 @@ def range_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def range_lookup_many(spark: SparkSession, sf: str) -> DataFrame:
-    """Bands that grow with the data, joined by bucket."""
+    """Bands that grow with the data; the first is open upwards, the second spans nearly everything."""
+    at = F.col("p_partkey") * 40
     bands = table(spark, sf, "part").select(
-        (F.col("p_partkey") * 40).alias("low"),
-        (F.col("p_partkey") * 40 + F.col("p_size")).alias("high"), "p_partkey",
+        F.when(F.col("p_partkey") == 2, 1000).otherwise(at).cast("double").alias("low"),
+        F.when(F.col("p_partkey") == 1, float("inf")).when(F.col("p_partkey") == 2, 1e9)
+        .otherwise(at + F.col("p_size")).cast("double").alias("high"), "p_partkey",
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return band_lookup(
-        orders, F.col("o_totalprice"), bands, "low", "high", {"band": "p_partkey"}, max_broadcast_rows=100
+        orders, F.col("o_totalprice"), bands, "low", "high", {"band": "p_partkey"}
     )
 
 
@@ -228,7 +236,7 @@ def star_integrity(spark: SparkSession, sf: str) -> DataFrame:
     actual, forecast = _stored_silver(spark, sf)
     stamp = times.local_stamp(FIRST_RUN_AT)
     return gold.star_integrity(
-        gold.fact_rows(actual, forecast), gold.dim_city(actual, stamp),
+        gold.fact_rows(*_keyed(actual, forecast), unique_inputs=True), gold.dim_city(actual, stamp),
         gold.dim_category(actual, stamp), gold.dim_date(actual.filter(PRIOR), forecast.filter(PRIOR), stamp),
     )
 
@@ -266,7 +274,7 @@ def hour_rollover(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_row_detail(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stored(_forecast(spark, sf)).select("city", "forecast_ts", "province", "weather_condition", "aqi_val")
+    rows = _forecast(spark, sf).select("city", "forecast_ts", "province", "weather_condition", "aqi_val")
     return first_row_only(rows, ["city"], ["forecast_ts"], ["province", "weather_condition"])
 
 
@@ -358,7 +366,8 @@ def year_rollover(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def targets(spark: SparkSession, sf: str) -> DataFrame:
-    slug = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("-")))
+    # Names with every sign that may stand beside a letter.
+    slug = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("_d'arc-3rd")))
     locations = table(spark, sf, "customer").select(
         F.concat(F.lit("west-"), F.lower("c_mktsegment")).alias("province"),
         F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.concat(slug, F.lit("-"), i.cast("string"))).alias("cities"),
@@ -384,6 +393,15 @@ def current_extract(spark: SparkSession, sf: str) -> DataFrame:
     return pg.current_rows(feeds.current_pages(spark, sf))
 
 
+def page_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    current = pg.page_quarantine(feeds.current_pages(spark, sf), "current")
+    forecast = pg.page_quarantine(feeds.forecast_pages(spark, sf), "forecast")
+    return current.unionByName(forecast).select(
+        "feed", "province", "city", "fetched_ts",
+        F.substring_index("error", ":", 1).alias("error"),
+    )
+
+
 def forecast_extract(spark: SparkSession, sf: str) -> DataFrame:
     return pg.forecast_rows(pg.forecast_cells(feeds.forecast_pages(spark, sf)))
 
@@ -435,11 +453,24 @@ def ensure_table(spark: SparkSession, sf: str) -> DataFrame:
     return tables.ensure_table(spark, path, customers.schema)
 
 
+# Per table its key and one more column.
+CATALOG = {
+    "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name"), "customer": ("c_custkey", "c_acctbal"),
+    "supplier": ("s_suppkey", "s_acctbal"), "part": ("p_partkey", "p_retailprice"), "orders": ("o_orderkey", "o_orderdate"),
+    "lineitem": ("l_orderkey", "l_shipdate"), "events": ("event_id", "ts"), "documents": ("doc_id", "source"),
+    "embeddings": ("vec_id", "label"), "pages": ("page_id", "url"), "benchmark": ("item_id", "text"),
+    "labels": ("doc_id", "quality"), "conversations": ("conv_id", "turn"),
+}
+
+
 def catalog_scan(spark: SparkSession, sf: str) -> DataFrame:
     result = None
-    for name in "region nation customer supplier part orders lineitem events".split():
-        part = table(spark, sf, name).agg(F.count(F.lit(1)).alias("row_count"))
-        part = part.select(F.lit(name).alias("table_name"), "row_count")
+    for name, (key, other) in CATALOG.items():
+        part = table(spark, sf, name).agg(
+            F.count(F.lit(1)).alias("row_count"), F.min(F.col(key).cast("long")).alias("min_key"),
+            F.max(F.col(key).cast("long")).alias("max_key"), F.count(other).alias("filled"),
+        )
+        part = part.select(F.lit(name).alias("table_name"), "*")
         result = part if result is None else result.unionAll(part)
     return result
 
@@ -476,7 +507,7 @@ QUERIES = {
         category_palette, point_lookup, hour_rollover, first_row_detail, wind_cardinal,
         code_lookup, unit_routing, unit_routing_rows, observation_text, default_fill,
         year_rollover, topn_recent, pages_extract, pages_extract_items, current_extract,
-        forecast_extract, forecast_quarantine, bronze_append_evolve, partitioned_write,
+        forecast_extract, forecast_quarantine, page_quarantine, bronze_append_evolve, partitioned_write,
         csv_roundtrip, insert_values, ensure_table, catalog_scan, build_dimension, stream_upsert,
     )
 } | {"dim_lookup": dim_lookup_city, "target_list": targets}
