@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tierflow.session import scratch_path
 
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE, BYTES_AT_ONCE = 512, 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of a few rows, so that the Python copies stay small."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of bounded rows and bytes, so that the Python copies stay small.
+
+    A row larger than the bound is a slice of its own.
+    """
+    def cut(batch):
+        if batch.num_rows > rows or (batch.num_rows > 1 and batch.nbytes > size):
+            half = batch.num_rows // 2 if batch.num_rows <= rows else rows
+            yield from cut(batch.slice(0, half))
+            yield from cut(batch.slice(half))
+        elif batch.num_rows:
+            yield batch
+
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+            yield from cut(batch.slice(start, rows))
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -14,7 +14,7 @@ import numpy as np
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 0
-BLOCK = 128
+BLOCK = 512
 
 
 def block_ends(sizes: np.ndarray, block: int = BLOCK) -> np.ndarray:

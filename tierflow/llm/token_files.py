@@ -6,7 +6,7 @@ rereads it wherever the shared folder is. The payload is little-endian:
     magic "S8B1", n_docs u32, n_blocks u32, n_words u32, bits of null keys u8 * ceil(n_docs / 8)
     keys i64 * n_docs, ids per document u32 * n_docs, word offsets u32 * n_blocks, words u64 * n_words
 
-A document's ids are cut into blocks of 128 that are packed by themselves, so any document
+A document's ids are cut into blocks of 512 that are packed by themselves, so any document
 can be unpacked alone.
 """
 
@@ -44,7 +44,8 @@ def write_payload(keys: list[int | None], ids: list[np.ndarray]) -> bytes:
     ])
 
 
-def read_payload(payload: bytes) -> tuple[list[int | None], list[np.ndarray]]:
+def read_flat(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """Keys, numbers of ids, and all ids in a row."""
     if payload[:4] != MAGIC:
         raise ValueError("not a token file")
     n_docs, n_blocks, n_words = np.frombuffer(payload, "<u4", 3, 4)
@@ -60,7 +61,12 @@ def read_payload(payload: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     keys, sizes = take("<i8", n_docs).tolist(), take("<u4", n_docs).astype(np.int64)
     offsets, words = take("<u4", n_blocks), take("<u8", n_words)
     values = unpack(words, offsets, block_ends(sizes))
-    return [None if null else key for key, null in zip(keys, nulls)], np.split(values, np.cumsum(sizes)[:-1])
+    return [None if null else key for key, null in zip(keys, nulls)], sizes, values
+
+
+def read_payload(payload: bytes) -> tuple[list[int | None], list[np.ndarray]]:
+    keys, sizes, values = read_flat(payload)
+    return keys, np.split(values, np.cumsum(sizes)[:-1])
 
 
 def _byte_letters() -> dict[int, str]:
@@ -160,10 +166,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for shard, part, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, ids = read_payload(payload)
-                n = len(keys)
-                yield arrow_batch(schema, [shard] * n, [part] * n, range(n), keys, [len(i) for i in ids],
-                                  [zlib.crc32(i.astype("<u4").tobytes()) for i in ids])
+                keys, sizes, values = read_flat(payload)
+                n, whole, ends = len(keys), memoryview(values.astype("<u4").tobytes()), (4 * np.cumsum(sizes)).tolist()
+                crcs = [zlib.crc32(whole[start:end]) for start, end in zip([0, *ends], ends)]
+                yield arrow_batch(schema, [shard] * n, [part] * n, range(n), keys, pa.array(sizes), crcs)
 
     return spark.read.schema(FILE_SCHEMA).parquet(path).drop("n_ids").mapInArrow(
         run, "shard int, part int, nth int, doc_id long, n_tokens long, ids_crc32 long")
