@@ -31,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
     before = state(current)
     while before[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _pointed(stored(both, "both"), 2 * before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _pointed(both, 2 * before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.filter("u <> v").distinct(), "large")
         # Every edge goes from the larger to the smaller node here.
         near = _pointed(large, large.count())

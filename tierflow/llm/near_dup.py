@@ -1,10 +1,12 @@
 """Near-duplicate components: an n-gram Jaccard join by T-occurrence search.
 
-Two sets can only reach the similarity if they share one of their first shingles in a
-common order: infrequent ones first, those known to be frequent last. So
+Two sets can only reach the similarity if they share some of their first shingles in a
+common order: infrequent ones first, those known to be frequent last. With ``SHARED`` more
+shingles in each beginning, they share that many. So
 
 1. equal sets are one record;
-2. each record's first shingles meet in buckets, and those of a single record end there;
+2. each record's first shingles meet in buckets, and those of a single record end there, as
+   do records that meet others in too few shingles;
 3. a shingle's records are searched: one record is the query, the others' sets are indexed
    by inverted lists, and DivideSkip finds those that share enough shingles: the short
    lists are merged by a heap, the long ones are probed by binary search;
@@ -35,6 +37,8 @@ GROUP = 256
 #: A shingle counts as frequent if partitions that hold it three times or more hold it so often in all.
 FREQUENT, FREQUENT_MOST = 24, 1 << 18
 ROUNDS = 2
+#: Shingles that linked sets share in their beginnings, or all that they have to share if that is less.
+SHARED = 8
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -132,8 +136,9 @@ class Order:
         return np.where(self.tokens[at] == shingles, self.rank[at], 0)
 
     def first(self, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first shingles of a set, as many as a linked set has to meet, and their ranks."""
-        count = len(shingles) - least_overlap(len(shingles), percent) + 1
+        """The beginning of a set in this order, and the ranks of its shingles."""
+        least = least_overlap(len(shingles), percent)
+        count = len(shingles) - least + min(SHARED, least)
         rank = self.ranks(shingles)
         order = np.lexsort((shingles, rank))[:count]
         return shingles[order], rank[order]
@@ -141,19 +146,19 @@ class Order:
 
 _BUCKET = pa.schema([("bucket", pa.int64()), ("tokens", pa.binary()), ("sigs", pa.binary()), ("sizes", pa.binary())])
 _BUCKET_KIND = "bucket long, tokens binary, sigs binary, sizes binary"
-_MET = pa.schema([("token", pa.int64()), ("sig", pa.int64()), ("n", pa.int64())])
-_MET_KIND = "token long, sig long, n long"
+_MET = pa.schema([("token", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("often", pa.bool_())])
+_MET_KIND = "token long, sig long, n long, often boolean"
 
 
 def _deal(batches, order, buckets, width, percent):
-    """First shingles by bucket, packed. The frequent ones, whose number is bounded, go to bucket -1."""
+    """First shingles by bucket, packed. The frequent ones are met for sure; they go to buckets below 0 by record."""
     seen: set[int] = set()
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
 
     def flush():
         tokens, ranks, sigs, sizes = (np.concatenate(c) for c in zip(*held))
-        bucket = np.where(ranks > 0, -1, (tokens & np.uint64(buckets - 1)).astype(np.int64))
+        bucket = np.where(ranks > 0, -1 - (sigs & (buckets - 1)), (tokens & np.uint64(buckets - 1)).astype(np.int64))
         by = np.argsort(bucket, kind="stable")
         tokens, sigs, sizes, bucket = tokens[by], sigs[by], sizes[by], bucket[by]
         borders = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
@@ -181,17 +186,9 @@ def _deal(batches, order, buckets, width, percent):
         yield from flush()
 
 
-def _unpacked(batches):
-    """The frequent shingles' rows, as they are."""
-    for batch in batches:
-        for tokens, sigs, sizes in zip(*(c.to_pylist() for c in batch.columns[1:])):
-            yield arrow_batch(_MET, pa.array(np.frombuffer(tokens, np.int64)), pa.array(np.frombuffer(sigs, np.int64)),
-                              pa.array(np.frombuffer(sizes, np.int32).astype(np.int64)))
-
-
 def _meet(batches):
     """Shingles of two or more records, from rows sorted by bucket; one bucket is held at a time."""
-    def shared(rows):
+    def shared(rows, often):
         tokens = np.frombuffer(b"".join(r[0] for r in rows), np.int64)
         sigs = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
         sizes = np.frombuffer(b"".join(r[2] for r in rows), np.int32).astype(np.int64)
@@ -201,19 +198,19 @@ def _meet(batches):
         new[1:] = (tokens[1:] != tokens[:-1]) | (sigs[1:] != sigs[:-1])
         tokens, sigs, sizes = tokens[new], sigs[new], sizes[new]
         same = tokens[1:] == tokens[:-1]
-        met = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        return arrow_batch(_MET, pa.array(tokens[met]), pa.array(sigs[met]), pa.array(sizes[met]))
+        met = np.concatenate([[often], same | often]) | np.concatenate([same, [False]])
+        return arrow_batch(_MET, pa.array(tokens[met]), pa.array(sigs[met]), pa.array(sizes[met]), [often] * int(met.sum()))
 
     bucket, rows = None, []
     for batch in batches:
         for own, *packed in zip(*(c.to_pylist() for c in batch.columns)):
             if own != bucket and rows:
-                yield shared(rows)
+                yield shared(rows, bucket < 0)
                 rows = []
             bucket = own
             rows.append(packed)
     if rows:
-        yield shared(rows)
+        yield shared(rows, bucket < 0)
 
 
 def _needed_sets(batches, wanted, bits, width):
@@ -294,12 +291,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         Order(frequent.column("token").to_numpy().view(np.uint64), frequent.column("c").to_numpy()))
     buckets = 1 << max(8, (count // 512).bit_length())
 
-    dealt = stored(rows.select("text").mapInArrow(lambda b: _deal(b, order.value, buckets, width, percent), _BUCKET_KIND), "dealt")
-    rare = dealt.filter("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, _MET_KIND)
-    often = dealt.filter("bucket < 0").mapInArrow(_unpacked, _MET_KIND).distinct()
-    met = stored(rare.unionByName(often), "met")
-
-    sigs = stored(met.select("sig").distinct(), "met-records")
+    dealt = rows.select("text").mapInArrow(lambda b: _deal(b, order.value, buckets, width, percent), _BUCKET_KIND)
+    met = stored(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, _MET_KIND), "met")
+    # A record's frequent shingles lie in one bucket, so they are told apart there too.
+    enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
+    sigs = stored(met.groupBy("sig").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n")).filter(
+        F.col("shared") >= enough).select("sig"), "met-records")
     bits = bloom.filter_bits(sigs.count())
     wanted, _ = bloom.build(sigs, bits)
     wanted = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -309,7 +306,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     roots = stored(sigs.select("sig", F.col("sig").alias("root")), "roots")
     for turn in range(rounds + 1):
-        placed = stored(met.join(roots, "sig"), "placed")
+        placed = met.drop("often").join(roots, "sig")
         if turn < rounds:
             pairs = _star_pairs(placed, turn, percent)
         else:
@@ -350,10 +347,14 @@ def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def _all_pairs(placed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of records in different components that share a first shingle and fit in size."""
+    """All pairs of records in different components that share enough first shingles and fit in size."""
+    placed = stored(placed, "placed")
     spread = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
     spread = stored(spread.filter("low <> high").select("token", "size"), "spread")
     open_ = stored(attach(placed, spread, "token", "size", max(1, placed.count())).select("token", "sig", "n", "root"), "open")
     other = open_.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    # All shingles that two records of different components share are open, so they can be counted.
+    least = F.least(F.lit(SHARED), F.ceil(F.greatest(F.first("n"), F.first("nb")) * percent / 100))
     return open_.withColumnRenamed("sig", "a").join(other, "token").filter(
-        (F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")) & _fits("n", "nb", percent)).select("a", "b").distinct()
+        (F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")) & _fits("n", "nb", percent)).groupBy("a", "b").agg(
+            F.count(F.lit(1)).alias("shared"), least.alias("least")).filter("shared >= least").select("a", "b")
