@@ -174,3 +174,31 @@ def test_overlapping_categories_cannot_be_merged(spark):
     rows = gold.fact_with_lookups(actual, forecast, gold.dim_city(actual, stamp), gold.dim_category(actual, stamp))
     with pytest.raises(Exception, match="duplicate source key"):
         upsert(rows.limit(0), rows, "fact_id", update_cols=gold.FACT_LOOKUP_UPDATES).collect()
+
+
+def test_stored_lookup_prunes_folders(spark):
+    from tierflow.workloads.queries import QUERIES
+
+    plan = QUERIES["stored_lookup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "p_city" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "forecast_ts" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_fact_shuffles_each_input_once(spark):
+    from tierflow.workloads.queries import QUERIES
+
+    plan = QUERIES["fact_reconciled"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_dimensions_do_not_grow_by_rows_without_a_key(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tierflow.functions import times
+    from tierflow.plans import gold, lakehouse
+
+    rows = spark.createDataFrame([("Good", 5), (None, 7)], "aqi_status string, aqi_val int")
+    stamp = times.local_stamp("2026-01-01 00:00:00")
+    for _ in range(3):
+        table = lakehouse.refresh_dimension(spark, str(tmp_path / "dim"), lambda state: gold.dim_category(rows, stamp, state))
+    assert [r.category for r in table.collect()] == ["Good"]
+    assert table.filter(F.col("id").isNull()).count() == 0

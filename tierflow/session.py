@@ -57,6 +57,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this package has written below the shared folder.
+
+    Results read their scratch tables when they are used, so this is for the caller, once
+    the results of a run have been written or are no longer wanted.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tierflow")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext

@@ -76,6 +76,11 @@ def insert_values(df: DataFrame, rows: Sequence[tuple]) -> DataFrame:
     return df.unionByName(df.sparkSession.createDataFrame(list(rows), df.schema))
 
 
+def insert_into(spark: SparkSession, path: str, schema: StructType, rows: Sequence[tuple]) -> int:
+    """Append literal rows to a stored table; stored files stay as they are."""
+    return append(spark.createDataFrame(list(rows), schema), path)
+
+
 def day_of(column: str) -> Column:
     return F.to_date(F.col(column))
 

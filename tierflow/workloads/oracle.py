@@ -380,6 +380,17 @@ SQL = {
  CASE WHEN bad_hour THEN 'unreadable hour' ELSE 'metric without a value' END AS error FROM cells WHERE bad_hour OR bad_metric""",
     "bronze_append_evolve": f"""WITH {FA} SELECT *, count(*) OVER () AS rows_added FROM fa
  UNION ALL SELECT NULL AS province, * EXCLUDE (province), count(*) OVER () FROM fa""",
+    "layout_by_day": f"WITH {SA} SELECT *, CAST(event_ts AS DATE) AS p_day FROM ({_SILVER_A})",
+    "layout_by_year": f"""WITH {BOTH} SELECT id, full_date_time, year_val, CAST(year_val AS INTEGER) AS p_year
+ FROM (SELECT {_DATE_PARTS} FROM ({_times()}))""",
+    "stored_lookup": f"""WITH {SF} SELECT id, province, city, forecast_ts, observation_ts, aqi_val, weather_condition,
+ temp_val, wind_val, humidity_val, scraped_ts FROM sf WHERE city = 'city 3' AND forecast_ts >= TIMESTAMP '2024-01-10'""",
+    "stored_lookup_by_id": f"""WITH {SF} SELECT id, province, city, forecast_ts, observation_ts, aqi_val, weather_condition,
+ temp_val, wind_val, humidity_val, scraped_ts FROM sf
+ WHERE city = 'city 3' AND forecast_ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'""",
+    "insert_stored": "SELECT r_regionkey, r_name FROM region UNION ALL SELECT 99, 'ADDED'",
+    "silver_partial_merge": f"""WITH {SA} SELECT * REPLACE (CASE WHEN {PRIOR} THEN 'old' ELSE province END AS province)
+ FROM ({_SILVER_A}) WHERE id IS NOT NULL""",
     "csv_roundtrip": "SELECT * FROM customer",
     "ensure_table": "SELECT * FROM customer",
     "page_quarantine": f"""WITH {_PAGE} SELECT 'current' AS feed, * FROM (SELECT 'region-' || (nation % 5) AS province,

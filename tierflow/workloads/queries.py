@@ -428,6 +428,62 @@ def partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
     return tables.scan_partitioned(spark, path, schemas.SILVER_ACTUAL, PARTITION_TYPES)
 
 
+def layout_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The actual feed's table in folders by day of the observation."""
+    path = tables.table_path(scratch_path(spark, "layout"), "silver", "aqi_index")
+    tables.write_partitioned(_actual(spark, sf), path, {"p_day": tables.day_of("event_ts")}, ["event_ts"])
+    return tables.scan_partitioned(spark, path, schemas.SILVER_ACTUAL, {"p_day": "date"})
+
+
+def layout_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar in folders by year."""
+    dates = gold.dim_date(_actual(spark, sf), _forecast(spark, sf), times.local_stamp(FIRST_RUN_AT))
+    path = tables.table_path(scratch_path(spark, "layout"), "gold", "dim_date")
+    tables.write_partitioned(dates, path, {"p_year": F.col("year_val").cast("int")}, ["id"])
+    stored = tables.scan_partitioned(spark, path, dates.schema, {"p_year": "integer"})
+    return stored.select("id", "full_date_time", "year_val", "p_year")
+
+
+def _stored_forecast(spark, sf):
+    path = tables.table_path(scratch_path(spark, "lookup"), "silver", "weather_forecast")
+    layout = {"p_city": F.col("city"), "p_month": tables.month_of("forecast_ts")}
+    tables.write_partitioned(_forecast(spark, sf), path, layout, ["forecast_ts"])
+    return tables.scan_partitioned(spark, path, schemas.SILVER_FORECAST, PARTITION_TYPES)
+
+
+def stored_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """One city from a time on: only its folders are read, and the time is pushed into the files."""
+    found = _stored_forecast(spark, sf).filter(
+        (F.col("p_city") == "city 3") & (F.col("p_month") >= "2024-01")
+        & (F.col("forecast_ts") >= F.expr("timestamp_ntz '2024-01-10 00:00:00'")))
+    return found.drop(*PARTITION_TYPES)
+
+
+def stored_lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by the hash of their natural key, as which the key is pushed into the files."""
+    hours = F.sequence(
+        F.expr("timestamp_ntz '2024-01-10 00:00:00'"), F.expr("timestamp_ntz '2024-01-12 00:00:00'"), F.expr("interval 1 hour"))
+    wanted = spark.range(1).select(F.explode(hours).alias("t")).select(
+        entity_hour_key(F.lit("city 3"), F.col("t"), 3).alias("id"))
+    return _stored_forecast(spark, sf).drop(*PARTITION_TYPES).join(F.broadcast(wanted), "id", "left_semi")
+
+
+def insert_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A literal row appended to the stored calendar-free region table."""
+    path, regions = scratch_path(spark, "insert"), table(spark, sf, "region")
+    tables.append(regions, path)
+    row = {"r_regionkey": 99, "r_name": "ADDED"}
+    tables.insert_into(spark, path, regions.schema, [tuple(row.get(name) for name in regions.columns)])
+    return tables.scan(spark, path, regions.schema).select("r_regionkey", "r_name")
+
+
+def silver_partial_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A later run of the actual feed merged in by the older list of columns."""
+    rows = _actual(spark, sf).filter("id IS NOT NULL")
+    old = rows.filter(PRIOR).withColumns({"aqi_status": F.lit("old"), "province": F.lit("old"), "alert": F.lit("old")})
+    return upsert(old, rows, "id", update_cols=silver.ACTUAL_UPDATES)
+
+
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer")
     path = tables.land_csv(customers, scratch_path(spark, "csv"), "customer", "20240201_0700")
@@ -508,6 +564,7 @@ QUERIES = {
         code_lookup, unit_routing, unit_routing_rows, observation_text, default_fill,
         year_rollover, topn_recent, pages_extract, pages_extract_items, current_extract,
         forecast_extract, forecast_quarantine, page_quarantine, bronze_append_evolve, partitioned_write,
+        layout_by_day, layout_by_year, stored_lookup, stored_lookup_by_id, insert_stored, silver_partial_merge,
         csv_roundtrip, insert_values, ensure_table, catalog_scan, build_dimension, stream_upsert,
     )
 } | {"dim_lookup": dim_lookup_city, "target_list": targets}
