@@ -33,7 +33,7 @@ from tierflow.llm.shingles import set_hash, shingle_sets
 
 PERCENT = 80
 #: Candidates that are indexed together.
-GROUP = 256
+GROUP = 64
 #: A shingle counts as frequent if partitions that hold it three times or more hold it so often in all.
 FREQUENT, FREQUENT_MOST = 24, 1 << 18
 ROUNDS = 2
