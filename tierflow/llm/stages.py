@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tierflow.llm import bloom
 from tierflow.llm.common import attach, stored
 from tierflow.llm.exact_dedup import digest_of, exact_dedup
 from tierflow.llm.langid import UNKNOWN, held_out, identify, learn_languages
@@ -33,17 +36,27 @@ def keep_language(docs: DataFrame) -> DataFrame:
     return kept.select(*names.values()).toDF(*docs.columns)
 
 
-def _chosen(docs: DataFrame, marks: DataFrame, mark: F.Column) -> DataFrame:
-    """The rows of ``docs`` whose mark is in ``marks`` (mark, size: rows of that mark), one per mark.
+def _chosen(docs: DataFrame, marks: DataFrame, mark: Callable[[dict[str, str]], F.Column]) -> DataFrame:
+    """The rows of ``docs`` whose mark is kept, one per mark.
 
-    Only marks that several rows share need the second look; of their rows the one with the
-    smallest text stays.
+    ``marks``: mark, size (rows of that mark), kept. The marks that are dropped or that
+    several rows share fill a Bloom filter of bounded size; rows that are not in it pass
+    straight through, whole texts unshuffled. The others are joined with their marks; of
+    the rows of one mark the one with the smallest text stays.
     """
     inner, names = _inner_names(docs)
-    rows = attach(inner.withColumn("mark", mark(names)), marks, "mark", "size", max(1, docs.count()))
+    doubtful = marks.filter(~F.col("kept") | (F.col("size") > 1))
+    count = doubtful.agg(F.count(F.lit(1)), F.sum("size")).first()
+    bits = bloom.filter_bits(count[0])
+    seen, _ = bloom.build(doubtful.select(F.xxhash64("mark").alias("hash")), bits)
+    marked = inner.withColumn("mark", mark(names)).withColumn("hash", F.xxhash64("mark"))
+    marked = bloom.probed(marked, "hash", seen, bits, "doubt")
+    sure = marked.filter(~F.col("doubt")).select(*names.values())
+    rows = attach(marked.filter("doubt"), marks.filter("kept").drop("kept"), "mark", "size", max(1, count[1] or 0))
     first = F.row_number().over(Window.partitionBy("mark").orderBy(names["text"]))
     several = rows.filter("size > 1").withColumn("first", first).filter("first = 1").drop("first")
-    return rows.filter("size = 1").unionByName(several).select(*names.values()).toDF(*docs.columns)
+    checked = rows.filter("size = 1").unionByName(several).select(*names.values())
+    return sure.unionByName(checked).toDF(*docs.columns)
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
@@ -51,16 +64,16 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     decided = stored(exact_dedup(docs), "decided")
     # A key may stand on several rows; the kept row is the one with the kept length.
     length = F.concat(_key("doc_id"), F.lit(" "), "text_sha256", F.lit(" "), F.col("n_chars").cast("string")).alias("mark")
-    marks = stored(decided.groupBy(length).agg(F.count(F.lit(1)).alias("size"), F.max("kept").alias("kept")).filter("kept"), "marks")
-    return _chosen(docs, marks.drop("kept"), lambda names: F.concat(
+    marks = stored(decided.groupBy(length).agg(F.count(F.lit(1)).alias("size"), F.max("kept").alias("kept")), "marks")
+    return _chosen(docs, marks, lambda names: F.concat(
         _key(names["doc_id"]), F.lit(" "), F.lower(F.hex(digest_of(names["text"]))), F.lit(" "),
         F.length(F.coalesce(F.col(names["text"]), F.lit(""))).cast("string")))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate component stays: the one with the smallest key."""
-    placed = stored(near_duplicates(docs), "components").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    marks = stored(placed.groupBy(_key("doc_id").alias("mark")).agg(F.count(F.lit(1)).alias("size")), "marks")
+    marks = stored(near_duplicates(docs).groupBy(_key("doc_id").alias("mark")).agg(
+        F.count(F.lit(1)).alias("size"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")), "marks")
     return _chosen(docs, marks, lambda names: _key(names["doc_id"]))
 
 
