@@ -296,15 +296,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     # A record's frequent shingles lie in one bucket, so they are told apart there too.
     enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
     sigs = stored(met.groupBy("sig").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n")).filter(
-        F.col("shared") >= enough).select("sig"), "met-records")
+        F.col("shared") >= enough).select("sig", (F.col("shared") / F.col("n")).alias("strength")), "met-records")
     bits = bloom.filter_bits(sigs.count())
-    wanted, _ = bloom.build(sigs, bits)
+    wanted, _ = bloom.build(sigs.select("sig"), bits)
     wanted = docs.sparkSession.sparkContext.broadcast(wanted)
     sets = stored(
         rows.select("text").mapInArrow(lambda b: _needed_sets(b, wanted, bits, width), "sig long, shingles binary")
         .dropDuplicates(["sig"]), "sets")
 
-    roots = stored(sigs.select("sig", F.col("sig").alias("root")), "roots")
+    roots = stored(sigs.select("sig", "strength", F.col("sig").alias("root")), "roots")
     for turn in range(rounds + 1):
         placed = met.drop("often").join(roots, "sig")
         if turn < rounds:
@@ -312,15 +312,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         else:
             pairs = _all_pairs(placed, percent)
         links = stored(_searched(pairs, sets, percent), "links")
-        by_root = roots.withColumnRenamed("sig", "a").withColumnRenamed("root", "ra")
+        by_root = roots.select(F.col("sig").alias("a"), F.col("root").alias("ra"))
         joined = links.join(by_root, "a").join(by_root.select(F.col("a").alias("b"), F.col("ra").alias("rb")), "b")
         merged = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         sizes = stored(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")).join(
             merged.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left").select(
                 "root", "size", F.coalesce("new", "root").alias("new")), "renamed")
-        roots = stored(attach(roots, sizes, "root", "size", max(1, count)).select("sig", F.col("new").alias("root")), "roots")
+        roots = stored(attach(roots, sizes, "root", "size", max(1, count)).select("sig", "strength", F.col("new").alias("root")), "roots")
 
-    named = stored(records.join(roots, "sig", "left").select("sig", "least", "copies", "n", F.coalesce("root", "sig").alias("root")), "named")
+    named = stored(records.join(roots.drop("strength"), "sig", "left").select("sig", "least", "copies", "n", F.coalesce("root", "sig").alias("root")), "named")
     least = stored(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size")), "least")
     known = stored(attach(named, least, "root", "size", max(1, count)).select("sig", "component_id", "copies"), "known")
     filled = documents.filter("n > 0")
@@ -336,9 +336,10 @@ def _fits(a: str, b: str, percent: int) -> F.Column:
 
 def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     """One record per shingle and component, paired with one of them per shingle."""
-    # The first time one order for all shingles, so that a group has few centres; then eight.
-    seed = F.lit(0) if turn == 0 else F.pmod("token", F.lit(8)) + turn * 8
-    chosen = F.struct(F.xxhash64(seed, "sig").alias("lot"), "sig", "n")
+    # First the record with most shared shingles for its size: the text that others were made from
+    # shares all of its own, a changed copy only what the change has left. Then eight orders by chance.
+    lot = -F.col("strength") if turn == 0 else F.xxhash64(F.pmod("token", F.lit(8)) + turn * 8, "sig")
+    chosen = F.struct(lot.alias("lot"), "sig", "n")
     members = stored(placed.groupBy("token", "root").agg(F.min(chosen).alias("member")), "members")
     centres = stored(members.groupBy("token").agg(F.min("member").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "centres")
     both = attach(members, centres, "token", "size", max(1, members.count())).select(
