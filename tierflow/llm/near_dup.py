@@ -355,7 +355,14 @@ def _all_pairs(placed: DataFrame, percent: int) -> DataFrame:
     open_ = stored(attach(placed, spread, "token", "size", max(1, placed.count())).select("token", "sig", "n", "root"), "open")
     other = open_.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     # All shingles that two records of different components share are open, so they can be counted.
-    least = F.least(F.lit(SHARED), F.ceil(F.greatest(F.first("n"), F.first("nb")) * percent / 100))
+    # Where the first of two beginnings ends, all shared shingles up to there are counted, and the
+    # others lie in what that set has left; together they have to reach the overlap of linked sets.
+    def left(n):
+        required = F.ceil(F.first(n) * percent / 100)
+        return required - F.least(F.lit(SHARED), required)
+
+    overlap = F.ceil((F.first("n") + F.first("nb")) * percent / (100 + percent))
+    least = F.greatest(F.lit(1), overlap - F.greatest(left("n"), left("nb")))
     return open_.withColumnRenamed("sig", "a").join(other, "token").filter(
         (F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")) & _fits("n", "nb", percent)).groupBy("a", "b").agg(
             F.count(F.lit(1)).alias("shared"), least.alias("least")).filter("shared >= least").select("a", "b")
