@@ -42,7 +42,7 @@ def _fraction(name: str, seed: str) -> F.Column:
 
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
-                rounds: int = ROUNDS) -> DataFrame:
+                rounds: int = ROUNDS, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken, repeats.
 
     The sources in order of their code points, null last, weigh ``weights``, repeating.
@@ -52,16 +52,19 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     to ``rounds`` documents per source change their mind to bring the source nearer to its
     target. Null and empty texts have size 0 and are taken with 0 words. Rows may repeat and
     keys may be null; each row counts for itself. No rows give no rows. The result depends on
-    the rows and the seed only.
+    the rows and the seed only. ``row`` names a column of unique numbers, if there is one; it
+    comes along and tells apart rows that are equal otherwise.
     """
+    own = [] if row is None else [row]
     narrow = docs.select(
+        *own,
         F.col(key).cast("long").alias("doc_id"),
         F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         # A text that keeps the order and puts null behind all others.
         F.coalesce(F.concat(F.lit("0"), F.col(source).cast("string")), F.lit("1")).alias("src"),
     ).withColumn("lot", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     # The global order splits a large source over many tasks.
-    rows = stored(positions(narrow, [F.asc("src"), F.desc("size"), F.asc("lot"), F.asc("doc_id")], "at"), "sizes")
+    rows = stored(positions(narrow, [F.asc("src"), F.desc("size"), F.asc("lot"), F.asc("doc_id"), *own], "at"), "sizes")
     totals = rows.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"),
                                      F.min("at").alias("first"))
     cycle = F.array(*map(F.lit, weights))
@@ -99,4 +102,4 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
         ).drop("off", "at")
     repeats = (F.col("whole") + once_more.cast("int")).cast("int")
     return attach(rows, stored(plan, "plan"), "src", "n_docs", count).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
+        "doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"), *own)

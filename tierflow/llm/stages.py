@@ -70,19 +70,44 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
         F.length(F.coalesce(F.col(names["text"]), F.lit(""))).cast("string")))
 
 
+def _numbered_rows(docs: DataFrame, label: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` stored under inner names with a unique number per row, which keys need not have."""
+    inner, names = _inner_names(docs)
+    return stored(inner.withColumn("row", F.monotonically_increasing_id()), label), names
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each near-duplicate component stays: the one with the smallest key."""
-    marks = stored(near_duplicates(docs).groupBy(_key("doc_id").alias("mark")).agg(
-        F.count(F.lit(1)).alias("size"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")), "marks")
-    return _chosen(docs, marks, lambda names: _key(names["doc_id"]))
+    """One document of each near-duplicate component stays: the one with the smallest key.
+
+    Rows are told apart by their number, so keys may repeat or be null: documents that are
+    not linked all stay. Null is the largest key; of equal keys the smallest digest of the
+    text stays.
+    """
+    held, names = _numbered_rows(docs, "near-rows")
+    near = stored(near_duplicates(held, key="row", text=names["text"]).select(F.col("doc_id").alias("row"), "component_id"), "components")
+    several = near.groupBy("component_id").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    linked = attach(near, stored(several, "several"), "component_id", "size", max(1, near.count())).select("row", "component_id")
+    key = F.col(names["doc_id"])
+    order = held.select("row", F.struct(key.isNull().alias("none"), key.alias("key"), F.sha2(F.coalesce(names["text"], F.lit("")), 256).alias("sha"),
+                                        F.col("row").alias("at")).alias("order"))
+    linked = stored(linked.join(order, "row"), "linked")
+    stays = linked.groupBy("component_id").agg(F.min("order").alias("order")).select(F.col("order.at").alias("row"))
+    gone = stored(linked.select("row").join(stays, "row", "left_anti"), "gone")
+    # Rows that are surely not in the filter pass straight through, whole texts unshuffled.
+    bits = bloom.filter_bits(gone.count())
+    seen, _ = bloom.build(gone.select(F.xxhash64("row").alias("hash")), bits)
+    marked = bloom.probed(held.withColumn("hash", F.xxhash64("row")), "hash", seen, bits, "doubt")
+    checked = marked.filter("doubt").join(gone, "row", "left_anti")
+    return marked.filter(~F.col("doubt")).select(*names.values()).unionByName(checked.select(*names.values())).toDF(*docs.columns)
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Each document as often as the mix takes it, i.e. not at all, once, or up to three times."""
-    taken = stored(mix_sources(docs), "mix")
-    repeats = stored(taken.groupBy(_key("doc_id").alias("mark")).agg(
-        F.max("repeats").alias("repeats"), F.count(F.lit(1)).alias("size")), "repeats")
-    inner, names = _inner_names(docs)
-    rows = attach(inner.withColumn("mark", _key(names["doc_id"])), repeats, "mark", "size", max(1, docs.count()))
+    """Each document as often as the mix takes it, i.e. not at all, once, or up to three times.
+
+    Each row is taken as often as the mix says for that row, also if its key repeats or is null.
+    """
+    held, names = _numbered_rows(docs, "mix-rows")
+    taken = mix_sources(held, names["doc_id"], names["text"], names["source"], row="row")
+    repeats = stored(taken.filter("repeats > 0").select("row", "repeats"), "repeats")
     copies = F.explode(F.sequence(F.lit(1), F.col("repeats")))
-    return rows.filter("repeats > 0").select(*names.values(), copies.alias("copy")).drop("copy").toDF(*docs.columns)
+    return held.join(repeats, "row").select(*names.values(), copies.alias("copy")).drop("copy").toDF(*docs.columns)
