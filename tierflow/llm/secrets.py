@@ -3,7 +3,9 @@
 Three plain patterns give the base findings. Every other candidate is only reported once
 its encoding has been taken apart: base64 or hexadecimal text is decoded, and the bytes
 have to be a key, i.e. nested DER lengths that add up, the length-prefixed fields of an
-SSH key, or a token whose header is JSON naming an algorithm.
+SSH key, or a token whose header is JSON naming an algorithm. An encoded run may use either
+base64 alphabet or hexadecimal and go on over line breaks, written out or escaped; the key's
+own lengths tell where it ends.
 """
 
 from __future__ import annotations
@@ -29,11 +31,24 @@ KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 WORDS = ("passw", "secret", "token", "api")
 # A run of at least that many lower-case hex digits is equal to a long enough match of HEX.
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:PRIVATE|PUBLIC) KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# The body ends at the next dashes, whatever stands in it; what it holds is checked afterwards.
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:PRIVATE|PUBLIC) KEY)-----((?:[^-]|-(?!----))+)-----END \1-----")
+PEM_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:[^\n]*(?:\n[\x20\t][^\n]*)*\n")
+DEK = re.compile(r"DEK-Info:\s*([A-Za-z0-9-]+),\s*([0-9A-Fa-f]+)")
+ESCAPED = re.compile(r"\\+[nrt]")
 # Base64 of a DER sequence longer than 127 bytes starts with MI and two more; shorter ones with MC, MD, ME, MF.
 DER = re.compile(r"(?<![A-Za-z0-9+/])M[C-I][A-Za-z0-9+/]{40,}={0,2}")
 DER_HEX = re.compile(r"(?<![0-9A-Fa-f])30(?:8[12])?[0-9A-Fa-f]{48,}")
 SSH = re.compile(r"(?<![A-Za-z0-9+/])AAAA[A-Za-z0-9+/]{30,}={0,2}")
+# Where an encoded key may begin, after an escaped line break too, and what may stand inside a run.
+ENDS_BREAK = r"(?<=\\n)|(?<=\\r)|(?<=\\t)"
+START = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|{ENDS_BREAK})(?=M[B-I]|AAAA|b3Bl)")
+START_HEX = re.compile(rf"(?:(?<![0-9A-Fa-f])|{ENDS_BREAK})(?=30|000000|6[Ff]70656[Ee])")
+PIECE = re.compile(r"([A-Za-z0-9+/_-]+)(={0,2})")
+PIECE_HEX = re.compile(r"([0-9A-Fa-f]+)()")
+BREAK = re.compile(r"\\+(?=/)|[\x20\t]*(?:\\+r)?(?:\\+n|\r?\n|\r)[\x20\t]*")
+OPENSSH = b"openssh-key-v1\0"
+KEY_TYPE = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 
 
@@ -119,7 +134,105 @@ def is_token(text: str) -> bool:
     return named and (bool(_decoded(signature)) or head["alg"].lower() == "none")
 
 
-def _pem_key(data: bytes) -> bool:
+class Run:
+    """An encoded run from a place in a text on, joined over line breaks as far as it is asked for."""
+
+    def __init__(self, text: str, start: int, coded_hex: bool):
+        self.text, self.at, self.hex = text, start, coded_hex
+        self.chars, self.data = "", b""
+        self.ends: dict[int, int] = {}  # characters up to the end of a line -> its place in the text
+
+    def has(self, size: int) -> bool:
+        """Are there so many bytes?"""
+        if size > len(self.text) - self.at + len(self.data):
+            return False
+        if size > len(self.data) and self.at >= 0:
+            parts, count, wanted = [], len(self.chars), 2 * max(size, len(self.data))
+            while self.at >= 0 and count < wanted:
+                piece = (PIECE_HEX if self.hex else PIECE).match(self.text, self.at)
+                if not piece:
+                    self.at = -1
+                    break
+                parts.append(piece[1])
+                count += len(piece[1])
+                self.ends[count] = piece.end()
+                gap = None if piece[2] else BREAK.match(self.text, piece.end())
+                self.at = gap.end() if gap else -1
+            self.chars += "".join(parts)
+            whole = len(self.chars) // (2 if self.hex else 4) * (2 if self.hex else 4)
+            # The last one to three characters count as the end of the run.
+            rest = "" if self.hex or len(self.chars) % 4 == 1 else self.chars[whole:]
+            self.data = bytes.fromhex(self.chars[:whole]) if self.hex else _decoded(self.chars[:whole] + rest)
+        return size <= len(self.data)
+
+    def end(self, size: int) -> int | None:
+        """The place in the text where these bytes end together with a line, or None."""
+        return self.ends.get(2 * size if self.hex else -(-4 * size // 3))
+
+    def number(self, at: int, size: int = 4) -> int | None:
+        return int.from_bytes(self.data[at:at + size], "big") if self.has(at + size) else None
+
+
+def _field(run: Run, at: int) -> int | None:
+    """The end of the length-prefixed field at that byte, if the run has it."""
+    size = run.number(at)
+    return at + 4 + size if size is not None and run.has(at + 4 + size) else None
+
+
+def key_at(run: Run) -> tuple[str, int] | None:
+    """The kind of the key that the run begins with and its end in the text, by the key's own lengths."""
+    if run.number(0, 2) is None:
+        return None
+    if run.data[0] == 0x30:
+        n = run.data[1] & 0x7F if run.data[1] >= 0x80 else 0
+        if n > 4 or run.data[1] == 0x80:
+            return None
+        size = run.number(2, n) if n else run.data[1]
+        if size is None or not run.has(2 + n + size):
+            return None
+        end = run.end(2 + n + size)
+        return ("der", end) if end and is_der_key(run.data[:2 + n + size]) else None
+    if run.has(len(OPENSSH)) and run.data.startswith(OPENSSH):
+        at = len(OPENSSH)
+        for _ in range(3):  # cipher, key derivation, its options
+            at = _field(run, at) if at is not None else None
+        keys = run.number(at) if at is not None else None
+        if not keys:
+            return None
+        at += 4
+        while at is not None and keys >= 0:  # the public keys, then the private ones
+            at, keys = _field(run, at), keys - 1
+        end = run.end(at) if at else None
+        return ("ssh", end) if end else None
+    at, found = _field(run, 0), None
+    if at is None or not KEY_TYPE.fullmatch(run.data[4:at]):
+        return None
+    while at is not None:
+        at = _field(run, at)
+        if at and run.end(at):
+            found = "ssh", run.end(at)
+    return found
+
+
+def _bare_keys(text: str):
+    """(kind, start, end) of the keys without armour, from either alphabet or hexadecimal, over any line breaks."""
+    for starts, coded_hex in ((START, False), (START_HEX, True)):
+        for m in starts.finditer(text):
+            key = key_at(Run(text, m.start(), coded_hex))
+            if key:
+                yield key[0], m.start(), key[1]
+
+
+def _pem_key(body: str) -> bool:
+    """A key in armour: line ends may be escaped, lines quoted, and header lines may come first."""
+    body = ESCAPED.sub("\n", body).replace("\r", "\n").replace("\\", "").lstrip()
+    headers = ""
+    while m := PEM_HEADER.match(body):
+        headers, body = headers + m[0], body[m.end():]
+    data = _decoded("".join(line.strip("\x20\t\"',") for line in body.split("\n")))
+    if "ENCRYPTED" in headers and (cipher := DEK.search(headers)):
+        block = 8 if "DES" in cipher[1].upper() else 16
+        return len(data) >= 2 * block and len(data) % block == 0
     return is_der_key(data) or is_ssh_key(data)
 
 
@@ -133,7 +246,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     found += [("hex", *m.span()) for m in LONG_HEX.finditer(text)]
     if "-----BEGIN " in text:
-        found += [("pem", *m.span()) for m in PEM.finditer(text) if _pem_key(_decoded(m[2]))]
+        found += [("pem", *m.span()) for m in PEM.finditer(text) if _pem_key(m[2])]
     if "AAAA" in text:
         found += [("ssh", *m.span()) for m in SSH.finditer(text) if is_ssh_key(_decoded(m[0]))]
     if "eyJ" in text:
@@ -145,6 +258,8 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     for m in DER_HEX.finditer(text) if "30" in text else ():
         if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             found.append(("der", *m.span()))
+    told = {(kind, start) for kind, start, _ in found}
+    found += [k for k in _bare_keys(text) if k[:2] not in told and not any(s <= k[1] < e for s, e in inside)]
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 
