@@ -12,7 +12,9 @@ from tierflow.llm.langid import identify_documents
 from tierflow.llm.lm import score_documents
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.near_dup import near_duplicates
+from tierflow.llm.phrases import mine_phrases
 from tierflow.llm.secrets import scan_secrets
+from tierflow.llm.sql_mining import PHRASES
 from tierflow.llm.token_files import library_encoder, token_positions, write_token_files
 from tierflow.llm.topk import top_k
 from tierflow.session import scratch_path
@@ -62,7 +64,11 @@ def op7_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing)}
+def op11_phrases(spark, sf_dir):
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing, op11_phrases)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
@@ -111,6 +117,7 @@ def _mixing_sql() -> str:
 
 
 SQL = {
+    "op11_phrases": PHRASES,
     "op8_ngram_jaccard": r"""
         WITH RECURSIVE worded AS (
             SELECT doc_id, regexp_extract_all(
