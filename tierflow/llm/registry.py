@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from tierflow.llm.bpe import encode_documents
 from tierflow.llm.common import table
 from tierflow.llm.exact_dedup import exact_dedup
+from tierflow.llm.hard_negatives import mine_negatives
 from tierflow.llm.html_content import extract_content, learn_content
 from tierflow.llm.langid import identify_documents
 from tierflow.llm.lm import score_documents
@@ -14,7 +16,7 @@ from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.near_dup import near_duplicates
 from tierflow.llm.phrases import mine_phrases
 from tierflow.llm.secrets import scan_secrets
-from tierflow.llm.sql_mining import PHRASES
+from tierflow.llm.sql_mining import NEGATIVES, PHRASES
 from tierflow.llm.token_files import library_encoder, token_positions, write_token_files
 from tierflow.llm.topk import top_k
 from tierflow.session import scratch_path
@@ -68,7 +70,13 @@ def op11_phrases(spark, sf_dir):
     return mine_phrases(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing, op11_phrases)}
+def op12_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved))
+
+
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing, op11_phrases, op12_hard_negatives)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
@@ -118,6 +126,7 @@ def _mixing_sql() -> str:
 
 SQL = {
     "op11_phrases": PHRASES,
+    "op12_hard_negatives": NEGATIVES,
     "op8_ngram_jaccard": r"""
         WITH RECURSIVE worded AS (
             SELECT doc_id, regexp_extract_all(
