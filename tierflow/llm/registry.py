@@ -15,8 +15,9 @@ from tierflow.llm.lm import score_documents
 from tierflow.llm.mixing import MAX_EPOCHS, ROUNDS, SEED, mix_sources
 from tierflow.llm.near_dup import near_duplicates
 from tierflow.llm.phrases import mine_phrases
+from tierflow.llm.repeats import remove_repeats
 from tierflow.llm.secrets import scan_secrets
-from tierflow.llm.sql_mining import NEGATIVES, PHRASES
+from tierflow.llm.sql_mining import NEGATIVES, PASSAGES, PHRASES
 from tierflow.llm.token_files import library_encoder, token_positions, write_token_files
 from tierflow.llm.topk import top_k
 from tierflow.session import scratch_path
@@ -76,7 +77,11 @@ def op12_hard_negatives(spark, sf_dir):
     return mine_negatives(vectors.withColumn("label", moved))
 
 
-QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing, op11_phrases, op12_hard_negatives)}
+def op13_repeats(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_secrets, op2_byte_bpe, op3_language, op4_lm_scores, op5_main_text, op6_exact_dedup, op7_top_k, op8_ngram_jaccard, op9_token_files, op10_mixing, op11_phrases, op12_hard_negatives, op13_repeats)}
 
 def _mixing_sql() -> str:
     """The mix in SQL; a round of exchanges per step."""
@@ -125,6 +130,7 @@ def _mixing_sql() -> str:
 
 
 SQL = {
+    "op13_repeats": PASSAGES,
     "op11_phrases": PHRASES,
     "op12_hard_negatives": NEGATIVES,
     "op8_ngram_jaccard": r"""
