@@ -13,6 +13,16 @@ def _unsortable(field) -> bool:
     return field.dataType.typeName() in ("map", "variant")
 
 
+def version_order(schema, keys: Sequence[str], order: str, keep: str = "last") -> list[tuple[str, bool]]:
+    """The order in which versions of a key rank: by ``order``, then by their other columns.
+
+    Each column comes with whether its highest values are first; NULLs are last.
+    """
+    known = {*keys, order}
+    return [(order, keep == "last"), *[
+        (field.name, False) for field in schema if field.name not in known and not _unsortable(field)]]
+
+
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,14 +39,10 @@ def latest_by_key(
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
-    direction = F.desc_nulls_last if keep == "last" else F.asc_nulls_last
     ordering = [] if priority is None else [priority.asc_nulls_last()]
-    ordering.append(direction(order))
-    known = {*keys, order}
     ordering += [
-        F.asc_nulls_last(field.name)
-        for field in df.schema
-        if field.name not in known and not _unsortable(field)
+        (F.desc_nulls_last if highest else F.asc_nulls_last)(name)
+        for name, highest in version_order(df.schema, keys, order, keep)
     ]
     window = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

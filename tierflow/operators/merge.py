@@ -52,10 +52,28 @@ def _checked_columns(target, source, keys, update_cols) -> tuple[list[str], set[
     return columns, changed
 
 
-def _is_update(newer_by: str | None) -> Column:
+def ranks_before(order: Sequence[tuple[str, bool]]) -> Column:
+    """Does the joined source row come before the target row, NULLs last?
+
+    ``order`` names the columns and whether their highest values come first. Rows equal in
+    all of them do not come before one another.
+    """
+    before = F.lit(False)
+    for name, highest in reversed(order):
+        ours, theirs = F.col(name), F.col(f"_s_{name}")
+        first = theirs > ours if highest else theirs < ours
+        before = (
+            F.when(ours.eqNullSafe(theirs), before).when(theirs.isNull(), False).when(ours.isNull(), True).otherwise(first)
+        )
+    return before
+
+
+def _is_update(newer_by: str | Sequence[tuple[str, bool]] | None) -> Column:
     """Does the joined source row replace the target row?"""
     update = F.col("_s_here").isNotNull()
-    if newer_by:
+    if newer_by and not isinstance(newer_by, str):
+        update = update & ranks_before(newer_by)
+    elif newer_by:
         ours, theirs = F.col(newer_by), F.col(f"_s_{newer_by}")
         update = update & (ours.isNull() | F.coalesce(theirs >= ours, F.lit(False)))
     return update
@@ -66,7 +84,7 @@ def upsert(
     source: DataFrame,
     key: str | Sequence[str],
     update_cols: Sequence[str] | None = None,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[tuple[str, bool]] | None = None,
     drop_null_keys: bool = False,
     check_unique: bool = True,
 ) -> DataFrame:
@@ -74,7 +92,9 @@ def upsert(
 
     A source row whose key is in the target replaces all columns, or only
     ``update_cols``; any other source row is inserted whole. ``newer_by`` names a column:
-    a matched target row that is newer in it stays as it is. Rows with a NULL key match
+    a matched target row that is newer in it stays as it is. It can also be an order of
+    columns, as for ``ranks_before``; then a target row stays unless the source row comes
+    first, so any sequence of merges ends like one choice among all rows. Rows with a NULL key match
     nothing and are all kept unless ``drop_null_keys`` is set. Source keys must be unique.
 
     The uniqueness check partitions the source as the join needs it, so it costs no
@@ -113,7 +133,7 @@ def upsert_in_place(
     source: DataFrame,
     key: str | Sequence[str],
     update_cols: Sequence[str] | None = None,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[tuple[str, bool]] | None = None,
     drop_null_keys: bool = False,
     check_unique: bool = True,
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from tierflow.functions.keys import entity_hour_key, surrogate_key
 from tierflow.operators import lookup
 from tierflow.operators.incremental import high_water, stamped
 from tierflow.operators.merge import upsert
+from tierflow.operators.partials import Partial
 from tierflow.operators.reconcile import reconcile, times_in_either
 from tierflow.operators.running import global_row_number
 
@@ -54,12 +55,30 @@ def fact_merged(actual: DataFrame, forecast: DataFrame, state: DataFrame, **opti
     return upsert(state, fact_rows(actual, forecast, state, **options), "id")
 
 
+#: What is kept of the actual table per partition, so that its dimensions need not read it.
+CITY_PARTIAL = Partial(
+    "city", lambda: {"city": tx.normalised(F.col("city")), "province": tx.normalised(F.col("province"))},
+    {"first_seen": ("min", "scraped_ts")},
+)
+CATEGORY_PARTIAL = Partial(
+    "category", lambda: {"category": F.col("aqi_status")},
+    {"min_val": ("min", "aqi_val"), "max_val": ("max", "aqi_val"), "first_seen": ("min", "scraped_ts")},
+)
+
+
 def dim_city(
     actual: DataFrame, as_of: Column, state: DataFrame | None = None, country: str = "Indonesia"
 ) -> DataFrame:
     pairs = actual.select(
         tx.normalised(F.col("city")).alias("city"), tx.normalised(F.col("province")).alias("province")
     ).distinct()
+    return city_rows(pairs, as_of, state, country)
+
+
+def city_rows(
+    pairs: DataFrame, as_of: Column, state: DataFrame | None = None, country: str = "Indonesia"
+) -> DataFrame:
+    """The city dimension of distinct (city, province) pairs."""
     rows = pairs.select(
         surrogate_key(F.col("city")).alias("id"), "city", "province", F.lit(country).alias("country")
     )
@@ -70,7 +89,12 @@ def dim_category(actual: DataFrame, as_of: Column, state: DataFrame | None = Non
     rows = actual.groupBy(F.col("aqi_status").alias("category")).agg(
         F.min("aqi_val").alias("min_val"), F.max("aqi_val").alias("max_val")
     )
-    rows = rows.select(surrogate_key(F.col("category")).alias("id"), "category", "min_val", "max_val")
+    return category_rows(rows, as_of, state)
+
+
+def category_rows(ranges: DataFrame, as_of: Column, state: DataFrame | None = None) -> DataFrame:
+    """The category dimension of one range per category."""
+    rows = ranges.select(surrogate_key(F.col("category")).alias("id"), "category", "min_val", "max_val")
     return stamped(rows, state, as_of)
 
 

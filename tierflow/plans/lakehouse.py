@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tierflow import schemas
 from tierflow.operators.merge import upsert
+from tierflow.operators.partials import Partial
 from tierflow.plans import gold, silver
-from tierflow.sources import pages as pg, tables
+from tierflow.sources import commits, pages as pg, tables
 from tierflow.sources.tables import month_of, table_path
+from tierflow.streaming.trigger import run_when_all_changed
 
 
 def load_raw(pages: DataFrame, base: str) -> dict[str, int]:
@@ -26,40 +31,104 @@ def load_raw(pages: DataFrame, base: str) -> dict[str, int]:
     }
 
 
-def _merge(rows: DataFrame, path: str, batch: str, full_refresh: bool, layout: dict) -> None:
-    if full_refresh:
-        tables.drop_table(rows.sparkSession, path)
-    tables.upsert_table(rows, path, "id", batch=batch, **layout)
+SILVER_KINDS = {"p_city": "string", "p_month": "string"}
+PARTIALS = (gold.CITY_PARTIAL, gold.CATEGORY_PARTIAL)
 
 
-def refresh_silver(
-    spark: SparkSession, base: str, batch: str, since: str | None = None,
+@dataclass(frozen=True)
+class Feed:
+    """How a raw table becomes its typed one."""
+
+    raw: str
+    raw_schema: StructType
+    table: str
+    clean: Callable[..., DataFrame]
+    time: str
+    order: list[tuple[str, bool]]
+    options: dict
+    partials: tuple[Partial, ...] = ()
+
+    def partitions(self) -> dict[str, Column]:
+        return {"p_city": F.col("city"), "p_month": month_of(self.time)}
+
+
+FEEDS = {
+    "actual": Feed(
+        "raw_aqi_index", schemas.RAW_ACTUAL, "aqi_index", silver.silver_actual, "event_ts",
+        silver.ACTUAL_ORDER, {}, PARTIALS,
+    ),
+    # The time of observation changes from scrape to scrape, the city does not.
+    "forecast": Feed(
+        "raw_weather_forecast", schemas.RAW_FORECAST, "weather_forecast", silver.silver_forecast,
+        "observation_ts", silver.FORECAST_ORDER, {"scope": ["p_city"]},
+    ),
+}
+
+
+def refresh_feed(
+    spark: SparkSession, base: str, name: str, batch: str, since: str | None = None,
     full_refresh: bool = False,
-) -> None:
-    """Clean the raw tables and merge them into the typed ones.
+) -> bool:
+    """Clean the raw files that have come since the last run and merge them. Was there any?
+
+    A ledger beside the table holds the raw files that it has seen, so a run reads new files
+    only. The files of a run are claimed before they are read and entered once their rows
+    are in the table; a run that is lost in between is repeated with the same files, and
+    merging their rows again changes nothing.
 
     Rows without a key are left out of the stored tables: as they match nothing, each run
-    would add them once more.
+    would add them once more. ``since`` is a time text; with it all raw files are read, and
+    none is entered, as their older rows are left out.
     """
-    raw = tables.scan(spark, table_path(base, "bronze", "raw_aqi_index"), schemas.RAW_ACTUAL)
-    _merge(
-        silver.silver_actual(raw, since=since), table_path(base, "silver", "aqi_index"),
-        batch, full_refresh,
-        {"partitions": {"p_city": F.col("city"), "p_month": month_of("event_ts")},
-         "sort": ["event_ts"], "drop_null_keys": True},
+    feed = FEEDS[name]
+    raw, path = table_path(base, "bronze", feed.raw), table_path(base, "silver", feed.table)
+    if full_refresh:
+        tables.drop_table(spark, path)
+        commits.forget(spark, path)
+        for partial in feed.partials:
+            partial.drop(spark, path)
+    if since is None:
+        rows = commits.scan_files(spark, raw, feed.raw_schema, commits.claim_files(spark, raw, path, batch))
+    else:
+        rows = tables.scan(spark, raw, feed.raw_schema)
+    if rows is None:
+        commits.settle_files(spark, path, batch)
+        return False
+
+    def published(merged: DataFrame) -> None:
+        for partial in feed.partials:
+            partial.write(merged, path, feed.partitions())
+        commits.record_batch(spark, path, batch, merged.agg(F.max("scraped_ts")).first()[0])
+
+    tables.upsert_table(
+        feed.clean(rows, since=since), path, "id", feed.partitions(), [feed.time], batch,
+        published=published, newer_by=feed.order, drop_null_keys=True, **feed.options,
     )
-    raw = tables.scan(spark, table_path(base, "bronze", "raw_weather_forecast"), schemas.RAW_FORECAST)
-    # The time of observation changes from scrape to scrape, the city does not.
-    _merge(
-        silver.silver_forecast(raw, since=since), table_path(base, "silver", "weather_forecast"),
-        batch, full_refresh,
-        {"partitions": {"p_city": F.col("city"), "p_month": month_of("observation_ts")},
-         "sort": ["observation_ts"], "scope": ["p_city"], "drop_null_keys": True},
+    commits.settle_files(spark, path, batch)
+    return True
+
+
+def refresh_silver(
+    spark: SparkSession, base: str, batch: str, since: str | None = None,
+    full_refresh: bool = False,
+) -> None:
+    """Bring both typed tables up to date with their raw tables."""
+    for name in FEEDS:
+        refresh_feed(spark, base, name, batch, since, full_refresh)
+
+
+def gold_on_change(
+    spark: SparkSession, base: str, state: str, as_of: Column, **options
+) -> StreamingQuery:
+    """Refresh the star once both typed tables have changed since it was last refreshed."""
+    paths = {name: table_path(base, "silver", feed.table) for name, feed in FEEDS.items()}
+    return run_when_all_changed(
+        spark, paths, state, lambda run: refresh_gold(spark, base, run, as_of, **options)
     )
 
 
 def silver_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    kinds = {"p_city": "string", "p_month": "string"}
+    kinds = SILVER_KINDS
     return (
         tables.scan_partitioned(
             spark, table_path(base, "silver", "aqi_index"), schemas.SILVER_ACTUAL, kinds
@@ -70,6 +139,11 @@ def silver_tables(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]
     )
 
 
+def silver_partial(spark: SparkSession, base: str, partial: Partial) -> DataFrame:
+    """What is kept of the actual table, merged over its partitions."""
+    return partial.read(spark, table_path(base, "silver", "aqi_index"), schemas.SILVER_ACTUAL, SILVER_KINDS)
+
+
 def refresh_dimension(
     spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
     full_refresh: bool = False,
@@ -94,8 +168,10 @@ def refresh_gold(
     def dimension(name, build):
         refresh_dimension(spark, table_path(base, "gold", name), build, full_refresh)
 
-    dimension("dim_city", lambda state: gold.dim_city(actual, as_of, state))
-    dimension("dim_aqi", lambda state: gold.dim_category(actual, as_of, state))
+    pairs = silver_partial(spark, base, gold.CITY_PARTIAL)
+    dimension("dim_city", lambda state: gold.city_rows(pairs, as_of, state))
+    ranges = silver_partial(spark, base, gold.CATEGORY_PARTIAL)
+    dimension("dim_aqi", lambda state: gold.category_rows(ranges, as_of, state))
     dimension("dim_date", lambda state: gold.dim_date(actual, forecast, as_of, state, grain=grain))
 
     path = table_path(base, "gold", "fact_aqi_weather")

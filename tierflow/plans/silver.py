@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierflow import schemas
 from tierflow.functions import text as tx, times
 from tierflow.functions.keys import entity_hour_key
-from tierflow.operators.dedup import latest_by_key
+from tierflow.operators.dedup import latest_by_key, version_order
 from tierflow.operators.reconcile import union_tagged
 
 
@@ -129,6 +129,10 @@ def unified_hourly(raw_actual: DataFrame, raw_forecast: DataFrame, year: int | N
     return keyed.select(*schemas.UNIFIED_HOURLY.names)
 
 
+# How versions of a key rank, for merging a run into the rows of earlier ones.
+ACTUAL_ORDER = version_order(schemas.SILVER_ACTUAL, ["id", "city", "event_ts"], "scraped_ts")
+FORECAST_ORDER = version_order(schemas.SILVER_FORECAST, ["id", "city", "forecast_ts"], "scraped_ts")
+
 # Columns that the older merges overwrite when a key is matched.
 UNIFIED_UPDATES = [c for c in schemas.UNIFIED_HOURLY.names if c not in ("silver_record_id", "city", "event_ts")]
 ACTUAL_UPDATES = [

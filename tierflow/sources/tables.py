@@ -30,6 +30,17 @@ def drop_table(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a marker."""
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Create an empty table with the declared schema unless the path exists."""
     if not exists(spark, path):
@@ -93,6 +104,17 @@ def year_of(column: str) -> Column:
     return F.year(F.col(column))
 
 
+def with_folders(df: DataFrame, partitions: Mapping[str, Column]) -> DataFrame:
+    """The partition columns as they are written.
+
+    A nullable text would be rewritten by the writer, which then sorts by the partition
+    columns alone. Empty texts and NULL share a directory anyway.
+    """
+    df = df.withColumns(dict(partitions))
+    texts = [f.name for f in df.schema if f.name in partitions and f.dataType == StringType()]
+    return df.withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
+
+
 def laid_out(df: DataFrame, partitions: Mapping[str, Column], sort: Sequence[str]) -> DataFrame:
     """Arrange rows for a partitioned, sorted write.
 
@@ -100,12 +122,7 @@ def laid_out(df: DataFrame, partitions: Mapping[str, Column], sort: Sequence[str
     split a value that holds far more rows than others over several tasks.
     """
     names = list(partitions)
-    df = df.withColumns(dict(partitions))
-    # A nullable text would be rewritten by the writer, which then sorts by the partition
-    # columns alone. Empty texts and NULL share a directory anyway.
-    texts = [f.name for f in df.schema if f.name in partitions and f.dataType == StringType()]
-    df = df.withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
-    return df.hint("rebalance", *names).sortWithinPartitions(*names, *sort)
+    return with_folders(df, partitions).hint("rebalance", *names).sortWithinPartitions(*names, *sort)
 
 
 def _with_partitions(df: DataFrame, partitions: Mapping[str, Column]) -> DataFrame:
@@ -224,6 +241,7 @@ def upsert_table(
     scope: Sequence[str] | None = None,
     touched_limit: int = 2000,
     combine: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None,
+    published: Callable[[DataFrame], None] | None = None,
     **options,
 ) -> None:
     """Merge a batch into a partitioned table, rewriting only the partitions it touches.
@@ -241,6 +259,9 @@ def upsert_table(
     ``combine`` makes the merged rows of the stored ones (None at first) and the batch; it
     is an upsert by ``key`` with the given options unless stated, which leaves the stored
     rows unshuffled when the batch is small.
+
+    ``published`` is called with all rows of the rewritten partitions once they are in
+    place. It is called again when a batch is repeated.
     """
     if combine is None:
         def combine(old, new):
@@ -277,6 +298,8 @@ def upsert_table(
         table = spark.read.schema(staged_schema).parquet(path)
         _drop_left_partitions(table, merged, key, partitions, scope, touched_limit)
     write_partitioned(merged, path, partitions, sort)
+    if published is not None:
+        published(merged)
     drop_table(spark, stage)
     drop_table(spark, f"{stage}-rows")
 

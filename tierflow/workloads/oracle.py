@@ -230,10 +230,24 @@ def _merge_dim(old, new):
  UNION ALL SELECT o.* FROM ({old}) o WHERE o.id NOT IN (SELECT id FROM ({new}))"""
 
 
+_LOOK_BACK = f"""{FA}, drops AS (SELECT *, CASE WHEN substr(scraped_ts, 15, 2) = '07' OR substr(scraped_ts, 1, 10) > '2024-01-21' THEN 3
+ WHEN substr(scraped_ts, 1, 10) < '2024-01-12' THEN 1 ELSE 2 END AS number FROM fa),
+ timed AS (SELECT number, lower({_trim('city')}) AS city, {_clean_a()} AS event_ts, {_AT} AS scraped_ts, {_USABLE} AS usable FROM drops),
+ first_two AS (SELECT t.*, CASE number WHEN 1 THEN TIMESTAMP '2020-01-01' ELSE
+ (SELECT max(scraped_ts) - INTERVAL 2 DAY FROM timed WHERE number = 1 AND usable) END AS bound FROM timed t WHERE number < 3),
+ judged AS (SELECT * FROM first_two UNION ALL SELECT t.*,
+ (SELECT max(scraped_ts) - INTERVAL 2 DAY FROM first_two WHERE usable AND scraped_ts >= bound) FROM timed t WHERE number = 3)"""
+
 SQL = {
+    "stream_lookback": f"""WITH {_LOOK_BACK} SELECT 'merged' AS outcome, city, event_ts, max(scraped_ts) AS scraped_ts,
+ NULL::TIMESTAMP AS bound FROM judged WHERE usable AND scraped_ts >= bound GROUP BY city, event_ts
+ UNION ALL SELECT 'late', city, NULL, scraped_ts, bound FROM judged WHERE scraped_ts < bound""",
     "silver_actual": f"WITH {SA} {_SILVER_A}",
     "full_refresh": f"WITH {SA} {_SILVER_A}",
     "stream_upsert": f"WITH {SA} {_SILVER_A}",
+    "silver_incremental": f"WITH {SA} {_SILVER_A} WHERE id IS NOT NULL",
+    "silver_incremental_forecast": f"""WITH {SF} SELECT id, province, city, forecast_ts, observation_ts, aqi_val, weather_condition,
+ temp_val, wind_val, humidity_val, scraped_ts FROM sf WHERE id IS NOT NULL""",
     "partitioned_write": f"WITH {SA} SELECT *, city AS p_city, strftime(event_ts, '%Y-%m') AS p_month FROM ({_SILVER_A})",
     "silver_forecast": f"""WITH {SF} SELECT id, province, city, forecast_ts, observation_ts, aqi_val, weather_condition,
  temp_val, wind_val, humidity_val, scraped_ts FROM sf""",
@@ -250,6 +264,7 @@ SQL = {
     "fact_reconciled": f"WITH {BOTH}, {_fact('fact')} SELECT * FROM fact",
     "fact_incremental": f"WITH {_INCREMENT} SELECT * FROM delta",
     "fact_merged": f"WITH {_INCREMENT} SELECT * FROM delta UNION ALL SELECT * FROM prior WHERE id NOT IN (SELECT id FROM delta)",
+    "stream_gold": f"WITH {_INCREMENT} SELECT * FROM delta UNION ALL SELECT * FROM prior WHERE id NOT IN (SELECT id FROM delta)",
     "rolling_day": f"""WITH {_LOOKED_UP} SELECT fact_id, province, city, event_ts, aqi, weather_condition, temp_val, humidity_val,
  wind_val, aqi_status, main_pollutant, pollutant_val, wind_dir, alert, observation_ts, scraped_ts
  FROM one WHERE event_ts >= DATE '2024-01-30' - INTERVAL 1 DAY""",
@@ -261,6 +276,13 @@ SQL = {
     "dim_category_incremental": f"WITH {SA} " + _merge_dim(
         f"SELECT *, {_stamps(_T1)} FROM ({_DIM_CAT} sa WHERE {PRIOR} AND aqi_status <> 'view' GROUP BY aqi_status)",
         f"SELECT *, {_stamps(_T2)} FROM ({_DIM_CAT} sa GROUP BY aqi_status)"),
+    "dim_city_partials": f"WITH {SA} SELECT *, {_stamps(_T1)} FROM ({_DIM_CITY} sa)",
+    "dim_category_partials": f"""WITH {SA}, x AS (SELECT city, event_ts, any_value(aqi_status) AS first_status,
+ arg_max(aqi_status, scraped_ts) AS aqi_status, arg_max(aqi_val, scraped_ts) AS aqi_val FROM (
+ SELECT city, strftime(event_ts, '%m-%d %H') AS event_ts, aqi_status, scraped_ts, aqi_val FROM sa0
+ UNION ALL SELECT city, strftime(event_ts, '%m-%d %H'), aqi_status,
+ TRY_CAST('2024-12' || strftime(scraped_ts, '-%d %H:%M:%S.%f') AS TIMESTAMP), 41 FROM sa0 WHERE aqi_val >= 60)
+ GROUP BY city, event_ts) SELECT *, {_stamps(_T1)} FROM ({_DIM_CAT} x GROUP BY aqi_status)""",
     "dim_date": f"WITH {BOTH} SELECT {_DATE_PARTS}, {_stamps(_T1)} FROM ({_times()})",
     "dim_date_incremental": f"WITH {BOTH}, {_PRIOR_SIDES} " + _merge_dim(
         f"SELECT {_DATE_PARTS}, {_stamps(_T1)} FROM ({_times('pa', 'pf')})",

@@ -15,11 +15,11 @@ from tierflow.operators.lookup import band_lookup, dim_lookup
 from tierflow.operators.merge import upsert
 from tierflow.operators.reconcile import union_tagged
 from tierflow.operators.running import day_offsets
-from tierflow.plans import gold, silver
+from tierflow.plans import gold, lakehouse, silver
 from tierflow.session import scratch_path
 from tierflow.sources import pages as pg, tables
 from tierflow.sources.targets import target_list
-from tierflow.streaming.feed import PARTITION_TYPES, actual_partitions, stream_actual
+from tierflow.streaming.feed import PARTITION_TYPES, actual_partitions, late_rows, stream_actual
 from tierflow.workloads import feeds
 from tierflow.workloads.feeds import table
 
@@ -552,6 +552,101 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     ).drop(*PARTITION_TYPES)
 
 
+def _landed(spark, base, actual, forecast):
+    """The rows of a drop, appended to the raw tables."""
+    tables.append(actual, tables.table_path(base, "bronze", "raw_aqi_index"))
+    if forecast is not None:
+        tables.append(forecast, tables.table_path(base, "bronze", "raw_weather_forecast"))
+
+
+def _three_drops(spark, sf):
+    """Both feeds in three drops, the last with rows of the first once more, each merged as it lands."""
+    base = scratch_path(spark, "incremental")
+    feeds_of = (feeds.raw_actual(spark, sf), feeds.raw_forecast(spark, sf))
+    third = F.crc32("scraped_ts") % 3
+    for number, drops in enumerate(([1], [2], [0, 1])):
+        _landed(spark, base, *[raw.filter(third.isin(drops)) for raw in feeds_of])
+        lakehouse.refresh_silver(spark, base, f"run-{number}")
+    return base
+
+
+def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed actual table after three runs, each of which read the new raw files only."""
+    return lakehouse.silver_tables(spark, _three_drops(spark, sf))[0]
+
+
+def silver_incremental_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the forecast table, whose rows move between partitions."""
+    return lakehouse.silver_tables(spark, _three_drops(spark, sf))[1]
+
+
+def stream_lookback(spark: SparkSession, sf: str) -> DataFrame:
+    """Three drops under a look-back of two days: what was merged, and what came too late."""
+    base = scratch_path(spark, "lookback")
+    landing, path, late = f"{base}/landing", tables.table_path(base, "silver", "aqi_index"), f"{base}/late"
+    raw = feeds.raw_actual(spark, sf)
+    held = F.substring("scraped_ts", 15, 2) == "07"  # one minute of each hour arrives with the last drop
+    day = F.substring("scraped_ts", 1, 10)
+    drops = (~held & (day < "2024-01-12"), ~held & day.between("2024-01-12", "2024-01-21"), held | (day > "2024-01-21"))
+    for drop in drops:
+        raw.filter(drop).write.mode("append").parquet(landing)
+        stream_actual(spark, landing, path, f"{base}/checkpoint", look_back_days=2, late=late).awaitTermination()
+    merged = tables.scan_partitioned(spark, path, schemas.SILVER_ACTUAL, PARTITION_TYPES)
+    beyond = late_rows(spark, late).select(
+        F.lit("late").alias("outcome"), tx.normalised(F.col("city")).alias("city"), F.lit(None).cast("timestamp_ntz").alias("event_ts"),
+        times.from_text(F.col("scraped_ts")).alias("scraped_ts"), "bound")
+    return merged.select(
+        F.lit("merged").alias("outcome"), "city", "event_ts", "scraped_ts", F.lit(None).cast("timestamp_ntz").alias("bound")
+    ).unionAll(beyond)
+
+
+def stream_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact table as the trigger leaves it: both tables change, then one, then the other."""
+    base = scratch_path(spark, "trigger")
+    actual, forecast = feeds.raw_actual(spark, sf), feeds.raw_forecast(spark, sf)
+    early = F.col("scraped_ts") < "2024-01-20"
+
+    def gold_run():
+        as_of = times.local_stamp(SECOND_RUN_AT)
+        lakehouse.gold_on_change(spark, base, f"{base}/trigger", as_of, grain="exact").awaitTermination()
+
+    _landed(spark, base, actual.filter(early), forecast.filter(early))
+    lakehouse.refresh_silver(spark, base, "run-0")
+    gold_run()
+    tables.append(actual.filter(~early), tables.table_path(base, "bronze", "raw_aqi_index"))
+    lakehouse.refresh_feed(spark, base, "actual", "run-1")
+    gold_run()
+    tables.append(forecast.filter(~early), tables.table_path(base, "bronze", "raw_weather_forecast"))
+    lakehouse.refresh_feed(spark, base, "forecast", "run-2")
+    gold_run()
+    return lakehouse.fact_table(spark, base)
+
+
+def dim_category_partials(spark: SparkSession, sf: str) -> DataFrame:
+    """Category ranges from partials, after a second scrape has lowered the highest values."""
+    base = scratch_path(spark, "partials")
+    raw = feeds.raw_actual(spark, sf)
+    _landed(spark, base, raw, None)
+    lakehouse.refresh_feed(spark, base, "actual", "run-0")
+    # A later scrape of the same hours; the year of an observation is that of its scrape.
+    later = raw.filter(tx.digits_only(F.col("aqi")) >= 60).withColumns({
+        "scraped_ts": F.concat(F.lit("2024-12"), F.substring("scraped_ts", 8, 30)), "aqi": F.lit("41*")})
+    _landed(spark, base, later, None)
+    lakehouse.refresh_feed(spark, base, "actual", "run-1")
+    ranges = lakehouse.silver_partial(spark, base, gold.CATEGORY_PARTIAL)
+    return gold.category_rows(ranges, times.local_stamp(FIRST_RUN_AT))
+
+
+def dim_city_partials(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct cities from partials, after two runs."""
+    base = scratch_path(spark, "partials")
+    raw, early = feeds.raw_actual(spark, sf), F.col("scraped_ts") < "2024-01-20"
+    for number, drop in enumerate((early, ~early)):
+        _landed(spark, base, raw.filter(drop), None)
+        lakehouse.refresh_feed(spark, base, "actual", f"run-{number}")
+    return gold.city_rows(lakehouse.silver_partial(spark, base, gold.CITY_PARTIAL), times.local_stamp(FIRST_RUN_AT))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -566,5 +661,7 @@ QUERIES = {
         forecast_extract, forecast_quarantine, page_quarantine, bronze_append_evolve, partitioned_write,
         layout_by_day, layout_by_year, stored_lookup, stored_lookup_by_id, insert_stored, silver_partial_merge,
         csv_roundtrip, insert_values, ensure_table, catalog_scan, build_dimension, stream_upsert,
+        silver_incremental, silver_incremental_forecast, stream_lookback, stream_gold, dim_category_partials,
+        dim_city_partials,
     )
 } | {"dim_lookup": dim_lookup_city, "target_list": targets}
