@@ -2,10 +2,11 @@ import random
 from datetime import datetime, timedelta
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.operators import lookup
+from tierflow.operators import lookup, running, sweep
 from tierflow.operators.dedup import first_row_only, last_measures, latest_by_key
 from tierflow.operators.incremental import high_water, since_day, stamped
 from tierflow.operators.merge import merge_into_catalog, upsert, upsert_in_place
@@ -304,24 +305,65 @@ def test_union_tagged_pads_with_null(spark, rows):
 
 # --- lookups -------------------------------------------------------------------------
 
+def band_rows(values, bands):
+    want = []
+    for n, v in values:
+        hits = [b for b, low, high in bands if v is not None and low is not None and low <= v <= high]
+        want += [(n, v, b) for b in hits or [None]]
+    return sorted(want, key=str)
+
+
+@pytest.mark.parametrize("few", [0, 64])
 @pytest.mark.parametrize("wide", [False, True])
-def test_band_lookup_overlaps_gaps_and_edges(spark, wide):
+def test_band_lookup_overlaps_gaps_and_edges(spark, monkeypatch, wide, few):
+    monkeypatch.setattr(sweep, "ROWS_PER_RANGE", 20)
     rng = random.Random(2)
     bands = [(f"b{n}", low, low + rng.choice([0, 1, 7, 300])) for n, low in enumerate(rng.sample(range(-50, 400), 30))]
     bands += [("empty", 5, 4), ("nothing", None, 3)]
     if wide:
         bands += [("open", 100.0, float("inf")), ("all", float("-inf"), float("inf")), ("broad", -1e9, 1e9)]
-    values = [(n, v) for n, v in enumerate([*range(-60, 420, 3), None, 10**9])]
+    # Most rows share one value, and some have none.
+    values = list(enumerate([*range(-60, 420, 3), 10**9, *[77] * 400, *[None] * 30]))
     got = lookup.band_lookup(
-        spark.createDataFrame(values, "n int, v int"), F.col("v"),
+        spark.createDataFrame(values, "n int, v int").repartition(4), F.col("v"),
         spark.createDataFrame([(b, *[None if x is None else float(x) for x in limits]) for b, *limits in bands],
-                              "name string, low double, high double"), "low", "high", {"band": "name"},
+                              "name string, low double, high double"), "low", "high", {"band": "name"}, few=few,
     )
-    want = []
-    for n, v in values:
-        hits = [b for b, low, high in bands if v is not None and low is not None and low <= v <= high]
-        want += [(n, v, b) for b in hits or [None]]
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == band_rows(values, bands)
+    if not few:
+        loads = got.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(loads) >= 4
+
+
+def test_sweep_of_large_whole_numbers(spark):
+    """Neighbours that are the same as doubles are told apart."""
+    top = 2**60
+    values = [(n, top + n) for n in range(50)]
+    bands = [(f"b{n}", top + n, top + n + n % 3) for n in range(0, 60, 2)]
+    got = sweep.sweep_join(
+        spark.createDataFrame(values, "n int, v long"), F.col("v"),
+        spark.createDataFrame(bands, "name string, low long, high long"), "low", "high", {"band": "name"})
+    assert sorted(map(tuple, got.collect()), key=str) == band_rows(values, bands)
+
+
+def test_sweep_of_empty_sides_and_nan(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None), (4, float("inf"))], "n int, v double")
+    bands = spark.createDataFrame([("a", 0.0, float("inf")), ("b", float("nan"), 9.0)], "name string, low double, high double")
+
+    def found(left, right):
+        return sorted((r.n, r.band) for r in sweep.sweep_join(left, F.col("v"), right, "low", "high", {"band": "name"}).collect())
+
+    assert found(df, bands) == [(1, "a"), (2, None), (3, None), (4, "a")]
+    assert found(df, bands.limit(0)) == [(n, None) for n in (1, 2, 3, 4)]
+    assert found(df.limit(0), bands) == []
+
+
+def test_sweep_in_small_pieces(monkeypatch):
+    monkeypatch.setattr(sweep, "PAIRS_AT_ONCE", 10)
+    at, low, high = np.sort(np.arange(100) % 37), np.arange(0, 40, 3), np.arange(0, 40, 3) + 5
+    got = sorted((int(v), int(b)) for value, band in sweep._swept(at, low, high) for v, b in zip(value, band))
+    want = [(v, b) for v, x in enumerate(at) for b in ([b for b in range(len(low)) if low[b] <= x <= high[b]] or [-1])]
+    assert got == sorted(want)
 
 
 def test_band_lookup_of_points(spark, rows):
@@ -348,27 +390,52 @@ def test_orphans(spark, rows):
 
 # --- running state -------------------------------------------------------------------
 
-def test_day_offsets_vector(spark):
+@pytest.fixture(params=[1, 3, 16])
+def partitions(spark, request):
+    """So many partitions of a shuffle, none of them joined with another."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], request.param)
+    spark.conf.set(names[1], "false")
+    yield request.param
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def test_day_offsets_vector(spark, partitions):
     hours = [22, 23, 0, 1, 2, 23, 0]
     df = spark.createDataFrame([("p", n, h) for n, h in enumerate(hours)], "page string, pos int, hour int")
-    for size in (1, 2, 3, 100):
-        got = day_offsets(df, ["page"], ["pos"], "hour", F.floor(F.col("pos") / size))
-        assert [r.day_offset for r in got.orderBy("pos").collect()] == [0, 0, 1, 1, 1, 1, 2]
+    got = day_offsets(df, ["page"], ["pos"], "hour")
+    assert [r.day_offset for r in got.orderBy("pos").collect()] == [0, 0, 1, 1, 1, 1, 2]
+    assert day_offsets(df.limit(0), ["page"], ["pos"], "hour").count() == 0
 
 
-def test_day_offsets_of_random_groups(spark):
+@pytest.mark.parametrize("weights", [[1, 1, 1], [40, 1, 1], [1, 0, 0]])
+def test_day_offsets_of_random_groups(spark, partitions, weights):
     rng = random.Random(4)
-    data = [(rng.choice(["a", "a", "b", None]), n, rng.randrange(24)) for n in range(300)]
-    df = spark.createDataFrame(data, "g string, pos int, hour int").repartition(5)
-    got = {r.pos: r.day_offset for r in day_offsets(df, ["g"], ["pos"], "hour", F.floor(F.col("pos") / 17)).collect()}
+    data = [(rng.choices(["a", "b", None], weights)[0], n % 2, n, rng.randrange(24)) for n in range(400)]
+    df = spark.createDataFrame(data, "g string, h int, pos int, hour int").repartition(5)
+    got = {r.pos: r.day_offset for r in day_offsets(df, ["g", "h"], ["pos"], "hour").collect()}
     want, state = {}, {}
-    for g, pos, h in data:
-        last, days = state.get(g, (-1, 0))
-        days += h < last
-        state[g], want[pos] = (h, days), days
+    for g, h, pos, hour in data:
+        last, days = state.get((g, h), (-1, 0))
+        days += hour < last
+        state[g, h], want[pos] = (hour, days), days
     assert got == want
 
 
+def test_day_offsets_shuffle_once(spark):
+    df = spark.range(100).selectExpr("id % 3 AS g", "id AS pos", "cast(id * 7 % 24 AS int) AS hour")
+    plans = []
+    day_offsets_of = running.checkpointed
+    running.checkpointed = lambda frame: plans.append(frame._jdf.queryExecution().executedPlan().toString()) or day_offsets_of(frame)
+    try:
+        day_offsets(df, ["g"], ["pos"], "hour")
+    finally:
+        running.checkpointed = day_offsets_of
+    assert plans[0].count("Exchange") == 1 and plans[0].count("Range (") == 1
+
+
 def test_global_row_number(spark):
     data = [(n * 7 % 100, n) for n in range(250)]
     df = spark.createDataFrame(data, "v int, n int").repartition(6)

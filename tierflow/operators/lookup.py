@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierflow.operators.sweep import sweep_join
+
 
 def dim_lookup(
     df: DataFrame, dim: DataFrame, on: str, dim_key: str, columns: dict[str, str]
@@ -17,6 +19,9 @@ def dim_lookup(
     return df.join(side, F.col(on) == F.col("_dim"), "left").drop("_dim")
 
 
+FEW_BANDS = 64
+
+
 def band_lookup(
     df: DataFrame,
     value: Column,
@@ -24,45 +29,22 @@ def band_lookup(
     low: str,
     high: str,
     columns: dict[str, str],
+    few: int = FEW_BANDS,
 ) -> DataFrame:
     """Left range lookup: every band with ``low <= value <= high``, or NULLs without one.
 
-    Bands are sorted into levels by their width, in powers of two. A level's cells are as
-    wide as its widest band, so a band lies in one cell of its level or two, and a value in
-    one cell of each level that has bands. Narrow bands are not affected by wide ones, and
-    open ended ones are as wide as all limits together. The distinct values are looked up by
-    (level, cell), an ordinary equality join, and joined back to their rows.
+    Up to ``few`` bands, which are read first, become literals that each row is compared
+    with, without any shuffle. More bands are found by a sweep over sorted ranges, see
+    ``sweep_join``. Both give the same rows.
     """
-    side = bands.select(
-        F.col(low).alias("_low"), F.col(high).alias("_high"),
-        *[F.col(c).alias(n) for n, c in columns.items()],
-    ).filter(F.col("_low") <= F.col("_high"))
-    infinite = F.lit(float("inf"))
-    sizes = [F.abs(F.col(c).cast("double")) for c in ("_low", "_high")]
-    finite = [F.when(size < infinite, size) for size in sizes]
-    # The largest finite limit; everything beyond it is taken as just there.
-    edge = F.coalesce(side.select(F.max(F.greatest(*finite))).scalar(), F.lit(0.0))
-
-    def inside(column: Column) -> Column:
-        return F.greatest(-edge, F.least(edge, column.cast("double")))
-
-    width = F.greatest(inside(F.col("_high")) - inside(F.col("_low")), edge * 1e-12, F.lit(1e-9))
-    level = F.ceil(F.log2(width)).cast("int")
-
-    def cell(column: Column, at: Column) -> Column:
-        return F.floor(inside(column) / F.pow(F.lit(2.0), at))
-
-    side = side.withColumn("_level", level)
-    levels = side.select(F.collect_set("_level")).scalar()
-    pieces = side.withColumn("_cell", F.explode(F.array_distinct(F.array(
-        cell(F.col("_low"), F.col("_level")), cell(F.col("_high"), F.col("_level"))))))
+    side = bands.select(F.col(low).alias("_low"), F.col(high).alias("_high"), *[
+        F.col(c).alias(n) for n, c in columns.items()])
+    read = side.limit(few + 1).collect()
+    if len(read) > few:
+        return sweep_join(df, value, bands, low, high, columns)
+    known = F.broadcast(df.sparkSession.createDataFrame(read, side.schema))
     valued = df.withColumn("_value", value)
-    probes = valued.select("_value").filter(F.col("_value").isNotNull()).distinct().select(
-        F.col("_value").alias("_probe"), F.explode(levels).alias("_level"))
-    probes = probes.withColumn("_cell", cell(F.col("_probe"), F.col("_level")))
-    found = probes.join(pieces, ["_level", "_cell"]).filter(
-        F.col("_probe").between(F.col("_low"), F.col("_high"))).select("_probe", *columns)
-    return valued.join(found, F.col("_value") == F.col("_probe"), "left").select(*df.columns, *columns)
+    return valued.join(known, F.col("_value").between(F.col("_low"), F.col("_high")), "left").select(*df.columns, *columns)
 
 
 def orphans(

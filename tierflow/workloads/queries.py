@@ -264,9 +264,7 @@ def hour_rollover(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = table(spark, sf, "events").select("user_id", "event_id", "ts", clock.alias("clock"))
     rows = rows.withColumn("hour", times.hour_of_text(F.col("clock"), F.col("ts"))).filter("hour is not null")
-    # A minute as text: the share of one user in it does not make a task too large.
-    minute = F.substring(F.col("ts").cast("string"), 1, 16)
-    dated = day_offsets(rows, ["user_id"], ["ts", "event_id"], "hour", minute)
+    dated = day_offsets(rows, ["user_id"], ["ts", "event_id"], "hour")
     date = F.date_add(F.lit("2024-01-01").cast("date"), F.col("day_offset"))
     return dated.select(
         "user_id", "event_id", "hour", "day_offset", times.hour_stamp(date, F.col("hour")).alias("forecast_ts")
