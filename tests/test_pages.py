@@ -1,10 +1,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierflow import schemas
+from tierflow.plans import lakehouse
 from tierflow.sources import pages as pg
-from tierflow.sources.markup import Page
+from tierflow.sources.markup import Page, finished
+from tierflow.workloads import feeds
 
 FETCHED = datetime(2026, 3, 10, 22, 5, 9)
 
@@ -154,3 +157,55 @@ def test_now_without_a_fetch_time(spark):
     pages = spark.createDataFrame(
         [("u", "p", "c", f"<table><tr>{cell('Now')}{cell('15:00')}</tr></table>", None)], schemas.STORED_PAGES)
     assert [(r.clock, r.error) for r in pg.forecast_cells(pages).collect()] == [("Now", "unreadable hour"), ("15:00", None)]
+
+
+def test_unfinished_and_unmatched_tags_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for html in ("<a " * 100_000, "<div>" * 50_000 + "</x>" * 50_000, "<i>" * 50_000 + "</b>" * 50_000 + "text",
+                 '<a href="x' * 50_000, "<a title='" * 50_000 + '"' * 50_000):
+        Page(html)
+    assert time.perf_counter() - start < 20
+
+
+@pytest.mark.parametrize("html, same", [
+    ("<p class='a'>x</p>", True), ('<p title="a<b>c">x</p>', True), ("<p title='a > \" < b' id=x>x</p>", True),
+    ("a < b <c d>", True), ("<!-- <p --> <p>x</p>", True), ("<i <b>x</b>", False), ("<a <p class='k'>x</p>", False), ("<p x='", True), ("", True),
+])
+def test_finished_tags(html, same):
+    assert (finished(html) == html) == same
+    if "class='k'" in html:
+        page = Page(html)
+        assert page.text(page.first(None, "p", token="k")) == "x"
+
+
+def test_pages_are_parsed_once(spark, tmp_path, rows):
+    broken = "<![foo bar]]><p>no page</p>"
+    cell = '<td><p class="max-w-12">--</p></td><td><p class="max-w-12">05:00</p><div class="flex flex-col items-center">x</div></td>'
+    pages = stored(spark, "".join(PARTS), broken, f"<table><tr>{cell}</tr></table>", None)
+    parsed = pg.parsed_pages(pages).cache()
+    assert rows(pg.parsed_current(parsed)) == rows(pg.current_rows(pages))
+    assert rows(pg.parsed_cells(parsed)) == rows(pg.forecast_cells(pages))
+    want = rows(pg.page_quarantine(pages, "current").unionByName(pg.page_quarantine(pages, "forecast")))
+    assert rows(pg.parsed_quarantine(parsed)) == want and len(want) == 2
+    got = lakehouse.load_pages(pages, str(tmp_path))
+    assert got == {
+        "pages": 4, "current_read": 3, "current_rejected": 1, "forecast_rejected": 1, "cells_read": 0, "cells_unreadable_hour": 1,
+        "cells_metric_without_value": 1, "cells_other": 0, "raw_aqi_index": 3, "raw_weather_forecast": 0, "page_quarantine": 2,
+    }
+    assert lakehouse.load_pages(pages.limit(0), str(tmp_path))["pages"] == 0
+
+
+def test_long_reasons_are_kept_whole(spark):
+    def fail(row):
+        raise ValueError("x" * 2000)
+
+    got = pg.read_pages(stored(spark, "a"), fail, pg.PAGE_RECORD).first()
+    assert got.page_error == "ValueError: " + "x" * 2000
+
+
+def test_page_jobs_use_all_cores(spark):
+    for make in (feeds.current_pages, feeds.forecast_pages):
+        pages = make(spark, "/root/testdata/sf0.01")
+        assert pages.select(F.spark_partition_id().alias("p")).distinct().count() >= spark.sparkContext.defaultParallelism

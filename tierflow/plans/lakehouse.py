@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -13,22 +13,39 @@ from tierflow import schemas
 from tierflow.operators.merge import upsert
 from tierflow.operators.partials import Partial
 from tierflow.plans import gold, silver
+from tierflow.session import scratch_path
 from tierflow.sources import commits, pages as pg, tables
 from tierflow.sources.tables import month_of, table_path
 from tierflow.streaming.trigger import run_when_all_changed
 
 
+def load_pages(pages: DataFrame, base: str) -> dict[str, int]:
+    """Parse stored pages once and append both raw tables and the quarantine.
+
+    The parsed records are stored for the time of the load, so each page is parsed once
+    whatever is derived from it. Returns what became of pages and cells, counted while the
+    records were written.
+    """
+    spark = pages.sparkSession
+    path = scratch_path(spark, "parsed-pages")
+    seen = Observation("outcomes")
+    parsed = pg.parsed_pages(pages)
+    parsed.observe(seen, *[c.alias(n) for n, c in pg.outcome_counts().items()]).write.parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
+    rows = {
+        "raw_aqi_index": pg.parsed_current(parsed),
+        "raw_weather_forecast": pg.forecast_rows(pg.parsed_cells(parsed)),
+        "page_quarantine": pg.parsed_quarantine(parsed),
+    }
+    added = {name: tables.append(df, table_path(base, "bronze", name)) for name, df in rows.items()}
+    tables.drop_table(spark, path)
+    return {**{name: count or 0 for name, count in seen.get.items()}, **added}
+
+
 def load_raw(pages: DataFrame, base: str) -> dict[str, int]:
     """Append the rows of stored pages to both raw tables. Returns the rows added to each."""
-    return {
-        "raw_aqi_index": tables.append(
-            pg.current_rows(pages), table_path(base, "bronze", "raw_aqi_index")
-        ),
-        "raw_weather_forecast": tables.append(
-            pg.forecast_rows(pg.forecast_cells(pages)),
-            table_path(base, "bronze", "raw_weather_forecast"),
-        ),
-    }
+    outcomes = load_pages(pages, base)
+    return {name: outcomes[name] for name in ("raw_aqi_index", "raw_weather_forecast")}
 
 
 SILVER_KINDS = {"p_city": "string", "p_month": "string"}

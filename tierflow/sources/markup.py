@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from html.parser import HTMLParser
 
 # Elements that never have content, and those whose text is not shown.
@@ -11,6 +13,45 @@ VOID = frozenset(
 HIDDEN = frozenset(("script", "style", "template"))
 
 
+_SPECIAL = re.compile(r"[<>\"']")
+_TAG_START = re.compile(r"<[A-Za-z]")
+
+
+def finished(html: str) -> str:
+    """The markup with every tag that another one cuts short closed before that.
+
+    The tokenizer would search the rest of the page from each such tag. A sign of a quoted
+    value does not count; each sign is looked at once.
+    """
+    parts, done, at = [], 0, 0
+    absent = set()  # quotes that do not occur any more
+    while True:
+        start = _TAG_START.search(html, at)
+        if start is None:
+            break
+        at = start.end()
+        while True:
+            sign = _SPECIAL.search(html, at)
+            if sign is None:
+                at = len(html)
+                break
+            what, at = sign[0], sign.end()
+            if what == ">":
+                break
+            if what == "<":
+                at -= 1
+                parts += [html[done:at], ">"]
+                done = at
+                break
+            if html[sign.start() - 1] == "=" and what not in absent:
+                end = html.find(what, at)
+                if end < 0:
+                    absent.add(what)
+                else:
+                    at = end + 1
+    return "".join([*parts, html[done:]]) if parts else html
+
+
 class Element:
     """An element with the span it covers.
 
@@ -38,7 +79,8 @@ class Page(HTMLParser):
         self.elements: list[Element] = []
         self.texts: list[str] = []
         self._open: list[Element] = []
-        self.feed(html or "")
+        self._names: Counter[str] = Counter()  # how many of each name are open
+        self.feed(finished(html or ""))
         self.close()
         while self._open:
             self._shut(self._open.pop())
@@ -58,17 +100,20 @@ class Page(HTMLParser):
             self._shut(element)
         else:
             self._open.append(element)
+            self._names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
+            self._names[tag] -= 1
             self._shut(self._open.pop())
 
     def handle_endtag(self, tag):
-        if not any(element.name == tag for element in self._open):
+        if not self._names[tag]:
             return
         while True:
             element = self._open.pop()
+            self._names[element.name] -= 1
             self._shut(element)
             if element.name == tag:
                 return

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Mapping
 from itertools import accumulate, pairwise
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -41,6 +41,13 @@ FORECAST_RECORD = T.StructType([
     T.StructField("heading", _STR), T.StructField("cells", T.ArrayType(CELL)),
 ])
 
+# Both parts of a page read at once, each with the reason if it cannot be read.
+PARSED_RECORD = T.StructType([
+    T.StructField("current", CURRENT_RECORD), T.StructField("current_error", _STR),
+    T.StructField("forecast", FORECAST_RECORD), T.StructField("forecast_error", _STR),
+    T.StructField("html", _STR),
+])
+
 PAGE_RECORD = T.StructType([
     T.StructField("lang", _STR), T.StructField("title", _STR), T.StructField("h1", _STR),
     T.StructField("country", _STR),
@@ -52,6 +59,10 @@ ITEM = T.StructType([
 ])
 
 
+def reason_of(problem: Exception) -> str:
+    return f"{type(problem).__name__}: {problem}"
+
+
 def read_pages(
     df: DataFrame, read: Callable[[dict], object], record: T.DataType, html: str = "html",
     extra: tuple[str, ...] = (),
@@ -76,7 +87,7 @@ def read_pages(
                 try:
                     record_ = read(dict(zip(("html", *extra), row)))
                 except Exception as problem:  # whatever the page did to the parser
-                    error = f"{type(problem).__name__}: {problem}"[:500]
+                    error = reason_of(problem)
                 records.append(record_)
                 errors.append(error)
             arrays = [batch.column(name) for name in kept]
@@ -90,7 +101,10 @@ def read_pages(
 
 def read_current(row: dict) -> dict:
     """The texts of the current-observation part of a page."""
-    page = Page(row["html"])
+    return current_part(Page(row["html"]))
+
+
+def current_part(page: Page) -> dict:
     badge = page.first(None, "div", part="aqi-bg-")
     info = page.first(None, "div", token="font-body-m-medium")
     icon = page.first(None, "img", alt="weather condition icon")
@@ -127,7 +141,10 @@ def read_forecast(row: dict) -> dict:
 
     A cell with a readable hour moves the date on even if the rest of it is unreadable.
     """
-    page = Page(row["html"])
+    return forecast_part(Page(row["html"]), row["fetch_hour"])
+
+
+def forecast_part(page: Page, fetch_hour: int | None) -> dict:
     table = page.first(None, "table")
     cells = []
     for pos, item in enumerate(page.below(table, "td") if table else ()):
@@ -138,7 +155,7 @@ def read_forecast(row: dict) -> dict:
         cell = dict.fromkeys(CELL.fieldNames()) | {"pos": pos, "clock": clock}
         try:
             now = clock.lower() == "now"
-            hour = row["fetch_hour"] if now else int(clock.split(":")[0])
+            hour = fetch_hour if now else int(clock.split(":")[0])
             if hour is None:
                 raise ValueError("fetch time is missing")
             if not -2**31 <= hour < 2**31:
@@ -168,6 +185,25 @@ def read_forecast(row: dict) -> dict:
     return {"heading": page.text(page.first(None, "h2")), "cells": cells}
 
 
+def read_both(row: dict) -> dict:
+    """Both parts of a page that is parsed once; the page itself is kept if one cannot be read."""
+    parts = dict.fromkeys(PARSED_RECORD.fieldNames())
+
+    def attempt(name, make):
+        try:
+            parts[name] = make()
+        except Exception as problem:  # whatever the page did to the parser
+            parts[f"{name}_error"], parts["html"] = reason_of(problem), row["html"]
+
+    try:
+        page = Page(row["html"])
+    except Exception as problem:
+        return parts | dict.fromkeys(("current_error", "forecast_error"), reason_of(problem)) | {"html": row["html"]}
+    attempt("current", lambda: current_part(page))
+    attempt("forecast", lambda: forecast_part(page, row["fetch_hour"]))
+    return parts
+
+
 def read_page_info(row: dict) -> dict:
     """Language, title, main heading and country link of a page."""
     page = Page(row["html"])
@@ -197,8 +233,10 @@ def read_items(row: dict) -> list[dict]:
 def current_rows(pages: DataFrame, labels: Mapping[str, str] = tx.WEATHER_LABELS) -> DataFrame:
     """One raw row of fourteen text columns per stored page."""
     read = read_pages(pages.select("province", "city", "fetched_ts", "html"), read_current, CURRENT_RECORD)
-    read = read.filter(F.col("page_error").isNull())
+    return _current_columns(read.filter(F.col("page_error").isNull()), labels)
+
 
+def _current_columns(read: DataFrame, labels: Mapping[str, str]) -> DataFrame:
     def field(name):
         return F.col(f"record.{name}")
 
@@ -228,13 +266,82 @@ def forecast_cells(pages: DataFrame) -> DataFrame:
     wanted = pages.select(
         "province", "city", "fetched_ts", "html", F.hour("fetched_ts").alias("fetch_hour")
     )
-    read = read_pages(wanted, read_forecast, FORECAST_RECORD, extra=("fetch_hour",))
+    return _cells(read_pages(wanted, read_forecast, FORECAST_RECORD, extra=("fetch_hour",)))
+
+
+def _cells(read: DataFrame) -> DataFrame:
     return read.select(
         "province", "city", "fetched_ts", F.col("record.heading").alias("heading"),
         F.inline("record.cells"),
     )
 
 
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """Every page with the record of both its parts, each page parsed once.
+
+    Store it, and derive from it ``parsed_current``, ``parsed_cells`` and
+    ``parsed_quarantine``.
+    """
+    wanted = pages.select(
+        "province", "city", "fetched_ts", "html", F.hour("fetched_ts").alias("fetch_hour")
+    )
+    return read_pages(wanted, read_both, PARSED_RECORD, extra=("fetch_hour",)).drop("page_error", "fetch_hour")
+
+
+def _part(parsed: DataFrame, name: str) -> DataFrame:
+    read = parsed.filter(F.col(f"record.{name}_error").isNull())
+    return read.select("province", "city", "fetched_ts", F.col(f"record.{name}").alias("record"))
+
+
+def parsed_current(parsed: DataFrame, labels: Mapping[str, str] = tx.WEATHER_LABELS) -> DataFrame:
+    """The rows of ``current_rows``, of parsed pages."""
+    return _current_columns(_part(parsed, "current"), labels)
+
+
+def parsed_cells(parsed: DataFrame) -> DataFrame:
+    """The cells of ``forecast_cells``, of parsed pages."""
+    return _cells(_part(parsed, "forecast"))
+
+
+def parsed_quarantine(parsed: DataFrame) -> DataFrame:
+    """The parts that could not be read, with the page and the reason."""
+    failed = None
+    for feed in ("current", "forecast"):
+        error = F.col(f"record.{feed}_error")
+        part = parsed.filter(error.isNotNull()).select(
+            F.lit(feed).alias("feed"), "province", "city", "fetched_ts",
+            F.col("record.html").alias("html"), error.alias("error"),
+        )
+        failed = part if failed is None else failed.unionByName(part)
+    return failed
+
+
+# Reasons for which a cell is left out; any other text counts as "other".
+CELL_REASONS = {"unreadable_hour": "unreadable hour", "metric_without_value": "metric without a value"}
+
+
+def outcome_counts() -> dict[str, Column]:
+    """What became of parsed pages and their cells: names to aggregates."""
+    cells = F.coalesce(F.col("record.forecast.cells"), F.array().cast(FORECAST_RECORD["cells"].dataType))
+
+    def of_cells(test):
+        return F.sum(F.size(F.filter(cells, test)).cast("long"))
+
+    def with_reason(text):
+        return lambda c: c["error"] == text
+
+    known = [F.lit(text) for text in CELL_REASONS.values()]
+    return {
+        "pages": F.count(F.lit(1)),
+        "current_read": F.count_if(F.col("record.current_error").isNull()),
+        "current_rejected": F.count_if(F.col("record.current_error").isNotNull()),
+        "forecast_rejected": F.count_if(F.col("record.forecast_error").isNotNull()),
+        "cells_read": of_cells(lambda c: c["error"].isNull()),
+        **{f"cells_{name}": of_cells(with_reason(text)) for name, text in CELL_REASONS.items()},
+        "cells_other": of_cells(lambda c: c["error"].isNotNull() & ~c["error"].isin(*known)),
+    }
+
+
 def forecast_rows(cells: DataFrame, labels: Mapping[str, str] = tx.WEATHER_LABELS) -> DataFrame:
     """The raw forecast rows of the readable cells."""
     date = F.date_add(F.to_date("fetched_ts"), F.col("day_offset"))

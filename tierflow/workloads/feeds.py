@@ -80,8 +80,9 @@ def _text(*parts):
 def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer to make a page of, fetched 37 minutes after the one before."""
     # A page is far larger, and far more work, than the row it is made from. The narrow rows
-    # are spread before they grow, over as many tasks as shuffles use.
-    rows = table(spark, sf_dir, "customer").repartition("c_custkey")
+    # are spread before they grow. Without a number Spark would judge by their present size
+    # and join the partitions again.
+    rows = table(spark, sf_dir, "customer").repartition(2 * spark.sparkContext.defaultParallelism, "c_custkey")
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     rows = rows.withColumn("ts", F.timestamp_add("MINUTE", F.col("c_custkey") * 37, start))
     return rows.select(

@@ -400,6 +400,14 @@ SQL = {
     "forecast_quarantine": f"""WITH {_CELLS} SELECT 'new-city-' || nation AS city, ts AS fetched_ts, CAST(i AS INTEGER) AS pos,
  CASE WHEN bad_hour THEN '--' ELSE lpad(CAST(h AS VARCHAR), 2, '0') || ':00' END AS clock,
  CASE WHEN bad_hour THEN 'unreadable hour' ELSE 'metric without a value' END AS error FROM cells WHERE bad_hour OR bad_metric""",
+    "load_counts": f"""WITH {_PAGE}, b AS (SELECT number % 11 = 5 AS bad_c, number % 13 = 5 AS bad_f, number FROM pg),
+ c AS (SELECT count(*) AS cells, count(*) FILTER (number % 7 = 0 AND i = 3) AS hours,
+ count(*) FILTER (number % 9 = 0 AND i = 2) AS metrics FROM b, range(6) r(i) WHERE NOT bad_f),
+ p AS (SELECT count(*) AS n, count(*) FILTER (bad_c) + count(*) FILTER (bad_f) AS bad FROM b)
+ SELECT unnest(['pages', 'current_read', 'current_rejected', 'forecast_rejected', 'cells_read', 'cells_unreadable_hour',
+ 'cells_metric_without_value', 'cells_other', 'raw_aqi_index', 'raw_weather_forecast', 'page_quarantine']) AS outcome,
+ unnest([2 * n, 2 * n - bad, bad, bad, cells - hours - metrics, hours, metrics, 0, 2 * n - bad, cells - hours - metrics, 2 * bad]) AS n
+ FROM p, c""",
     "bronze_append_evolve": f"""WITH {FA} SELECT *, count(*) OVER () AS rows_added FROM fa
  UNION ALL SELECT NULL AS province, * EXCLUDE (province), count(*) OVER () FROM fa""",
     "layout_by_day": f"WITH {SA} SELECT *, CAST(event_ts AS DATE) AS p_day FROM ({_SILVER_A})",
@@ -430,3 +438,4 @@ SQL = {
     "build_dimension": """SELECT upper(md5(p_brand || p_type)) AS id, p_brand, p_type, min(p_size) AS min_size,
  max(p_size) AS max_size, max(p_retailprice) AS top_price FROM part GROUP BY p_brand, p_type""",
 }
+SQL["pages_loaded"] = SQL["forecast_extract"]

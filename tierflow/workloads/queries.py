@@ -409,6 +409,20 @@ def forecast_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return pg.quarantine(cells).select("city", "fetched_ts", "pos", "clock", "error")
 
 
+def load_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of the pages of both kinds and their cells, each page parsed once."""
+    pages = feeds.current_pages(spark, sf).unionByName(feeds.forecast_pages(spark, sf))
+    outcomes = lakehouse.load_pages(pages, scratch_path(spark, "load"))
+    return spark.createDataFrame(list(outcomes.items()), "outcome string, n long")
+
+
+def pages_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw forecast rows that a load of the pages leaves."""
+    base = scratch_path(spark, "load")
+    lakehouse.load_pages(feeds.forecast_pages(spark, sf), base)
+    return tables.scan(spark, tables.table_path(base, "bronze", "raw_weather_forecast"), schemas.RAW_FORECAST)
+
+
 def bronze_append_evolve(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "bronze-evolve")
     raw = feeds.raw_actual(spark, sf)
@@ -660,6 +674,6 @@ QUERIES = {
         layout_by_day, layout_by_year, stored_lookup, stored_lookup_by_id, insert_stored, silver_partial_merge,
         csv_roundtrip, insert_values, ensure_table, catalog_scan, build_dimension, stream_upsert,
         silver_incremental, silver_incremental_forecast, stream_lookback, stream_gold, dim_category_partials,
-        dim_city_partials,
+        dim_city_partials, load_counts, pages_loaded,
     )
 } | {"dim_lookup": dim_lookup_city, "target_list": targets}
