@@ -85,11 +85,14 @@ def cover_tree(vectors: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.nd
             at = begin
             for members, covering in large:
                 order[at:at + len(members)] = members
-                nodes.append([at, at + len(members), 0, 0, at, covering])
+                nodes.append([at, at + len(members), 0, 0, int(members[0]), covering])
                 at += len(members)
-            nodes[i][4] = begin
         i += 1
-    return order, np.array([tuple(n) for n in nodes], _NODE)
+    found = np.array([tuple(n) for n in nodes], _NODE)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    found["centre"] = place[found["centre"]]
+    return order, found
 
 
 class _Shard:
