@@ -41,6 +41,28 @@ class Shelf:
             df.write.option("compression", "zstd").parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
+    def put_by(self, name: str, df: DataFrame, kind: str, count: int) -> list[DataFrame]:
+        """``df`` in one pass as ``count`` tables, by a column of whole numbers from 0.
+
+        They can be dropped one by one, as ``name/kind=number``.
+        """
+        key = "spark.sql.maxConcurrentOutputFileWriters"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(max(count, int(before))))  # rows need not be sorted by their table
+        try:
+            with shuffles_cleaned(self.spark):
+                df.write.option("compression", "zstd").partitionBy(kind).parquet(f"{self.base}/{name}")
+        finally:
+            self.spark.conf.set(key, before)
+        schema = df.drop(kind).schema
+        found = []
+        for number in range(count):
+            path = f"{self.base}/{name}/{kind}={number}"
+            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+            found.append(self.spark.read.schema(schema).parquet(path))
+        return found
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
