@@ -49,7 +49,7 @@ def run(spark, base, number, pages, **options):
 def snapshot(spark, base):
     fact = lakehouse.fact_table(spark, base)
     dims = {
-        n: spark.read.parquet(tables.latest_version(spark, table_path(base, "gold", n)))
+        n: lakehouse.dimension(spark, table_path(base, "gold", n))
         for n in ("dim_city", "dim_aqi", "dim_date")
     }
     return fact, dims

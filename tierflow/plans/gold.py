@@ -50,9 +50,17 @@ def fact_rows(
     return keyed.select(*schemas.FACT.names, *extra)
 
 
-def fact_merged(actual: DataFrame, forecast: DataFrame, state: DataFrame, **options) -> DataFrame:
-    """The fact table after an incremental run on top of its state."""
-    return upsert(state, fact_rows(actual, forecast, state, **options), "id")
+def fact_merged(actual: DataFrame, forecast: DataFrame, state: DataFrame, days: int = 2, **options) -> DataFrame:
+    """The fact table after an incremental run on top of its state.
+
+    A run makes rows from the bound on only, and a row's key follows from its city and time.
+    So the rows of the state that lie before the hour of the bound cannot be matched; they
+    pass as they are, and the merge sees the others.
+    """
+    bound = times.date_key(high_water(state, "scraped_ts", days))
+    recent = F.coalesce(F.col("date_id") >= bound, F.lit(True))
+    merged = upsert(state.filter(recent), fact_rows(actual, forecast, state, days, **options), "id")
+    return state.filter(~recent).unionByName(merged)
 
 
 #: What is kept of the actual table per partition, so that its dimensions need not read it.

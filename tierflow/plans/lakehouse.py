@@ -161,18 +161,30 @@ def silver_partial(spark: SparkSession, base: str, partial: Partial) -> DataFram
     return partial.read(spark, table_path(base, "silver", "aqi_index"), schemas.SILVER_ACTUAL, SILVER_KINDS)
 
 
+# dim_date lies in folders by year; the other dimensions are small.
+DIMENSION_FOLDERS = {"dim_date": "p_year"}
+KEPT_VERSIONS = 5
+
+
+def dimension(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest version of a dimension, or None."""
+    latest = tables.latest_version(spark, path)
+    return None if latest is None else spark.read.parquet(latest).drop(*DIMENSION_FOLDERS.values())
+
+
 def refresh_dimension(
     spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
-    full_refresh: bool = False,
+    full_refresh: bool = False, partitions: dict[str, Column] | None = None, keep: int | None = KEPT_VERSIONS,
 ) -> DataFrame:
     """Merge a dimension into its latest version and write the result as a new one.
 
     Rows without a key would match nothing and be added by every run, so they are left out.
+    The newest ``keep`` versions stay for those who read them.
     """
-    latest = None if full_refresh else tables.latest_version(spark, path)
-    state = None if latest is None else spark.read.parquet(latest)
+    state = None if full_refresh else dimension(spark, path)
     merged = upsert(state, build(state), "id", drop_null_keys=True)
-    return spark.read.parquet(tables.write_version(merged, path))
+    tables.write_version(merged, path, keep, partitions)
+    return dimension(spark, path)
 
 
 def refresh_gold(
@@ -182,14 +194,17 @@ def refresh_gold(
     """Bring the dimensions and the fact up to date with the typed tables."""
     actual, forecast = silver_tables(spark, base)
 
-    def dimension(name, build):
-        refresh_dimension(spark, table_path(base, "gold", name), build, full_refresh)
+    def refresh(name, build, **options):
+        refresh_dimension(spark, table_path(base, "gold", name), build, full_refresh, **options)
 
     pairs = silver_partial(spark, base, gold.CITY_PARTIAL)
-    dimension("dim_city", lambda state: gold.city_rows(pairs, as_of, state))
+    refresh("dim_city", lambda state: gold.city_rows(pairs, as_of, state))
     ranges = silver_partial(spark, base, gold.CATEGORY_PARTIAL)
-    dimension("dim_aqi", lambda state: gold.category_rows(ranges, as_of, state))
-    dimension("dim_date", lambda state: gold.dim_date(actual, forecast, as_of, state, grain=grain))
+    refresh("dim_aqi", lambda state: gold.category_rows(ranges, as_of, state))
+    refresh(
+        "dim_date", lambda state: gold.dim_date(actual, forecast, as_of, state, grain=grain),
+        partitions={DIMENSION_FOLDERS["dim_date"]: F.col("year_val").cast("int")},
+    )
 
     path = table_path(base, "gold", "fact_aqi_weather")
     if full_refresh:
@@ -226,9 +241,9 @@ def register_views(spark: SparkSession, base: str) -> list[str]:
         "gold_fact_aqi_weather": fact_table(spark, base),
     }
     for name in ("dim_city", "dim_aqi", "dim_date"):
-        latest = tables.latest_version(spark, table_path(base, "gold", name))
-        if latest is not None:
-            views[f"gold_{name}"] = spark.read.parquet(latest)
+        rows = dimension(spark, table_path(base, "gold", name))
+        if rows is not None:
+            views[f"gold_{name}"] = rows
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return list(views)

@@ -161,74 +161,134 @@ def scan_partitioned(
     return spark.read.schema(full).parquet(path)
 
 
+def write_by_key(
+    df: DataFrame, path: str, key: str, digits: int = 2, expected: int = 1_000_000, mode: str = "overwrite"
+) -> None:
+    """Lay a table out for lookups by a hash: folders by its first digits, files sorted by it.
+
+    Each file also has a Bloom filter of the key, made for ``expected`` keys, so that a file
+    without a wanted key is left after its footer.
+    """
+    (
+        laid_out(df, {"p_key": F.substring(F.col(key), 1, digits)}, [key]).write.mode(mode)
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{key}", str(expected))
+        .partitionBy("p_key").parquet(path)
+    )
+
+
+def find_keys(
+    spark: SparkSession, path: str, schema: StructType, key: str, wanted: Sequence[str], digits: int = 2
+) -> DataFrame:
+    """The rows of the given keys in a table of ``write_by_key``.
+
+    The keys are literals: their folders are chosen while planning, and the files get the
+    keys themselves.
+    """
+    keys = sorted({k for k in wanted if k is not None})
+    table = scan_partitioned(spark, path, schema, {"p_key": "string"})
+    near = F.col("p_key").isin(sorted({k[:digits] for k in keys})) & F.col(key).isin(keys)
+    return table.filter(near).drop("p_key")
+
+
+# A line break inside a text would keep a file from being split, so it is written as a mark.
+# Backslashes are marked too, hence every one that is read belongs to a mark.
+_MARKS = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _texts_mapped(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.select(*[
+        change(F.col(f.name)).alias(f.name) if f.dataType == StringType() else F.col(f.name) for f in df.schema])
+
+
+def _marked(text: Column) -> Column:
+    for sign, mark in _MARKS:
+        text = F.replace(text, F.lit(sign), F.lit(mark))
+    return text
+
+
+def _unmarked(text: Column) -> Column:
+    for sign, mark in reversed(_MARKS):
+        text = F.replace(text, F.lit(mark), F.lit(sign))
+    return text
+
+
 def land_csv(df: DataFrame, folder: str, label: str, stamp: str) -> str:
-    """Write a CSV landing, named by label and time, with a header. Returns its path."""
+    """Write a CSV landing, named by label and time, with a header. Returns its path.
+
+    One row is one line, whatever its texts hold.
+    """
     path = f"{folder.rstrip('/')}/{label}_{stamp}.csv"
     (
-        df.write.mode("errorifexists").option("header", True).option("escape", '"')
-        .option("maxRecordsPerFile", 1_000_000).csv(path)
+        _texts_mapped(df, _marked).write.mode("errorifexists").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a landing. Texts may contain line breaks, files are of bounded size.
+    """Read a landing; large files are read by several tasks.
 
     A null marker that cannot occur keeps quoted empty texts apart from absent values.
     """
-    return (
+    lines = (
         spark.read.schema(schema).option("header", True).option("escape", '"')
-        .option("nullValue", "\u0000").option("multiLine", True).csv(path)
+        .option("nullValue", "\u0000").option("enforceSchema", True).csv(path)
     )
+    return _texts_mapped(lines, _unmarked)
 
 
-def write_version(df: DataFrame, base: str) -> str:
+def write_version(
+    df: DataFrame, base: str, keep: int | None = None, partitions: Mapping[str, Column] | None = None
+) -> str:
     """Write a whole table as a new version directory. Readers keep the version they opened.
 
     This is how a table is rebuilt from its own former state: the path being read is not
-    the path being written.
+    the path being written. With ``keep`` only so many of the newest versions stay, once the
+    new one is complete. ``partitions`` are derived columns that name its folders.
     """
+    if keep is not None and keep < 1:
+        raise ValueError("keep must be 1 or more")
     latest = latest_version(df.sparkSession, base)
     number = 1 if latest is None else int(latest.rsplit("=", 1)[1]) + 1
     path = f"{base.rstrip('/')}/version={number}"
     # A directory of this number without a success marker is left from a failed write.
-    df.write.mode("overwrite").parquet(path)
+    if partitions:
+        with_folders(df, partitions).hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    if keep is not None:
+        for _, old in versions(df.sparkSession, base)[:-keep]:
+            drop_table(df.sparkSession, old)
     return path
 
 
-def latest_version(spark: SparkSession, base: str) -> str | None:
-    """The path of the newest complete version, or None."""
+def versions(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """Number and path of the complete versions, oldest first."""
     fs, root = _filesystem(spark, base)
     if not fs.exists(root):
-        return None
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        path = f"{base.rstrip('/')}/{name}"
-        if name.startswith("version=") and exists(spark, f"{path}/_SUCCESS"):
-            found.append((int(name.split("=", 1)[1]), path))
-    return max(found)[1] if found else None
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    found = [(int(n.split("=", 1)[1]), f"{base.rstrip('/')}/{n}") for n in names if n.startswith("version=")]
+    return sorted((n, path) for n, path in found if exists(spark, f"{path}/_SUCCESS"))
+
+
+def latest_version(spark: SparkSession, base: str) -> str | None:
+    """The path of the newest complete version, or None."""
+    found = versions(spark, base)
+    return found[-1][1] if found else None
 
 
-def _touched(df: DataFrame, source: DataFrame, names: Sequence[str], limit: int) -> DataFrame:
+def _touched(df: DataFrame, source: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows of ``df`` in the partitions that occur in ``source``.
 
-    Few partition values are passed as literals, which prunes directories while planning.
-    More of them are joined.
+    The partition values of the source are one set, a scalar subquery in a filter on
+    partition columns: Spark evaluates it before it lists the files, so folders are left out
+    whatever their number. Structs compare NULL fields as equal.
     """
-    wanted = source.select(*names).distinct()
-    rows = wanted.limit(limit + 1).collect()
-    renamed_names = [f"_w_{n}" for n in names]
-    match = [F.col(n).eqNullSafe(F.col(w)) for n, w in zip(names, renamed_names)]
-    if len(rows) > limit:
-        return df.join(wanted.toDF(*renamed_names), match, "left_semi")
-    kept = df
-    for name in names:
-        values = {row[name] for row in rows}
-        test = F.col(name).isin([v for v in values if v is not None])
-        kept = kept.filter(test | F.col(name).isNull() if None in values else test)
-    local = df.sparkSession.createDataFrame(rows, wanted.schema).toDF(*renamed_names)
-    return kept.join(F.broadcast(local), match, "left_semi")
+    own = F.struct(*[F.col(n).alias(n) for n in names])
+    wanted = source.select(F.collect_set(F.struct(*[F.col(n).alias(n) for n in names])))
+    return df.filter(F.array_contains(wanted.scalar(), own))
 
 
 def upsert_table(
@@ -239,7 +299,6 @@ def upsert_table(
     sort: Sequence[str],
     batch: str,
     scope: Sequence[str] | None = None,
-    touched_limit: int = 2000,
     combine: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None,
     published: Callable[[DataFrame], None] | None = None,
     **options,
@@ -286,9 +345,9 @@ def upsert_table(
             wanted = _with_partitions(source, partitions).select(*names)
             if moving:
                 wanted = wanted.unionByName(
-                    _holding(table, source, key, partitions, scope, touched_limit).select(*names)
+                    _holding(table, source, key, partitions, scope).select(*names)
                 )
-            near = _touched(table, wanted, names, touched_limit)
+            near = _touched(table, wanted, names)
             merged = combine(near.select(*source.columns), source)
         else:
             merged = combine(None, source)
@@ -296,7 +355,7 @@ def upsert_table(
     merged = spark.read.schema(source.schema).parquet(stage)
     if moving and exists(spark, path):
         table = spark.read.schema(staged_schema).parquet(path)
-        _drop_left_partitions(table, merged, key, partitions, scope, touched_limit)
+        _drop_left_partitions(table, merged, key, partitions, scope)
     write_partitioned(merged, path, partitions, sort)
     if published is not None:
         published(merged)
@@ -304,19 +363,19 @@ def upsert_table(
     drop_table(spark, f"{stage}-rows")
 
 
-def _holding(table, batch, key, partitions, scope, limit) -> DataFrame:
+def _holding(table, batch, key, partitions, scope) -> DataFrame:
     """Rows of the table, within the batch's scope, whose key occurs in the batch."""
     keys = [key] if isinstance(key, str) else list(key)
-    near = _touched(table, _with_partitions(batch, partitions), scope, limit)
+    near = _touched(table, _with_partitions(batch, partitions), scope)
     return near.join(batch.select(*keys), keys, "left_semi")
 
 
-def _drop_left_partitions(table, merged, key, partitions, scope, limit) -> None:
+def _drop_left_partitions(table, merged, key, partitions, scope) -> None:
     """Delete the partitions whose rows have all moved into others."""
     spark = table.sparkSession
     names = list(partitions)
     folder = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
-    held = _holding(table.withColumn("_folder", folder), merged, key, partitions, scope, limit)
+    held = _holding(table.withColumn("_folder", folder), merged, key, partitions, scope)
     kept = _with_partitions(merged, partitions).select(*names).distinct().toDF(*[f"_k_{n}" for n in names])
     match = [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names]
     left = held.join(kept, match, "left_anti").select("_folder").distinct()

@@ -230,6 +230,34 @@ def _merge_dim(old, new):
  UNION ALL SELECT o.* FROM ({old}) o WHERE o.id NOT IN (SELECT id FROM ({new}))"""
 
 
+def _lookup_run(name, a, f, since):
+    """A run of the older fact: the feeds as one list, folded to one row per city and time."""
+    shared = ("weather_condition", "temp_val", "humidity_val", "wind_val")
+    lists = ", ".join(f"coalesce(max({c}) FILTER (side = 'a'), max({c}) FILTER (side = 'f')) AS {c}" for c in ("aqi_val", "scraped_ts", *shared))
+    only = ", ".join(f"max({c}) FILTER (side = 'a') AS {c}" for c in ("main_pollutant", "pollutant_val", "wind_dir", "alert"))
+    return f"""{name}_bands AS (SELECT {_band('aqi_val')} AS category, min(aqi_val) AS low, max(aqi_val) AS high FROM {a}
+ WHERE aqi_val IS NOT NULL GROUP BY 1),
+ {name}_rows AS (SELECT city, ts, {lists}, {only}, max(observation_ts) AS observation_ts FROM (
+ SELECT 'a' AS side, city, event_ts AS ts, aqi_val, scraped_ts, {', '.join(shared)}, main_pollutant, pollutant_val, wind_dir, alert,
+ NULL::TIMESTAMP AS observation_ts FROM {a}
+ UNION ALL SELECT 'f', city, forecast_ts, aqi_val, scraped_ts, {', '.join(shared)}, NULL, NULL, NULL, NULL, observation_ts FROM {f})
+ WHERE ts >= {since} AND city IS NOT NULL GROUP BY city, ts),
+ {name} AS (SELECT upper(md5(r.city || strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))) AS fact_id, ts AS event_ts,
+ (SELECT any_value(upper(md5(c.city))) FROM {a} c WHERE c.city = r.city) AS city_id, aqi_val AS aqi, upper(md5(b.category)) AS aqi_id,
+ weather_condition, temp_val, humidity_val, wind_val, pollutant_val, main_pollutant, wind_dir, alert, scraped_ts AS load_ts, observation_ts
+ FROM {name}_rows r LEFT JOIN {name}_bands b ON r.aqi_val BETWEEN b.low AND b.high)"""
+
+
+def _lookup_merge():
+    kept = ("event_ts", "observation_ts")
+    columns = ("event_ts city_id aqi aqi_id weather_condition temp_val humidity_val wind_val pollutant_val main_pollutant "
+               "wind_dir alert load_ts observation_ts").split()
+    picked = [f"CASE WHEN {'o.fact_id IS NULL' if c in kept else 'n.fact_id IS NOT NULL'} THEN n.{c} ELSE o.{c} END AS {c}" for c in columns]
+    return f"""WITH {BOTH}, {_PRIOR_SIDES}, {_lookup_run('o', 'pa', 'pf', "TIMESTAMP '0001-01-01'")},
+ {_lookup_run('n', 'sa', 'sf', "TIMESTAMP '2024-01-17'")}
+ SELECT coalesce(o.fact_id, n.fact_id) AS fact_id, {', '.join(picked)} FROM o FULL OUTER JOIN n ON o.fact_id = n.fact_id"""
+
+
 _LOOK_BACK = f"""{FA}, drops AS (SELECT *, CASE WHEN substr(scraped_ts, 15, 2) = '07' OR substr(scraped_ts, 1, 10) > '2024-01-21' THEN 3
  WHEN substr(scraped_ts, 1, 10) < '2024-01-12' THEN 1 ELSE 2 END AS number FROM fa),
  timed AS (SELECT number, lower({_trim('city')}) AS city, {_clean_a()} AS event_ts, {_AT} AS scraped_ts, {_USABLE} AS usable FROM drops),
@@ -375,7 +403,8 @@ SQL = {
  'https://example.org/' || p || '/' || c AS url FROM l""",
     "topn_recent": f"WITH {SA} {_SILVER_A} WHERE event_ts IS NOT NULL ORDER BY event_ts DESC, city LIMIT 10",
     "pages_extract": f"""SELECT page_id, url, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
- trim({_plain("regexp_extract(html, '<title>([^<]*)</title>', 1)")}) AS title, 'Indonesia' AS country,
+ trim({_plain("regexp_extract(html, '<title>([^<]*)</title>', 1)")}) AS title,
+ CASE WHEN page_id % 3 = 0 THEN 'Indonesia' ELSE 'Land ' || (page_id % 3) END AS country,
  trim(replace({_plain("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}, 'Air quality in ', '')) AS city_named FROM pages""",
     "pages_extract_items": """SELECT page_id, CAST(i AS INTEGER) AS pos,
  regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)[i + 1] AS href,
@@ -421,7 +450,16 @@ SQL = {
     "insert_stored": "SELECT r_regionkey, r_name FROM region UNION ALL SELECT 99, 'ADDED'",
     "silver_partial_merge": f"""WITH {SA} SELECT * REPLACE (CASE WHEN {PRIOR} THEN 'old' ELSE province END AS province)
  FROM ({_SILVER_A}) WHERE id IS NOT NULL""",
-    "csv_roundtrip": "SELECT * FROM customer",
+    "csv_roundtrip": r"""SELECT * REPLACE (CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
+ WHEN 2 THEN ' two' || chr(10) || 'lines' || chr(13) || chr(10) || c_name WHEN 3 THEN 'say "x", \n\b' ELSE c_mktsegment END AS c_mktsegment)
+ FROM customer""",
+    "evolve_types": """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN (p_size + 3000000000)::DOUBLE
+ ELSE p_retailprice END AS value, CASE WHEN p_partkey % 3 = 1 THEN 'second' END AS note FROM part""",
+    "fact_bucketed": f"WITH {BOTH}, {_fact('fact')} SELECT * FROM fact",
+    "upsert_bucketed": _upsert("o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority updated_ts".split()),
+    "fact_lookup_merge": _lookup_merge(),
+    "silver_forecast_merge": f"""WITH {SF} SELECT id, CASE WHEN {PRIOR} THEN 'old' ELSE province END AS province, city, forecast_ts,
+ observation_ts, aqi_val, weather_condition, temp_val, wind_val, humidity_val, scraped_ts FROM sf WHERE id IS NOT NULL""",
     "ensure_table": "SELECT * FROM customer",
     "page_quarantine": f"""WITH {_PAGE} SELECT 'current' AS feed, * FROM (SELECT 'region-' || (nation % 5) AS province,
  'new-city-' || nation AS city, ts AS fetched_ts, 'AssertionError' AS error FROM pg WHERE number % 11 = 5)

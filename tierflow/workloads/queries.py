@@ -12,12 +12,14 @@ from tierflow.functions.keys import entity_hour_key, surrogate_key
 from tierflow.operators.dedup import first_row_only, last_measures
 from tierflow.operators.incremental import since_day
 from tierflow.operators.lookup import band_lookup, dim_lookup
-from tierflow.operators.merge import upsert
+from tierflow.operators.merge import upsert, upsert_in_place
 from tierflow.operators.reconcile import union_tagged
 from tierflow.operators.running import day_offsets
 from tierflow.plans import gold, lakehouse, silver
 from tierflow.session import scratch_path
 from tierflow.sources import pages as pg, tables
+from tierflow.sources.buckets import write_bucketed
+from tierflow.sources.evolve import append_typed, scan_typed
 from tierflow.sources.targets import target_list
 from tierflow.streaming.feed import PARTITION_TYPES, actual_partitions, late_rows, stream_actual
 from tierflow.workloads import feeds
@@ -25,6 +27,7 @@ from tierflow.workloads.feeds import table
 
 FIRST_RUN_AT = "2024-01-20 00:00:00"
 SECOND_RUN_AT = "2024-02-01 00:00:00"
+BUCKETS = 8
 PRIOR = "scraped_ts < timestamp_ntz '2024-01-20 00:00:00'"
 
 
@@ -86,15 +89,35 @@ def _prior_fact(actual, forecast):
 
 
 def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _keyed(_actual(spark, sf), _forecast(spark, sf))
+    actual, forecast = _keyed(*_stored_silver(spark, sf))
     return gold.fact_rows(actual, forecast, _prior_fact(actual, forecast), unique_inputs=True)
 
 
 def fact_merged(spark: SparkSession, sf: str) -> DataFrame:
-    actual, forecast = _keyed(_actual(spark, sf), _forecast(spark, sf))
+    actual, forecast = _keyed(*_stored_silver(spark, sf))
     return gold.fact_merged(actual, forecast, _prior_fact(actual, forecast), unique_inputs=True)
 
 
+def fact_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact of typed tables that are stored in buckets of city and time: nothing is shuffled."""
+    actual, forecast = _keyed(_actual(spark, sf), _forecast(spark, sf))
+    path = scratch_path(spark, "buckets")
+    label = path.rsplit("-", 1)[1]
+    stored = (
+        write_bucketed(actual, f"actual_{label}", f"{path}/actual", ["city", "event_ts"], BUCKETS),
+        write_bucketed(forecast, f"forecast_{label}", f"{path}/forecast", ["city", "forecast_ts"], BUCKETS),
+    )
+    return gold.fact_rows(*stored, unique_inputs=True)
+
+
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge into a table stored in buckets of its key; only the batch is shuffled."""
+    target, source = _order_versions(spark, sf)
+    path = scratch_path(spark, "buckets")
+    stored = write_bucketed(target, f"orders_{path.rsplit('-', 1)[1]}", path, ["o_orderkey"], BUCKETS)
+    return upsert_in_place(stored, source, "o_orderkey")
+
+
 def rolling_day(spark: SparkSession, sf: str) -> DataFrame:
     rows = gold.reconciled(
         *_keyed(_actual(spark, sf), _forecast(spark, sf)),
@@ -225,6 +248,29 @@ def fact_with_lookups(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _fact_lookup_rows(spark, actual, forecast, since=None):
+    """The older fact with categories by bands of the index, which do not overlap."""
+    stamp = times.local_stamp(FIRST_RUN_AT)
+    banded = actual.withColumn("aqi_status", tx.index_band(F.col("aqi_val")))
+    categories = _stored(gold.dim_category(banded.filter("aqi_val IS NOT NULL"), stamp))
+    return gold.fact_with_lookups(actual, forecast, gold.dim_city(actual, stamp), categories, since)
+
+
+def fact_lookup_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A later run of the older fact merged in by its list of columns."""
+    actual, forecast = _keyed(*_stored_silver(spark, sf))
+    old = _stored(_fact_lookup_rows(spark, actual.filter(PRIOR), forecast.filter(PRIOR)))
+    new = _fact_lookup_rows(spark, actual, forecast, since_day("2024-01-20", days=3))
+    return upsert(old, new, "fact_id", update_cols=gold.FACT_LOOKUP_UPDATES)
+
+
+def silver_forecast_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A later run of the forecast feed merged in by the older list of columns."""
+    rows = _forecast(spark, sf).filter("id IS NOT NULL")
+    old = rows.filter(PRIOR).withColumns({"weather_condition": F.lit("old"), "province": F.lit("old"), "temp_val": F.lit(-1.0)})
+    return upsert(old, rows, "id", update_cols=silver.FORECAST_UPDATES)
+
+
 def dim_lookup_city(spark: SparkSession, sf: str) -> DataFrame:
     actual = _actual(spark, sf)
     cities = gold.dim_city(actual, times.local_stamp(FIRST_RUN_AT))
@@ -379,7 +425,11 @@ def topn_recent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pages_extract(spark: SparkSession, sf: str) -> DataFrame:
-    return pg.page_info(table(spark, sf, "pages"))
+    """Page metadata; two pages of three link to a country and name the city behind a prefix."""
+    named = F.concat(F.lit('<a class="x" href="/indonesia"> Land '), (F.col("page_id") % 3).cast("string"),
+                     F.lit("</a><h1>Air quality in "))
+    html = F.when(F.col("page_id") % 3 > 0, F.replace(F.col("html"), F.lit("<h1>"), named)).otherwise(F.col("html"))
+    return pg.page_info(table(spark, sf, "pages").withColumn("html", html))
 
 
 def pages_extract_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -472,12 +522,14 @@ def stored_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows by the hash of their natural key, as which the key is pushed into the files."""
+    """Rows by the hash of their natural key: folders by its first digits, the keys pushed into the files."""
+    path = tables.table_path(scratch_path(spark, "lookup"), "silver", "weather_forecast")
+    tables.write_by_key(_forecast(spark, sf), path, "id")
     hours = F.sequence(
         F.expr("timestamp_ntz '2024-01-10 00:00:00'"), F.expr("timestamp_ntz '2024-01-12 00:00:00'"), F.expr("interval 1 hour"))
     wanted = spark.range(1).select(F.explode(hours).alias("t")).select(
-        entity_hour_key(F.lit("city 3"), F.col("t"), 3).alias("id"))
-    return _stored_forecast(spark, sf).drop(*PARTITION_TYPES).join(F.broadcast(wanted), "id", "left_semi")
+        entity_hour_key(F.lit("city 3"), F.col("t"), 3).alias("id")).collect()
+    return tables.find_keys(spark, path, schemas.SILVER_FORECAST, "id", [row.id for row in wanted])
 
 
 def insert_stored(spark: SparkSession, sf: str) -> DataFrame:
@@ -497,11 +549,30 @@ def silver_partial_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    customers = table(spark, sf, "customer")
+    """Customers landed as CSV and read again, with line breaks, quotes, blanks, marks, empty texts and NULLs."""
+    key = F.col("c_custkey")
+    awkward = (
+        F.when(key % 7 == 0, F.lit("")).when(key % 7 == 1, F.lit(None).cast("string"))
+        .when(key % 7 == 2, F.concat(F.lit(" two\nlines\r\n"), "c_name")).when(key % 7 == 3, F.lit('say "x", \\n\\b'))
+        .otherwise(F.col("c_mktsegment"))
+    )
+    customers = table(spark, sf, "customer").withColumn("c_mktsegment", awkward)
     path = tables.land_csv(customers, scratch_path(spark, "csv"), "customer", "20240201_0700")
     return tables.read_csv(spark, path, customers.schema)
 
 
+def evolve_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Three appends of one table: a column as int, as bigint beyond it, as double; another that comes later."""
+    path = scratch_path(spark, "evolve")
+    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    third = F.col("p_partkey") % 3
+    append_typed(parts.filter(third == 0).select("p_partkey", F.col("p_size").cast("int").alias("value")), path)
+    append_typed(parts.filter(third == 1).select(
+        "p_partkey", (F.col("p_size") + F.lit(3_000_000_000)).alias("value"), F.lit("second").alias("note")), path)
+    append_typed(parts.filter(third == 2).select("p_partkey", F.col("p_retailprice").alias("value")), path)
+    return scan_typed(spark, path)
+
+
 def insert_values(spark: SparkSession, sf: str) -> DataFrame:
     noon = datetime(2024, 2, 6, 12)
     manual = {
@@ -674,6 +745,7 @@ QUERIES = {
         layout_by_day, layout_by_year, stored_lookup, stored_lookup_by_id, insert_stored, silver_partial_merge,
         csv_roundtrip, insert_values, ensure_table, catalog_scan, build_dimension, stream_upsert,
         silver_incremental, silver_incremental_forecast, stream_lookback, stream_gold, dim_category_partials,
-        dim_city_partials, load_counts, pages_loaded,
+        dim_city_partials, load_counts, pages_loaded, fact_bucketed, upsert_bucketed, fact_lookup_merge,
+        silver_forecast_merge, evolve_types,
     )
 } | {"dim_lookup": dim_lookup_city, "target_list": targets}
