@@ -27,6 +27,7 @@ SHARD_ROWS = 2048
 SHARDS_AT_ONCE = 4
 QUERY_ROWS = 256
 LEAF = 64
+AT_ONCE = 1 << 14  # scores that are taken before the bars are raised
 
 _NODE = np.dtype([("begin", "<i4"), ("end", "<i4"), ("children", "<i4"), ("last", "<i4"), ("centre", "<i4"), ("radius", "<f8")])
 _PACK = pa.schema([(n, pa.binary()) for n in ("ids", "labels", "cells", "tree", "windows")] + [("width", pa.int32())])
@@ -111,10 +112,10 @@ class _Shard:
             self.vectors = np.pad(self.vectors, ((0, 0), (0, width - self.vectors.shape[1])))
         self.centres = self.vectors[self.nodes["centre"]].astype(np.float64)
 
-    def bounds(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(least, most) inner product with any point below each node, with room for rounding."""
-        square, radius = float(query @ query), self.nodes["radius"]
-        product = self.centres @ query
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(least, most) inner product of each query with any point below each node, with room for rounding."""
+        square, radius = (queries * queries).sum(axis=1)[:, None], self.nodes["radius"][None, :]
+        product = queries @ self.centres.T
         far = np.sqrt(np.maximum(square + self.longest - 2 * product, 0.0))
         reach = np.sqrt(square) * radius
         half = (square + self.longest) / 2
@@ -125,54 +126,79 @@ class _Shard:
 
 
 class _Wanted:
-    """The best ``k`` scores of one query inside each of its windows."""
-
-    def __init__(self, windows: np.ndarray, k: int):
-        self.low, self.high, self.k = windows[:, 0], windows[:, 1], k
-        self.found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
-        self.bar = self.low.copy()  # what a score has to reach
-        self.top = float(self.high.max()) if len(windows) else 0.0
-
-    def open(self, least: float, most: float) -> bool:
-        return bool(((most >= self.bar) & (least <= self.high) & (self.low <= self.high)).any())
-
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        for i, high in enumerate(self.high):
-            take = (scores >= self.bar[i]) & (scores <= high)
-            if not take.any():
-                continue
-            score = np.concatenate([self.found[i][0], scores[take]])
-            key = np.concatenate([self.found[i][1], ids[take]])
-            best = np.lexsort((key, ~score))[:self.k]
-            self.found[i] = score[best], key[best]
-            if len(best) == self.k:
-                self.bar[i] = score[best[-1]]
+    """The best ``k`` scores inside each window of each query of a block."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, k: int):
+        self.low, self.high, self.k = low, high, k
+        self.bar = low.copy()  # what a score has to reach
+        self.of, self.score, self.found = (np.zeros(0, np.int64) for _ in range(3))
+        self.new, self.size = [], 0
+
+    def open(self, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Which queries may want a point whose score lies within the bounds?"""
+        inside = (most[:, None] >= self.bar) & (least[:, None] <= self.high) & (self.low <= self.high)
+        return inside.any(axis=1)
+
+    def add(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray, fit: np.ndarray) -> None:
+        """Scores of points (rows) for some of the queries (columns), where they fit."""
+        for window in range(self.low.shape[1]):
+            take = fit & (scores >= self.bar[queries, window]) & (scores <= self.high[queries, window])
+            point, query = np.nonzero(take)
+            if len(point):
+                self.new.append((queries[query] * self.low.shape[1] + window, scores[point, query], ids[point]))
+                self.size += len(point)
+        if self.size >= AT_ONCE:
+            self.settle()
+
+    def settle(self) -> None:
+        """Keep the best and raise the bars."""
+        of, score, found = (np.concatenate(p) for p in zip((self.of, self.score, self.found), *self.new))
+        order = np.lexsort((found, ~score, of))
+        of, score, found = of[order], score[order], found[order]
+        start = np.searchsorted(of, np.arange(self.bar.size))
+        kept = np.arange(len(of)) - start[of] < self.k
+        self.of, self.score, self.found = of[kept], score[kept], found[kept]
+        counts = np.bincount(self.of, minlength=self.bar.size)
+        full = counts == self.k
+        self.bar.reshape(-1)[full] = self.score[(np.cumsum(counts) - 1)[full]]
+        self.new, self.size = [], 0
+
+
+def descend(shards: list[_Shard], ids: np.ndarray, labels: np.ndarray, queries: np.ndarray, wanted: _Wanted, same: bool) -> None:
+    """Best-first through the trees of all shards, for a block of queries at once.
+
+    The next node is the one with the highest bound for any query that is open to it, and
+    only those queries go on below it. Points of a leaf are scored by one product.
+    """
+    exact = queries.astype(np.float64)
+    bounds = [shard.bounds(exact) for shard in shards]
+    heap = []
 
+    def push(i, at):
+        least, most = bounds[i][0][:, at], bounds[i][1][:, at]
+        open_ = wanted.open(least, most)
+        if open_.any():
+            heapq.heappush(heap, (-float(most[open_].max()), i, at))
 
-def descend(shards: list[_Shard], number: int, label: int, query: np.ndarray, wanted: _Wanted, same: bool) -> None:
-    """Best-first through the trees of all shards at once."""
-    exact = query.astype(np.float64)
-    bounds = [shard.bounds(exact) for shard in shards]
-    heap = [(-min(most[0], wanted.top), i, 0) for i, (least, most) in enumerate(bounds) if wanted.open(least[0], most[0])]
-    heapq.heapify(heap)
+    for i in range(len(shards)):
+        push(i, 0)
     while heap:
         _, i, at = heapq.heappop(heap)
-        shard, (least, most) = shards[i], bounds[i]
-        if not wanted.open(least[at], most[at]):
+        shard, node = shards[i], shards[i].nodes[at]
+        own = np.flatnonzero(wanted.open(bounds[i][0][:, at], bounds[i][1][:, at]))
+        if not len(own):
             continue
-        node = shard.nodes[at]
         if node["children"]:
             for child in range(node["children"], node["last"]):
-                if wanted.open(least[child], most[child]):
-                    heapq.heappush(heap, (-min(most[child], wanted.top), i, child))
+                push(i, child)
             continue
         part = slice(node["begin"], node["end"])
-        ids = shard.ids[part]
-        fit = np.flatnonzero(((shard.labels[part] == label) == same) & (ids != number))
-        if len(fit):
-            vectors = shard.vectors[part][fit]
-            kind = np.float64 if exact_kind(query[None, :], vectors) != np.int64 else np.int64
-            wanted.add((vectors.astype(kind) @ query.astype(kind)).astype(np.int64), ids[fit])
+        vectors, points = shard.vectors[part], shard.ids[part]
+        kind = np.float64 if exact_kind(queries[own], vectors) != np.int64 else np.int64
+        scores = (vectors.astype(kind) @ queries[own].astype(kind).T).astype(np.int64)
+        fit = ((shard.labels[part][:, None] == labels[own]) == same) & (points[:, None] != ids[own])
+        wanted.add(own, scores, points, fit)
+    wanted.settle()
 
 
 def _pack_shards(batches, scale, rows):
@@ -225,13 +251,15 @@ def _search(batches, k, same):
             for shard in shards:
                 shard.meet(most)
             sizes, windows = np.frombuffer(windows[:8 * len(ids)], "<i8"), np.frombuffer(windows[8 * len(ids):], "<i8").reshape(-1, 2)
-            out, ends = [], np.cumsum(sizes)
-            for i, query in enumerate(queries):
-                wanted = _Wanted(windows[ends[i] - sizes[i]:ends[i]], k)
-                descend(shards, int(ids[i]), int(labels[i]), query, wanted, same)
-                out += [(ids[i], w, key, score) for w, (scores, keys) in enumerate(wanted.found) for score, key in zip(scores, keys)]
-            if out:
-                yield arrow_batch(_FOUND, *map(list, zip(*out)))
+            # Queries with fewer windows than others get empty ones.
+            nth = np.arange(len(windows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            low = np.ones((len(ids), int(sizes.max(initial=1))), np.int64)
+            high = np.zeros_like(low)
+            low[np.repeat(np.arange(len(ids)), sizes), nth], high[np.repeat(np.arange(len(ids)), sizes), nth] = windows.T
+            wanted = _Wanted(low, high, k)
+            descend(shards, ids, labels, queries, wanted, same)
+            query, window = np.divmod(wanted.of, low.shape[1])
+            yield arrow_batch(_FOUND, pa.array(ids[query]), pa.array(window.astype(np.int32)), pa.array(wanted.found), pa.array(wanted.score))
 
 
 def _nearest(shards: DataFrame, blocks: DataFrame, k: int, same: bool) -> DataFrame:
