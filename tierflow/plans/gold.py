@@ -173,7 +173,7 @@ def fact_with_lookups(
     )
 
 
-# Columns that the older fact merge overwrites when a key is matched.
+# The columns that the older fact merge overwrites when a key is matched.
 FACT_LOOKUP_UPDATES = [
     "city_id", "aqi", "aqi_id", "main_pollutant", "pollutant_val", "weather_condition",
     "temp_val", "humidity_val", "wind_val", "wind_dir", "alert", "load_ts",

@@ -41,43 +41,56 @@ def _clean_a(year=f"year({_AT})"):
     return f"try_strptime(observation_ts || ', ' || CAST({year} AS VARCHAR), '%H:%M, %b %d, %Y')"
 
 
-_USABLE = "observation_ts != 'N/A' AND NOT (observation_ts LIKE 'Air%')"
-
-SA = FA + f""", sa0 AS (SELECT lower({_trim('province')}) AS province, lower({_trim('city')}) AS city,
- {_clean_a()} AS event_ts, TRY_CAST(regexp_replace(aqi, '[^\\d]', '', 'g') AS INTEGER) AS aqi_val,
- aqi_status, main_pollutant, {_num('concentration')} AS pollutant_val, weather AS weather_condition,
- {_num('temperature')} AS temp_val, {_num('humidity', 'INTEGER')} AS humidity_val,
- {_num('wind_speed')} AS wind_val, wind_direction AS wind_dir, alert, {_AT} AS scraped_ts
- FROM fa WHERE {_USABLE}),
- sa AS (SELECT upper(md5(city || strftime(event_ts, '%Y-%m-%d %H:%M:%S.%g'))) AS id, * FROM sa0
- QUALIFY row_number() OVER (PARTITION BY city, event_ts ORDER BY scraped_ts DESC) = 1)"""
-
-SF = FF + f""", sf0 AS (SELECT lower({_trim('province')}) AS province, lower({_trim('city')}) AS city,
- TRY_CAST(forecast_ts AS TIMESTAMP) AS forecast_ts,
- try_strptime(strftime({_AT}, '%Y-%m-%d') || ' ' || split_part(observation_ts, ',', 1), '%Y-%m-%d %H:%M') AS observation_ts,
- TRY_CAST(aqi AS INTEGER) AS aqi_val, weather AS weather_condition, {_num('temperature')} AS temp_val,
- {_num('wind_speed')} AS wind_val, {_num('humidity', 'INTEGER')} AS humidity_val, {_AT} AS scraped_ts
- FROM ff WHERE {_USABLE}),
- sf AS (SELECT upper(md5(city || strftime(forecast_ts, '%Y-%m-%d %H:%M:%S.%g'))) AS id, * FROM sf0
- QUALIFY row_number() OVER (PARTITION BY city, forecast_ts ORDER BY scraped_ts DESC) = 1)"""
+_USABLE = "NOT (observation_ts = 'N/A' OR starts_with(observation_ts, 'Air'))"
+_TEXT_ID = "upper(md5(city || strftime({time}, '%Y-%m-%d %H:%M:%S.%g')))"
+
+
+def _typed(name, source, time, columns):
+    """Rows with the given columns, and of each (city, time) the values that came with the last scrape."""
+    listed = ", ".join(f"{expression} AS {column}" for column, expression in columns.items())
+    packed = ", ".join(f"{column}: {column}" for column in columns if column not in ("city", time))
+    key = _TEXT_ID.format(time=time)
+    return f"""{name}0 AS (SELECT {listed} FROM {source} WHERE {_USABLE}),
+ {name}_last AS (SELECT city, {time}, arg_max({{{packed}}}, scraped_ts) AS seen FROM {name}0 GROUP BY ALL),
+ {name} AS (SELECT {key} AS id, city, {time}, unnest(seen) FROM {name}_last)"""
+
+
+_PLACES = {c: f"lower({_trim(c)})" for c in ("province", "city")}
+SA = f"{FA}, " + _typed("sa", "fa", "event_ts", _PLACES | {
+    "event_ts": _clean_a(), "aqi_val": "TRY_CAST(regexp_replace(aqi, '[^\\d]', '', 'g') AS INTEGER)",
+    "aqi_status": "aqi_status", "main_pollutant": "main_pollutant", "pollutant_val": _num("concentration"),
+    "weather_condition": "weather", "temp_val": _num("temperature"), "humidity_val": _num("humidity", "INTEGER"),
+    "wind_val": _num("wind_speed"), "wind_dir": "wind_direction", "alert": "alert", "scraped_ts": _AT})
+SF = f"{FF}, " + _typed("sf", "ff", "forecast_ts", _PLACES | {
+    "forecast_ts": "TRY_CAST(forecast_ts AS TIMESTAMP)",
+    "observation_ts": f"try_strptime(strftime({_AT}, '%Y-%m-%d') || ' ' || split_part(observation_ts, ',', 1), '%Y-%m-%d %H:%M')",
+    "aqi_val": "TRY_CAST(aqi AS INTEGER)", "weather_condition": "weather", "temp_val": _num("temperature"),
+    "wind_val": _num("wind_speed"), "humidity_val": _num("humidity", "INTEGER"), "scraped_ts": _AT})
 
 BOTH = f"{SA}, {SF}"
 PRIOR = "scraped_ts < TIMESTAMP '2024-01-20 00:00:00'"
 
 
+_SHARED = "province aqi_val weather_condition temp_val humidity_val wind_val scraped_ts".split()
+_ACTUAL_ONLY = "aqi_status main_pollutant pollutant_val wind_dir alert".split()
+
+
+def _folded(name, a, f, first):
+    """Both feeds as one list of rows, folded to one row per city and time; side ``first`` wins."""
+    second = {"a": "f", "f": "a"}[first]
+    shared = ", ".join(f"coalesce(max({c}) FILTER (side = '{first}'), max({c}) FILTER (side = '{second}')) AS {c}" for c in _SHARED)
+    only = ", ".join([*(f"max({c}) FILTER (side = 'a') AS {c}" for c in _ACTUAL_ONLY), "max(observation_ts) FILTER (side = 'f') AS observation_ts"])
+    return f"""{name} AS (SELECT city, ts, {shared}, {only} FROM (
+ SELECT 'a' AS side, event_ts AS ts, * EXCLUDE (id, event_ts) FROM {a}
+ UNION ALL BY NAME SELECT 'f' AS side, forecast_ts AS ts, * EXCLUDE (id, forecast_ts) FROM {f})
+ WHERE ts IS NOT NULL AND city IS NOT NULL GROUP BY city, ts)"""
+
+
 def _fact(name, a="sa", f="sf", limit="TIMESTAMP '2020-01-01 00:00:00'"):
-    return f"""{name}_src AS (SELECT coalesce(a.city, w.city) AS city, coalesce(w.forecast_ts, a.event_ts) AS event_ts,
- a.aqi_status, a.main_pollutant, a.pollutant_val, a.wind_dir, a.alert, w.observation_ts,
- coalesce(w.aqi_val, a.aqi_val) AS aqi, coalesce(w.weather_condition, a.weather_condition) AS weather_condition,
- coalesce(w.temp_val, a.temp_val) AS temp_val, coalesce(w.humidity_val, a.humidity_val) AS humidity_val,
- coalesce(w.wind_val, a.wind_val) AS wind_val, coalesce(w.scraped_ts, a.scraped_ts) AS scraped_ts
- FROM {a} a FULL OUTER JOIN {f} w ON a.city = w.city AND a.event_ts = w.forecast_ts
- WHERE coalesce(w.forecast_ts, a.event_ts) >= {limit}),
- {name} AS (SELECT upper(md5(city || strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f'))) AS id, upper(md5(city)) AS city_id,
- upper(md5(aqi_status)) AS aqi_id, CAST(strftime(event_ts, '%Y%m%d%H') AS BIGINT) AS date_id, aqi,
- weather_condition, temp_val, humidity_val, wind_val, pollutant_val, main_pollutant, wind_dir, alert,
- scraped_ts, observation_ts FROM {name}_src
- QUALIFY row_number() OVER (PARTITION BY city, event_ts ORDER BY scraped_ts) = 1)"""
+    return f"""{_folded(name + '_all', a, f, 'f')},
+ {name} AS (SELECT upper(md5(city || strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))) AS id, upper(md5(city)) AS city_id,
+ upper(md5(aqi_status)) AS aqi_id, CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS date_id, aqi_val AS aqi,
+ * EXCLUDE (city, ts, province, aqi_val, aqi_status) FROM {name}_all WHERE ts >= {limit})"""
 
 
 _PRIOR_SIDES = f"pa AS (SELECT * FROM sa WHERE {PRIOR}), pf AS (SELECT * FROM sf WHERE {PRIOR})"
@@ -101,10 +114,12 @@ _DATE_PARTS = """CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS id, ts AS full_date
 
 
 def _times(a="sa", f="sf", since=None):
-    bound = f"AND coalesce(w.scraped_ts, a.scraped_ts) >= {since}" if since else ""
-    return f"""SELECT coalesce(w.forecast_ts, a.event_ts) AS ts FROM {a} a FULL OUTER JOIN {f} w
- ON a.city = w.city AND a.event_ts = w.forecast_ts WHERE coalesce(w.forecast_ts, a.event_ts) IS NOT NULL {bound}
- QUALIFY row_number() OVER (PARTITION BY coalesce(w.forecast_ts, a.event_ts) ORDER BY coalesce(w.scraped_ts, a.scraped_ts) DESC) = 1"""
+    """The times in either feed; with a bound, those of pairs whose scrape, the forecast's first, is recent."""
+    recent = f"WHERE seen >= {since}" if since else ""
+    return f"""SELECT DISTINCT ts FROM (
+ SELECT ts, coalesce(max(scraped_ts) FILTER (side = 'f'), max(scraped_ts) FILTER (side = 'a')) AS seen FROM (
+ SELECT 'a' AS side, city, event_ts AS ts, scraped_ts FROM {a} UNION ALL SELECT 'f', city, forecast_ts, scraped_ts FROM {f})
+ WHERE ts IS NOT NULL GROUP BY city, ts) {recent}"""
 
 
 _ORDERS = """t AS (SELECT *, o_orderdate AS updated_ts FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
@@ -123,16 +138,23 @@ def _upsert(changed):
 
 
 def _unified(name, where="TRUE"):
-    return f"""{name}_all AS (SELECT lower({_trim('city')}) AS city, {_clean_a('2024')} AS event_ts,
- TRY_CAST(aqi AS INTEGER) AS aqi, aqi_status, main_pollutant, concentration, weather, {_num('temperature')} AS temp_c,
- {_num('humidity', 'INTEGER')} AS humidity_pct, {_num('wind_speed')} AS wind_speed_kmh, wind_direction, alert,
- {_AT} AS scraped_ts, 'aqi_index' AS data_source FROM fa WHERE {where}
- UNION ALL SELECT lower({_trim('city')}), TRY_CAST(forecast_ts AS TIMESTAMP), TRY_CAST(aqi AS INTEGER),
- NULL, NULL, NULL, weather, {_num('temperature')}, {_num('humidity', 'INTEGER')}, {_num('wind_speed')}, NULL, NULL,
- {_AT}, 'forecast_weather' FROM ff WHERE {where}),
- {name} AS (SELECT upper(md5(city || strftime(event_ts, '%Y-%m-%d %H:%M:%S.%g'))) AS silver_record_id, *
- FROM {name}_all QUALIFY row_number() OVER (PARTITION BY city, event_ts
- ORDER BY CASE WHEN data_source = 'aqi_index' THEN 1 ELSE 2 END, scraped_ts DESC) = 1)"""
+    """All rows of both feeds, and of each (city, time) the one with the best rank as a text: source, then scrape."""
+    actual = {
+        "event_ts": _clean_a("2024"), "aqi_status": "aqi_status", "main_pollutant": "main_pollutant", "concentration": "concentration",
+        "wind_direction": "wind_direction", "alert": "alert", "data_source": "'aqi_index'"}
+    forecast = dict.fromkeys(actual, "NULL") | {"event_ts": "TRY_CAST(forecast_ts AS TIMESTAMP)", "data_source": "'forecast_weather'"}
+    common = {
+        "city": f"lower({_trim('city')})", "aqi": "TRY_CAST(aqi AS INTEGER)", "weather": "weather", "temp_c": _num("temperature"),
+        "humidity_pct": _num("humidity", "INTEGER"), "wind_speed_kmh": _num("wind_speed"), "scraped_ts": _AT}
+
+    def rows(own, source):
+        return "SELECT " + ", ".join(f"{e} AS {c}" for c, e in (common | own).items()) + f" FROM {source} WHERE {where}"
+
+    packed = ", ".join(f"{c}: {c}" for c in (common | actual) if c not in ("city", "event_ts"))
+    rank = "CAST(data_source = 'aqi_index' AS INTEGER) || strftime(scraped_ts, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"""{name}_all AS ({rows(actual, 'fa')} UNION ALL {rows(forecast, 'ff')}),
+ {name}_best AS (SELECT city, event_ts, max_by({{{packed}}}, {rank}) AS best FROM {name}_all GROUP BY ALL),
+ {name} AS (SELECT {_TEXT_ID.format(time='event_ts')} AS silver_record_id, city, event_ts, unnest(best) FROM {name}_best)"""
 
 
 _UNIFIED_COLUMNS = ("city event_ts aqi aqi_status main_pollutant concentration weather temp_c humidity_pct "
@@ -153,6 +175,7 @@ def _unified_merge():
 
 
 def _compass(angle):
+    # The points of the compass, clockwise.
     turned = f"(({angle} + 180) % 360)"
     names = ["North East", "East", "South East", "South", "South West", "West", "North West"]
     cases = " ".join(
@@ -161,6 +184,7 @@ def _compass(angle):
     return f"CASE WHEN {turned} >= 337.5 OR {turned} < 22.5 THEN 'North' {cases} END"
 
 
+# Labels of the weather codes.
 _WEATHER = """MAP {'01': 'Clear Sky', '02': 'Few Clouds', '03': 'Scattered Clouds', '04': 'Broken Clouds',
  '09': 'Shower Rain', '10': 'Rain', '11': 'Thunderstorm', '13': 'Snow', '50': 'Mist/Fog'}"""
 
@@ -170,6 +194,7 @@ def _label(code, fallback):
 
 
 def _band(x):
+    # Upper limits of the bands and their names.
     return f"""CASE WHEN {x} <= 50 THEN 'Good' WHEN {x} <= 100 THEN 'Moderate'
  WHEN {x} <= 150 THEN 'Unhealthy for Sensitive Groups' WHEN {x} <= 200 THEN 'Unhealthy' ELSE 'Very Unhealthy' END"""
 
@@ -211,16 +236,8 @@ _HEADING = """CASE event_id % 7 WHEN 0 THEN 'Air quality near the city centre '
 _CLOCK = "hour(ts) || CASE WHEN event_id % 2 = 0 THEN ':' ELSE '.' END || lpad(CAST(minute(ts) AS VARCHAR), 2, '0') || ', ' || strftime(ts, '%b %-d')"
 _DIM_CITY = "SELECT DISTINCT upper(md5(city)) AS id, city, province, 'Indonesia' AS country FROM"
 _DIM_CAT = "SELECT upper(md5(aqi_status)) AS id, aqi_status AS category, min(aqi_val) AS min_val, max(aqi_val) AS max_val FROM"
-_LOOKED_UP = f"""{BOTH}, src AS (SELECT coalesce(a.city, f.city) AS city, coalesce(a.event_ts, f.forecast_ts) AS event_ts,
- coalesce(a.province, f.province) AS province,
- coalesce(a.aqi_val, f.aqi_val) AS aqi, a.aqi_status, a.main_pollutant, a.pollutant_val,
- coalesce(a.weather_condition, f.weather_condition) AS weather_condition, coalesce(a.temp_val, f.temp_val) AS temp_val,
- coalesce(a.humidity_val, f.humidity_val) AS humidity_val, coalesce(a.wind_val, f.wind_val) AS wind_val,
- a.wind_dir, a.alert, coalesce(a.scraped_ts, f.scraped_ts) AS scraped_ts, f.observation_ts
- FROM sa a FULL OUTER JOIN sf f ON a.city = f.city AND a.event_ts = f.forecast_ts),
- one AS (SELECT *, upper(md5(city || strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f'))) AS fact_id FROM src
- WHERE event_ts IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY city, event_ts ORDER BY scraped_ts DESC) = 1)"""
+_LOOKED_UP = f"""{BOTH}, {_folded('merged', 'sa', 'sf', 'a')},
+ one AS (SELECT *, ts AS event_ts, aqi_val AS aqi, upper(md5(city || strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))) AS fact_id FROM merged)"""
 
 
 def _merge_dim(old, new):
@@ -231,21 +248,13 @@ def _merge_dim(old, new):
 
 
 def _lookup_run(name, a, f, since):
-    """A run of the older fact: the feeds as one list, folded to one row per city and time."""
-    shared = ("weather_condition", "temp_val", "humidity_val", "wind_val")
-    lists = ", ".join(f"coalesce(max({c}) FILTER (side = 'a'), max({c}) FILTER (side = 'f')) AS {c}" for c in ("aqi_val", "scraped_ts", *shared))
-    only = ", ".join(f"max({c}) FILTER (side = 'a') AS {c}" for c in ("main_pollutant", "pollutant_val", "wind_dir", "alert"))
+    """A run of the older fact, with categories by bands of the index."""
     return f"""{name}_bands AS (SELECT {_band('aqi_val')} AS category, min(aqi_val) AS low, max(aqi_val) AS high FROM {a}
- WHERE aqi_val IS NOT NULL GROUP BY 1),
- {name}_rows AS (SELECT city, ts, {lists}, {only}, max(observation_ts) AS observation_ts FROM (
- SELECT 'a' AS side, city, event_ts AS ts, aqi_val, scraped_ts, {', '.join(shared)}, main_pollutant, pollutant_val, wind_dir, alert,
- NULL::TIMESTAMP AS observation_ts FROM {a}
- UNION ALL SELECT 'f', city, forecast_ts, aqi_val, scraped_ts, {', '.join(shared)}, NULL, NULL, NULL, NULL, observation_ts FROM {f})
- WHERE ts >= {since} AND city IS NOT NULL GROUP BY city, ts),
+ WHERE aqi_val IS NOT NULL GROUP BY 1), {_folded(name + '_rows', a, f, 'a')},
  {name} AS (SELECT upper(md5(r.city || strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))) AS fact_id, ts AS event_ts,
  (SELECT any_value(upper(md5(c.city))) FROM {a} c WHERE c.city = r.city) AS city_id, aqi_val AS aqi, upper(md5(b.category)) AS aqi_id,
  weather_condition, temp_val, humidity_val, wind_val, pollutant_val, main_pollutant, wind_dir, alert, scraped_ts AS load_ts, observation_ts
- FROM {name}_rows r LEFT JOIN {name}_bands b ON r.aqi_val BETWEEN b.low AND b.high)"""
+ FROM {name}_rows r LEFT JOIN {name}_bands b ON r.aqi_val BETWEEN b.low AND b.high WHERE ts >= {since})"""
 
 
 def _lookup_merge():
@@ -323,7 +332,7 @@ SQL = {
     "upsert_touch": _upsert(["updated_ts"]),
     "unified_priority": f"WITH {FA}, {FF}, {_unified('u')} SELECT * FROM u",
     "unified_merged": _unified_merge(),
-    "insert_values": f"""WITH {FA}, {FF}, {_unified('u')} SELECT * FROM u UNION ALL SELECT 'test-id-123', 'tangerang',
+    "insert_values": f"""WITH {FA}, {FF}, {_unified('u')} SELECT silver_record_id, {', '.join(_UNIFIED_COLUMNS)} FROM u UNION ALL SELECT 'test-id-123', 'tangerang',
  TIMESTAMP '2024-02-06 12:00:00', 75, 'Moderate', NULL, NULL, 'Cloudy', 30.5, 80, 15.0, NULL, NULL,
  TIMESTAMP '2024-02-06 12:00:00', 'manual_test'""",
     "union_count": f"""WITH {FA}, {FF} SELECT count(1) AS row_count FROM
@@ -348,6 +357,7 @@ SQL = {
  count(*) FILTER (u.key IS NOT NULL AND d.key IS NULL) AS orphan_rows
  FROM u LEFT JOIN d ON u.fk = d.fk AND u.key = d.key GROUP BY u.fk""",
     "category_band": f"WITH {SA} SELECT id, aqi_val, {_band('(aqi_val * 2)')} AS aqi_category FROM sa",
+    # The colours of the categories.
     "category_palette": f"""WITH l AS (SELECT CAST(floor(l_extendedprice / 400) AS INTEGER) AS v FROM lineitem),
  r AS (SELECT {_band('v')} AS category, min(v) AS min_val, max(v) AS max_val FROM l GROUP BY 1)
  SELECT CAST(row_number() OVER (ORDER BY min_val, category) AS INTEGER) AS aqi_range_id, *, CASE category WHEN 'Good' THEN '#00E400' WHEN 'Moderate' THEN '#FFFF00'
