@@ -22,7 +22,8 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 BORDERS = frozenset("html body table ul ol dl div section article main aside nav header footer form td th blockquote".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    # A tag that another one cuts short ends there, so no search goes on behind it.
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/><]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|(?=<)|\Z)", re.S)
 _MARK = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -50,6 +51,18 @@ def read_blocks(html: str) -> list[Block]:
     at = run = links = 0
     hidden = 0  # open elements that are not shown
     size = len(html)
+    depths: dict[str, list[int]] = {"html": [0]}  # where the elements of a name are on the stack
+    block_depths = [0]  # and where those are that are not inline
+
+    def push(tag, block):
+        depths.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            block_depths.append(len(stack))
+        stack.append((tag, block))
+
+    def last(tags):
+        """The depth of the innermost element with one of the names, the page apart."""
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
 
     def put(text):
         if not hidden and text:
@@ -59,6 +72,9 @@ def read_blocks(html: str) -> list[Block]:
         nonlocal run, links, hidden
         for _ in range(count):
             tag, _ = stack.pop()
+            depths[tag].pop()
+            if tag not in INLINE:
+                block_depths.pop()
             hidden -= tag in UNSHOWN
             links -= tag == "a"
             run += tag not in INLINE
@@ -76,12 +92,10 @@ def read_blocks(html: str) -> list[Block]:
             continue
         tag = found[2].lower()
         if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    close(len(stack) - depth)
-                    break
-                if tag in INLINE and stack[depth][0] not in INLINE:
-                    break
+            depth = last((tag,))
+            # The end of an inline element does not reach out of a block.
+            if depth and not (tag in INLINE and block_depths[-1] > depth):
+                close(len(stack) - depth)
             continue
         if tag == "br":
             put(" ")
@@ -91,12 +105,10 @@ def read_blocks(html: str) -> list[Block]:
             continue
         ended = ("p",) if tag in ENDS_PARAGRAPH else ENDS.get(tag, ())
         if ended:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in ended:
-                    close(len(stack) - depth)
-                    if tag in ENDS_PARAGRAPH:
-                        break
-                elif stack[depth][0] in BORDERS:
+            border = last(BORDERS.difference(ended))
+            while (depth := last(ended)) > border:
+                close(len(stack) - depth)
+                if tag in ENDS_PARAGRAPH:
                     break
         if tag == "body":
             while stack[-1][0] == "head":
@@ -107,20 +119,20 @@ def read_blocks(html: str) -> list[Block]:
             if tag == "textarea":
                 put(inside)
         if tag in INLINE:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             links += tag == "a"
             continue
         run += 1
         hidden += tag in UNSHOWN
         if hidden:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             continue
         marks = " ".join(a or b or c for a, b, c in _MARK.findall(found[3]))
         blocks.append(Block(tag, marks, stack[-1][1]))
-        stack.append((tag, len(blocks) - 1))
+        push(tag, len(blocks) - 1)
     return blocks
 
 
 def shown(texts: list[str]) -> str:
-    """The texts as one line: references decoded, white space folded."""
-    return " ".join(unescape("".join(texts)).split())
+    """The texts as one line: references decoded in each by itself, white space folded."""
+    return " ".join("".join(map(unescape, texts)).split())
