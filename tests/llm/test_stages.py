@@ -79,3 +79,9 @@ def test_pipeline(spark):
     assert max(Counter(r.doc_id for r in got).values()) <= 3
     for row in got:
         assert row.ids == library.encode_ordinary(texts[row.doc_id]) and row.n_tokens == len(row.ids)
+
+
+def test_language_stage_without_labels(documents):
+    docs = documents((1, "some words"), (2, None), (3, "!!!"), (3, "!!!"), (None, ""))
+    got = stages.keep_language(docs)
+    assert got.columns == docs.columns and as_rows(got) == as_rows(docs)

@@ -165,7 +165,12 @@ def held_out(key: str = "doc_id") -> F.Column:
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and more of every row, learned from the other rows' labels."""
+    """doc_id, held_out, lang_pred, score and more of every row, learned from the other rows' labels.
+
+    Null texts and texts without a letter are ``und`` with score 0, and so is everything if no
+    row is labelled. A null key counts as the empty text when rows are held out. Repeated rows
+    count each, in learning too. An empty table gives no rows.
+    """
     languages = learn_languages(docs.filter(~held_out()))
     rows = docs.select(docs.doc_id.cast("long").alias("doc_id"), held_out().alias("held_out"), docs.text)
     return identify(rows, languages, keep=["doc_id", "held_out"])

@@ -26,7 +26,12 @@ def _key(name: str) -> F.Column:
 
 
 def keep_language(docs: DataFrame) -> DataFrame:
-    """Drop documents in no known language: without a letter, or unlike every learned one."""
+    """Drop documents in no known language: without a letter, null and empty ones too, or unlike every learned one.
+
+    Repeated rows are judged alike. Without any labelled document no language is known and
+    nothing can be rejected: all rows stay, those without a letter too. An empty table stays
+    empty. Other columns pass through under their names.
+    """
     languages = learn_languages(docs.filter(~held_out()))
     inner, names = _inner_names(docs)
     told = identify(inner, languages, text=names["text"])
@@ -60,7 +65,12 @@ def _chosen(docs: DataFrame, marks: DataFrame, mark: Callable[[dict[str, str]],
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """One row of each group of equal texts stays: the longest, then the one with the smallest key."""
+    """One row of each group of equal texts stays: the longest, then the one with the smallest key.
+
+    Null and empty texts, and those of white space only, are one group. Keys may be null, the
+    largest then, or stand on several rows; of equal rows one stays. An empty table stays
+    empty. Other columns pass through under their names.
+    """
     decided = stored(exact_dedup(docs), "decided")
     # A key may stand on several rows; the kept row is the one with the kept length.
     length = F.concat(_key("doc_id"), F.lit(" "), "text_sha256", F.lit(" "), F.col("n_chars").cast("string")).alias("mark")
