@@ -19,7 +19,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; texts without a letter and gibberish go."""
+    """Documents in a known language; texts without a letter and gibberish go. Without labels all stay."""
     ship_package(spark)
     return stages.keep_language(docs)
 
@@ -37,7 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the target weights of their sources ask for."""
+    """The documents as often as the target weights of their sources ask for; null is a source, and an empty text has size 0."""
     ship_package(spark)
     return stages.mix(docs)
 

@@ -118,11 +118,11 @@ def upsert(
 
     match = [F.col(k) == F.col(f"_s_{k}") for k in keys]
     joined = old.join(new, [*match, F.col("_t_spread") == F.col("_s_spread")], "full")
-    inserted = F.col("_t_here").isNull()
-    update = _is_update(newer_by)
+    joined = joined.withColumns({
+        "_inserted": F.col("_t_here").isNull(), "_taken": F.col("_t_here").isNull() | _is_update(newer_by)})
 
     def merged(name: str) -> Column:
-        take = (inserted | update) if name in changed else inserted
+        take = F.col("_taken" if name in changed else "_inserted")
         return F.when(take, F.col(f"_s_{name}")).otherwise(F.col(name)).alias(name)
 
     return joined.select(*[merged(c) for c in columns])
@@ -152,9 +152,9 @@ def upsert_in_place(
         source = unique_or_fail(spread_null_keys(source, keys, "_spread"), keys, "_spread").drop("_spread")
     new = source.select(*[F.col(c).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_s_here"))
     joined = target.join(new, [F.col(k) == F.col(f"_s_{k}") for k in keys], "left")
-    update = _is_update(newer_by)
+    joined = joined.withColumn("_s_wins", _is_update(newer_by))
     updated = joined.select(*[
-        F.when(update, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
+        F.when(F.col("_s_wins"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
         for c in columns
     ])
     # Of the target's keys only those of the source are left, once each.

@@ -41,8 +41,8 @@ def forget(spark: SparkSession, path: str) -> None:
 
 def record_batch(spark: SparkSession, path: str, batch: str, high: datetime | None) -> None:
     """Note that a batch has been published; ``high`` is the latest time the batch has seen."""
-    row = spark.createDataFrame([(batch, high)], "batch string, high timestamp_ntz")
-    row = row.withColumn("published_at", F.current_timestamp()).coalesce(1)
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(batch).alias("batch"), F.lit(high).cast("timestamp_ntz").alias("high"), F.current_timestamp().alias("published_at"))
     row.write.mode("overwrite").parquet(f"{records_path(path)}/{batch}")
 
 

@@ -300,7 +300,8 @@ def upsert_table(
     batch: str,
     scope: Sequence[str] | None = None,
     combine: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None,
-    published: Callable[[DataFrame], None] | None = None,
+    published: Callable[[DataFrame, object], None] | None = None,
+    high: str | None = None,
     **options,
 ) -> None:
     """Merge a batch into a partitioned table, rewriting only the partitions it touches.
@@ -320,7 +321,8 @@ def upsert_table(
     rows unshuffled when the batch is small.
 
     ``published`` is called with all rows of the rewritten partitions once they are in
-    place. It is called again when a batch is repeated.
+    place, and with the highest value of the column ``high`` in them, which is found while
+    they are staged. It is called again when a batch is repeated.
     """
     if combine is None:
         def combine(old, new):
@@ -351,14 +353,22 @@ def upsert_table(
             merged = combine(near.select(*source.columns), source)
         else:
             merged = combine(None, source)
+        seen = Observation("staged")
+        if high is not None:
+            merged = merged.observe(seen, F.max(high).alias("high"))
         merged.write.mode("overwrite").parquet(stage)
+        top = seen.get["high"] if high is not None else None
+    elif high is not None:
+        top = spark.read.schema(source.schema).parquet(stage).agg(F.max(high)).first()[0]
+    else:
+        top = None
     merged = spark.read.schema(source.schema).parquet(stage)
     if moving and exists(spark, path):
         table = spark.read.schema(staged_schema).parquet(path)
         _drop_left_partitions(table, merged, key, partitions, scope)
     write_partitioned(merged, path, partitions, sort)
     if published is not None:
-        published(merged)
+        published(merged, top)
     drop_table(spark, stage)
     drop_table(spark, f"{stage}-rows")
 

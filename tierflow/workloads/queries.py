@@ -524,12 +524,12 @@ def stored_lookup(spark: SparkSession, sf: str) -> DataFrame:
 def stored_lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
     """Rows by the hash of their natural key: folders by its first digits, the keys pushed into the files."""
     path = tables.table_path(scratch_path(spark, "lookup"), "silver", "weather_forecast")
-    tables.write_by_key(_forecast(spark, sf), path, "id")
+    tables.write_by_key(_forecast(spark, sf), path, "id", digits=1)
     hours = F.sequence(
         F.expr("timestamp_ntz '2024-01-10 00:00:00'"), F.expr("timestamp_ntz '2024-01-12 00:00:00'"), F.expr("interval 1 hour"))
     wanted = spark.range(1).select(F.explode(hours).alias("t")).select(
         entity_hour_key(F.lit("city 3"), F.col("t"), 3).alias("id")).collect()
-    return tables.find_keys(spark, path, schemas.SILVER_FORECAST, "id", [row.id for row in wanted])
+    return tables.find_keys(spark, path, schemas.SILVER_FORECAST, "id", [row.id for row in wanted], digits=1)
 
 
 def insert_stored(spark: SparkSession, sf: str) -> DataFrame:
