@@ -64,15 +64,15 @@ class ChunkEncoder:
     def _code(self, chunk: str) -> bytes:
         if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
             return self.encode(chunk)  # letters with their blank are one match
-        codes = b""
+        codes = []
         for match in self.split(chunk):
             code = self.known.get(match) or self.older.get(match)
             if code is None:
                 code = self.encode(match)
                 if len(match) <= self.longest:
                     self.known[match] = code
-            codes += code
-        return codes
+            codes.append(code)
+        return b"".join(codes)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(text) for text in texts]
