@@ -115,7 +115,8 @@ def write_token_files(docs: DataFrame, out: str, encoder: Callable[[], Callable]
     ``encoder()`` gives, on the executor, a function from texts to arrays of ids; ``end_id``
     follows each document, null and empty ones too. The rows are dealt into shards by ranges
     of the key before they are encoded, so each is encoded once; a shard is written in parts
-    of about ``part_ids`` ids. Rows with the same key stay side by side.
+    of about ``part_ids`` ids. Rows with the same key follow each other in the order of a hash
+    of their texts, by which many rows of one key, or without one, are dealt over several shards.
     """
     def run(batches):
         encode, shard, part = encoder(), TaskContext.get().partitionId(), 0
@@ -134,8 +135,8 @@ def write_token_files(docs: DataFrame, out: str, encoder: Callable[[], Callable]
 
     schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary())])
     (
-        docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("lot"))
+        .repartitionByRange("doc_id", "lot").sortWithinPartitions("doc_id", "lot").drop("lot")
         .mapInArrow(run, FILE_SCHEMA).write.mode("overwrite").parquet(out)
     )
 
