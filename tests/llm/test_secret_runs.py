@@ -71,3 +71,43 @@ def test_near_misses_are_not_reported():
     assert found(armour(lines(CIPHER))) == []
     assert found(armour("DEK-Info: AES-128-CBC,0011\nProc-Type: 4,ENCRYPTED\n\n" + lines(CIPHER[:-3]))) == []
     assert found("AAAA\n" * 500 + "MIIB\n" * 500 + "30820101\n" * 500) == []
+
+
+def token(header='{"alg":"HS256","typ":"JWT"}'):
+    def part(data):
+        return base64.urlsafe_b64encode(data).rstrip(b"=").decode()
+
+    return ".".join((part(header.encode()), part(b'{"sub":"1234567890"}'), part(rng.randbytes(32))))
+
+
+@pytest.mark.parametrize("coder", [base64.b64encode, base64.urlsafe_b64encode, lambda b: b.hex().encode()])
+@pytest.mark.parametrize("end", ["\n", r"\n", ""])
+@pytest.mark.parametrize("kind, inner", [
+    ("pem", armour(lines(KEY))), ("pem", armour(lines(OPENSSH), name="OPENSSH PRIVATE KEY")), ("jwt", token()), ("jwt", token('{ "alg": "HS256" }')),
+])
+def test_armour_and_tokens_inside_an_encoding(kind, inner, coder, end):
+    run = lines(inner.encode(), 76, end, coder)
+    for text in (f"tls.key: {run}\nnext", f'{{"k": "{run}"}}'):
+        got = [(k, text[s:e]) for k, s, e in find_secrets(text) if k in ("pem", "der", "ssh", "jwt")]
+        assert got == [(kind, run)]
+
+
+@pytest.mark.parametrize("header", ['{"alg":"none"}', '{ "alg": "HS256"}', '{\n  "alg": "HS256"\n}', '{\r\n"alg":"HS256"}', '{\t"alg":"HS256"}'])
+def test_token_headers_of_any_spacing(header):
+    text = token(header)
+    assert [(k, s, e) for k, s, e in find_secrets("x " + text) if k == "jwt"] == [("jwt", 2, 2 + len(text))]
+
+
+def test_encoded_text_that_is_no_secret():
+    for inner in ("-----BEGIN NOTE-----\n" + "abc " * 20 + "\n-----END NOTE-----", "eyJ hello", "{}" * 40, armour(lines(KEY[:-5]))):
+        run = base64.b64encode(inner.encode()).decode()
+        assert [k for k in find_secrets(f"v: {run}\n") if k[0] in ("pem", "der", "ssh", "jwt")] == []
+
+
+@pytest.mark.parametrize("line", ["MIMA" + "A" * 60, "MIIB" + "Q" * 60, "AAAAB" + "A" * 59, "LS0tLS1CRUdJTi" + "A" * 50, "ZXlK" * 16, "308200ff" * 8])
+def test_a_megabyte_of_lines_that_could_begin_keys(line):
+    import time
+
+    start = time.perf_counter()
+    find_secrets((line + "\n") * (1_000_000 // (len(line) + 1)))
+    assert time.perf_counter() - start < 30

@@ -5,7 +5,9 @@ its encoding has been taken apart: base64 or hexadecimal text is decoded, and th
 have to be a key, i.e. nested DER lengths that add up, the length-prefixed fields of an
 SSH key, or a token whose header is JSON naming an algorithm. An encoded run may use either
 base64 alphabet or hexadecimal and go on over line breaks, written out or escaped; the key's
-own lengths tell where it ends.
+own lengths tell where it ends. Armour and signed tokens are also found inside one such
+encoding, as cluster manifests hold them. A run is read and decoded once, however many
+places in it could begin a key.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,14 +45,17 @@ DER_HEX = re.compile(r"(?<![0-9A-Fa-f])30(?:8[12])?[0-9A-Fa-f]{48,}")
 SSH = re.compile(r"(?<![A-Za-z0-9+/])AAAA[A-Za-z0-9+/]{30,}={0,2}")
 # Where an encoded key may begin, after an escaped line break too, and what may stand inside a run.
 ENDS_BREAK = r"(?<=\\n)|(?<=\\r)|(?<=\\t)"
-START = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|{ENDS_BREAK})(?=M[B-I]|AAAA|b3Bl)")
-START_HEX = re.compile(rf"(?:(?<![0-9A-Fa-f])|{ENDS_BREAK})(?=30|000000|6[Ff]70656[Ee])")
+# Keys begin so, and so do armour and the headers of tokens when they are encoded once more.
+START = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|{ENDS_BREAK})(?=M[B-I]|AAAA|b3Bl|LS0tLS1C|ZX(?:l[BJK]|d[or]|cw))")
+START_HEX = re.compile(rf"(?:(?<![0-9A-Fa-f])|{ENDS_BREAK})(?=30|000000|6[Ff]70656[Ee]|(?:2[Dd]){{5}}42|657[79])")
 PIECE = re.compile(r"([A-Za-z0-9+/_-]+)(={0,2})")
 PIECE_HEX = re.compile(r"([0-9A-Fa-f]+)()")
 BREAK = re.compile(r"\\+(?=/)|[\x20\t]*(?:\\+r)?(?:\\+n|\r?\n|\r)[\x20\t]*")
 OPENSSH = b"openssh-key-v1\0"
 KEY_TYPE = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# A header is a JSON object, with or without white space behind its first brace.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+JWT_BYTES = re.compile(rb"e[wy][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 
 
 def _decoded(text: str) -> bytes:
@@ -134,44 +140,86 @@ def is_token(text: str) -> bool:
     return named and (bool(_decoded(signature)) or head["alg"].lower() == "none")
 
 
-class Run:
-    """An encoded run from a place in a text on, joined over line breaks as far as it is asked for."""
+class Encoded:
+    """A maximal encoded run of a text, joined over line breaks, decoded at most once per alignment."""
 
     def __init__(self, text: str, start: int, coded_hex: bool):
-        self.text, self.at, self.hex = text, start, coded_hex
-        self.chars, self.data = "", b""
+        self.hex, self.unit = coded_hex, 2 if coded_hex else 4
+        self.places: dict[int, int] = {}  # start of a line in the text -> characters before it
         self.ends: dict[int, int] = {}  # characters up to the end of a line -> its place in the text
+        parts, count, at = [], 0, start
+        while piece := (PIECE_HEX if coded_hex else PIECE).match(text, at):
+            self.places[at] = count
+            parts.append(piece[1])
+            count += len(piece[1])
+            self.ends[count] = piece.end()
+            gap = None if piece[2] else BREAK.match(text, piece.end())
+            if not gap:
+                break
+            at = gap.end()
+        self.chars, self.counts = "".join(parts), list(self.ends)
+        self.decoded: dict[int, bytes] = {}
+        self.unended: dict[int, bool] = {}
+
+    def bytes_from(self, shift: int) -> bytes:
+        if shift not in self.decoded:
+            chars = self.chars[shift:]
+            whole = len(chars) // self.unit * self.unit
+            # The last one to three characters count as the end of the run.
+            rest = "" if self.hex or len(chars) % 4 == 1 else chars[whole:]
+            self.decoded[shift] = bytes.fromhex(chars[:whole]) if self.hex else _decoded(chars[:whole] + rest)
+        return self.decoded[shift]
+
+
+class Run:
+    """What an encoded run holds from one of its places on."""
+
+    def __init__(self, source: Encoded, start: int):
+        self.source, self.offset = source, source.places[start]
+        self.shift = self.offset % source.unit
+        self.whole = source.bytes_from(self.shift)
+        self.begin = (self.offset - self.shift) // source.unit * (1 if source.hex else 3)
+        self.data = memoryview(self.whole)[self.begin:]
 
     def has(self, size: int) -> bool:
         """Are there so many bytes?"""
-        if size > len(self.text) - self.at + len(self.data):
-            return False
-        if size > len(self.data) and self.at >= 0:
-            parts, count, wanted = [], len(self.chars), 2 * max(size, len(self.data))
-            while self.at >= 0 and count < wanted:
-                piece = (PIECE_HEX if self.hex else PIECE).match(self.text, self.at)
-                if not piece:
-                    self.at = -1
-                    break
-                parts.append(piece[1])
-                count += len(piece[1])
-                self.ends[count] = piece.end()
-                gap = None if piece[2] else BREAK.match(self.text, piece.end())
-                self.at = gap.end() if gap else -1
-            self.chars += "".join(parts)
-            whole = len(self.chars) // (2 if self.hex else 4) * (2 if self.hex else 4)
-            # The last one to three characters count as the end of the run.
-            rest = "" if self.hex or len(self.chars) % 4 == 1 else self.chars[whole:]
-            self.data = bytes.fromhex(self.chars[:whole]) if self.hex else _decoded(self.chars[:whole] + rest)
         return size <= len(self.data)
 
+    def _characters(self, size: int) -> int:
+        return self.offset + (2 * size if self.source.hex else -(-4 * size // 3))
+
     def end(self, size: int) -> int | None:
         """The place in the text where these bytes end together with a line, or None."""
-        return self.ends.get(2 * size if self.hex else -(-4 * size // 3))
+        return self.source.ends.get(self._characters(size))
+
+    def line_end(self, size: int) -> int:
+        """The end in the text of the line that holds the last of these bytes."""
+        counts = self.source.counts
+        return self.source.ends[counts[min(bisect_left(counts, self._characters(size)), len(counts) - 1)]]
 
     def number(self, at: int, size: int = 4) -> int | None:
         return int.from_bytes(self.data[at:at + size], "big") if self.has(at + size) else None
 
+    def starts(self, data: bytes) -> bool:
+        return self.whole.startswith(data, self.begin)
+
+    def armour(self) -> int | None:
+        """The number of bytes of the armoured key that the run begins with, or None."""
+        if self.source.unended.get(self.shift):
+            return None
+        end = self.whole.find(b"-----END ", self.begin)
+        if end < 0:
+            self.source.unended[self.shift] = True
+            return None
+        close = self.whole.find(b"-----", end + 9)
+        found = PEM.match(self.whole[self.begin:close + 5].decode("latin-1")) if close > 0 else None
+        return found.end() if found and _pem_key(found[2]) else None
+
+    def token(self) -> int | None:
+        """The number of bytes of the signed token that the run begins with, or None."""
+        found = JWT_BYTES.match(self.whole, self.begin)
+        return found.end() - found.start() if found and is_token(found[0].decode()) else None
+
 
 def _field(run: Run, at: int) -> int | None:
     """The end of the length-prefixed field at that byte, if the run has it."""
@@ -183,6 +231,12 @@ def key_at(run: Run) -> tuple[str, int] | None:
     """The kind of the key that the run begins with and its end in the text, by the key's own lengths."""
     if run.number(0, 2) is None:
         return None
+    if run.starts(b"-----BEGIN "):
+        size = run.armour()
+        return ("pem", run.line_end(size)) if size else None
+    if run.starts(b"ey") or run.starts(b"ew"):
+        size = run.token()
+        return ("jwt", run.line_end(size)) if size else None
     if run.data[0] == 0x30:
         n = run.data[1] & 0x7F if run.data[1] >= 0x80 else 0
         if n > 4 or run.data[1] == 0x80:
@@ -192,7 +246,7 @@ def key_at(run: Run) -> tuple[str, int] | None:
             return None
         end = run.end(2 + n + size)
         return ("der", end) if end and is_der_key(run.data[:2 + n + size]) else None
-    if run.has(len(OPENSSH)) and run.data.startswith(OPENSSH):
+    if run.starts(OPENSSH):
         at = len(OPENSSH)
         for _ in range(3):  # cipher, key derivation, its options
             at = _field(run, at) if at is not None else None
@@ -205,7 +259,7 @@ def key_at(run: Run) -> tuple[str, int] | None:
         end = run.end(at) if at else None
         return ("ssh", end) if end else None
     at, found = _field(run, 0), None
-    if at is None or not KEY_TYPE.fullmatch(run.data[4:at]):
+    if at is None or not KEY_TYPE.fullmatch(run.whole, run.begin + 4, run.begin + at):
         return None
     while at is not None:
         at = _field(run, at)
@@ -217,8 +271,11 @@ def key_at(run: Run) -> tuple[str, int] | None:
 def _bare_keys(text: str):
     """(kind, start, end) of the keys without armour, from either alphabet or hexadecimal, over any line breaks."""
     for starts, coded_hex in ((START, False), (START_HEX, True)):
+        source = None
         for m in starts.finditer(text):
-            key = key_at(Run(text, m.start(), coded_hex))
+            if source is None or m.start() not in source.places:
+                source = Encoded(text, m.start(), coded_hex)
+            key = key_at(Run(source, m.start())) if source.chars else None
             if key:
                 yield key[0], m.start(), key[1]
 
@@ -249,7 +306,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         found += [("pem", *m.span()) for m in PEM.finditer(text) if _pem_key(m[2])]
     if "AAAA" in text:
         found += [("ssh", *m.span()) for m in SSH.finditer(text) if is_ssh_key(_decoded(m[0]))]
-    if "eyJ" in text:
+    if "ey" in text or "ew" in text:
         found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_token(m[0])]
     inside = [(s, e) for kind, s, e in found if kind == "pem"]
     for m in DER.finditer(text) if "M" in text else ():
