@@ -8,6 +8,7 @@ from tierflow.plans import lakehouse
 from tierflow.sources import pages as pg
 from tierflow.sources.markup import Page, finished
 from tierflow.workloads import feeds
+from tierflow.workloads.queries import QUERIES
 
 FETCHED = datetime(2026, 3, 10, 22, 5, 9)
 
@@ -129,6 +130,16 @@ def test_page_info(spark):
     assert [tuple(r) for r in got] == [("id", "T & x", "Land", "Depok"), (None, None, "Indonesia", "Bogor")]
 
 
+def test_references_cut_short(spark, tmp_path):
+    html = "<html lang=\"en\"><title>A &amp; B&amp</title><body><h1>A &amp; B &am&lt;&#39;&amp</h1></body></html>"
+    got = pg.page_info(stored(spark, html)).first()
+    assert (got["title"], got["city_named"]) == ("A & B&", "A & B &am<'&")
+    spark.createDataFrame([(n, "u", html) for n in range(4)], "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet")
+    for row in QUERIES["pages_extract"](spark, str(tmp_path)).collect():
+        assert (row["title"], row["city_named"]) == ("A & B&amp", "A & B &am<'&amp")
+
+
 def test_items(spark):
     html = '<ul><li><a href="/a">A</a></li><li>none</li><li><a>B</a></li></ul>'
     items = pg.page_items(stored(spark, html)).select("pos", "href", "label", "error").collect()
