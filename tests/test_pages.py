@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tierflow import schemas
 from tierflow.plans import lakehouse
@@ -220,3 +220,26 @@ def test_page_jobs_use_all_cores(spark):
     for make in (feeds.current_pages, feeds.forecast_pages):
         pages = make(spark, "/root/testdata/sf0.01")
         assert pages.select(F.spark_partition_id().alias("p")).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def test_records_are_handed_on_in_parts(spark):
+    """However many rows an Arrow batch has, few records exist at a time."""
+    class Record(dict):
+        alive = 0
+
+        def __init__(self):
+            Record.alive += 1
+            super().__init__(alive=Record.alive)
+
+        def __del__(self):
+            Record.alive -= 1
+
+    pages = stored(spark, *["<p>"] * (4 * pg.PAGES_AT_ONCE + 3)).coalesce(1)
+    read = pg.read_pages(pages, lambda row: Record(), T.StructType().add("alive", "integer"))
+    got = read.agg(F.count("record.alive").alias("n"), F.max("record.alive").alias("most")).first()
+    assert (got["n"], got["most"]) == (4 * pg.PAGES_AT_ONCE + 3, pg.PAGES_AT_ONCE)
+
+
+def test_quarantine_returns_only_the_texts_that_failed(spark):
+    seen = pg.page_quarantine(stored(spark, "<p>x", "<![foo bar]]><p>", None), "forecast").collect()
+    assert [(r["html"], r["error"].split(":")[0]) for r in seen] == [("<![foo bar]]><p>", "AssertionError")]
