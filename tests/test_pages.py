@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -243,3 +244,33 @@ def test_records_are_handed_on_in_parts(spark):
 def test_quarantine_returns_only_the_texts_that_failed(spark):
     seen = pg.page_quarantine(stored(spark, "<p>x", "<![foo bar]]><p>", None), "forecast").collect()
     assert [(r["html"], r["error"].split(":")[0]) for r in seen] == [("<![foo bar]]><p>", "AssertionError")]
+
+
+def test_plain_markup_is_read_without_the_tokenizer(monkeypatch):
+    """Plain tags and texts give the same elements and texts, whoever reads them."""
+    class Tokenized(Page):
+        def _plain(self, html):
+            return 0
+
+    def view(kind, html):
+        try:
+            page = kind(html)
+        except AssertionError:
+            return None
+        return page.texts, [
+            (e.name, e.attrs, e.tokens, e.parent and e.parent.at, e.last, e.first_text, e.last_text) for e in page.elements]
+
+    pieces = [
+        "<p>", "</p>", '<div class="a b">', "</div>", "t", "a &amp; b", "&amp", "&", "<br>", "<br/>", '<img src="x" alt="">',
+        "<script>", "</script>", "<title>", "</title>", "<xmp>", "<!-- c -->", "<!DOCTYPE html>", "<![foo bar]]>", "<", ">",
+        '"', "='", "<a href=x", '<A HREF="q">', "</A >", '<td x="1" x="2">', "\n", "</", "&#39;", "if(a<b=\"",
+    ]
+    choice = random.Random(3)
+    for _ in range(3000):
+        html = "".join(choice.choices(pieces, k=choice.randint(1, 12)))
+        assert view(Page, html) == view(Tokenized, html), html
+
+    plain = '<!DOCTYPE html><title>a &amp; b</title><td><p class="k">1 &lt; 2</p><br></td><script>1 > 0</script>'
+    want = view(Tokenized, plain)
+    monkeypatch.setattr(Page, "feed", lambda self, html: pytest.fail("the tokenizer was used"))
+    assert view(Page, plain) == want
