@@ -12,8 +12,10 @@ shingles in each beginning, they share that many. So
    lists are merged by a heap, the long ones are probed by binary search;
 4. in the first rounds one record per component and shingle is searched for, which joins
    most of a large group with one search per record; then every pair of records in
-   different components that share a first shingle is searched. What is in one component
-   already needs no link, so no group is expanded into its pairs.
+   different components that share enough first shingles is searched. What is in one component
+   already needs no link, so no group is expanded into its pairs. Shingles with the same
+   foremost record are counted together: a block of records by its shingles is a matrix, whose
+   products are the shared ones of all pairs, and only pairs that can be linked leave the task.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tierflow.llm import bloom
 from tierflow.llm.common import arrow_batch, attach, bytes_of, slices, stored
 from tierflow.llm.components import components
 from tierflow.llm.shingles import set_hash, shingle_sets
+from tierflow.session import scratch_path
+from tierflow.sources.buckets import write_bucketed
 
 PERCENT = 80
 #: Candidates that are indexed together.
@@ -39,6 +43,10 @@ FREQUENT, FREQUENT_MOST = 24, 1 << 18
 ROUNDS = 2
 #: Shingles that linked sets share in their beginnings, or all that they have to share if that is less.
 SHARED = 8
+#: First shingles of a block of records; shingles of more records than this are counted by products.
+BLOCK, LISTED = 1 << 18, 32
+#: Sets in a bucket of the stored ones.
+SETS_AT_ONCE = 2048
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -144,28 +152,28 @@ class Order:
         return shingles[order], rank[order]
 
 
-_BUCKET = pa.schema([("bucket", pa.int64()), ("tokens", pa.binary()), ("sigs", pa.binary()), ("sizes", pa.binary())])
-_BUCKET_KIND = "bucket long, tokens binary, sigs binary, sizes binary"
-_MET = pa.schema([("token", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("often", pa.bool_())])
-_MET_KIND = "token long, sig long, n long, often boolean"
+_BUCKET = pa.schema([("bucket", pa.int64()), ("tokens", pa.binary()), ("sigs", pa.binary()), ("sizes", pa.binary()), ("places", pa.binary())])
+_BUCKET_KIND = "bucket long, tokens binary, sigs binary, sizes binary, places binary"
+_MET = pa.schema([("token", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("place", pa.int64())])
+_MET_KIND = "token long, sig long, n long, place long"
 
 
 def _deal(batches, order, buckets, width, percent):
     """First shingles by bucket, packed. The frequent ones are met for sure; they go to buckets below 0 by record."""
     seen: set[int] = set()
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
     size = 0
 
     def flush():
-        tokens, ranks, sigs, sizes = (np.concatenate(c) for c in zip(*held))
+        tokens, ranks, sigs, sizes, places = (np.concatenate(c) for c in zip(*held))
         bucket = np.where(ranks > 0, -1 - (sigs & (buckets - 1)), (tokens & np.uint64(buckets - 1)).astype(np.int64))
         by = np.argsort(bucket, kind="stable")
-        tokens, sigs, sizes, bucket = tokens[by], sigs[by], sizes[by], bucket[by]
+        tokens, sigs, sizes, places, bucket = tokens[by], sigs[by], sizes[by], places[by], bucket[by]
         borders = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
         for a, b in zip(borders, borders[1:]):
             for low in range(a, b, 1 << 16):
                 part = slice(low, min(b, low + (1 << 16)))
-                yield arrow_batch(_BUCKET, [bucket[low]], [tokens[part].tobytes()], [sigs[part].tobytes()], [sizes[part].tobytes()])
+                yield arrow_batch(_BUCKET, [bucket[low]], *([c[part].tobytes()] for c in (tokens, sigs, sizes, places)))
 
     for part in slices(batches):
         for shingles in _sets(part, 0, width):
@@ -177,7 +185,8 @@ def _deal(batches, order, buckets, width, percent):
             if len(seen) < 1_000_000:
                 seen.add(sig)
             tokens, ranks = order.first(shingles, percent)
-            held.append((tokens, ranks, np.full(len(tokens), sig, np.int64), np.full(len(tokens), len(shingles), np.int32)))
+            held.append((tokens, ranks, np.full(len(tokens), sig, np.int64), np.full(len(tokens), len(shingles), np.int32),
+                         np.arange(len(tokens), dtype=np.int32)))
             size += len(tokens)
         if size > 1 << 20:
             yield from flush()
@@ -192,14 +201,15 @@ def _meet(batches):
         tokens = np.frombuffer(b"".join(r[0] for r in rows), np.int64)
         sigs = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
         sizes = np.frombuffer(b"".join(r[2] for r in rows), np.int32).astype(np.int64)
+        places = np.frombuffer(b"".join(r[3] for r in rows), np.int32).astype(np.int64)
         order = np.lexsort((sigs, tokens))
-        tokens, sigs, sizes = tokens[order], sigs[order], sizes[order]
+        tokens, sigs, sizes, places = tokens[order], sigs[order], sizes[order], places[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (sigs[1:] != sigs[:-1])
-        tokens, sigs, sizes = tokens[new], sigs[new], sizes[new]
+        tokens, sigs, sizes, places = tokens[new], sigs[new], sizes[new], places[new]
         same = tokens[1:] == tokens[:-1]
         met = np.concatenate([[often], same | often]) | np.concatenate([same, [False]])
-        return arrow_batch(_MET, pa.array(tokens[met]), pa.array(sigs[met]), pa.array(sizes[met]), [often] * int(met.sum()))
+        return arrow_batch(_MET, *(pa.array(c[met]) for c in (tokens, sigs, sizes, places)))
 
     bucket, rows = None, []
     for batch in batches:
@@ -214,13 +224,16 @@ def _meet(batches):
 
 
 def _needed_sets(batches, wanted, bits, width):
+    """The sets of wanted records, from their representatives; other rows that pass the filter are copies."""
     schema = pa.schema([("sig", pa.int64()), ("shingles", pa.binary())])
     held = np.frombuffer(wanted.value, np.uint8)
     seen: set[int] = set()
     for part in slices(batches):
-        sets = [s for s in _sets(part, 0, width) if len(s)]
+        keyed = [(k or 0, s) for k, s in zip(part.column(0).to_pylist(), _sets(part, 1, width)) if len(s)]
+        sets = [s for _, s in keyed]
         sigs = np.array([set_hash(s) for s in sets], np.int64)
-        hit = bloom.contains(held, sigs, bits) if len(sigs) else np.zeros(0, bool)
+        own = sigs ^ np.array([k for k, _ in keyed], np.int64)
+        hit = bloom.contains(held, own, bits) if len(sigs) else np.zeros(0, bool)
         rows = []
         for sig, shingles, needed in zip(sigs.tolist(), sets, hit.tolist()):
             if needed and sig not in seen:
@@ -231,6 +244,13 @@ def _needed_sets(batches, wanted, bits, width):
             yield arrow_batch(schema, *zip(*rows))
 
 
+def _by_sig(found: DataFrame, buckets: int) -> DataFrame:
+    """The sets, once each, as a table in buckets, so that no round shuffles all of them again."""
+    path = scratch_path(found.sparkSession, "sets")
+    once = found.repartition(buckets, "sig").dropDuplicates(["sig"])
+    return write_bucketed(once, f"sets_{path.rsplit('-', 1)[1]}", path, ["sig"], buckets)
+
+
 def _search_groups(batches, percent):
     """Links of each query with the sets of its group, from rows sorted by group, the query first."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -294,19 +314,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     dealt = rows.select("text").mapInArrow(lambda b: _deal(b, order.value, buckets, width, percent), _BUCKET_KIND)
     met = stored(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, _MET_KIND), "met")
     # A record's frequent shingles lie in one bucket, so they are told apart there too.
-    enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
-    sigs = stored(met.groupBy("sig").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n")).filter(
-        F.col("shared") >= enough).select("sig", (F.col("shared") / F.col("n")).alias("strength")), "met-records")
-    bits = bloom.filter_bits(sigs.count())
-    wanted, _ = bloom.build(sigs.select("sig"), bits)
+    entries = stored(_entries(met, percent), "entries")
+    sigs = entries.groupBy("sig").agg(F.first("n").alias("n"), F.first("shared").alias("shared"))
+    sigs = stored(sigs.join(records.select("sig", "least"), "sig"), "met-records")
+    searched = sigs.count()
+    bits = bloom.filter_bits(searched)
+    representative = F.col("sig").bitwiseXOR(F.coalesce("least", F.lit(0).cast("long")))
+    wanted, _ = bloom.build(sigs.select(representative.alias("sig")), bits)
     wanted = docs.sparkSession.sparkContext.broadcast(wanted)
-    sets = stored(
-        rows.select("text").mapInArrow(lambda b: _needed_sets(b, wanted, bits, width), "sig long, shingles binary")
-        .dropDuplicates(["sig"]), "sets")
+    found = rows.mapInArrow(lambda b: _needed_sets(b, wanted, bits, width), "sig long, shingles binary")
+    sets = _by_sig(found, max(8, -(-searched // SETS_AT_ONCE)))
 
-    roots = stored(sigs.select("sig", "strength", F.col("sig").alias("root")), "roots")
+    roots = stored(sigs.select("sig", F.col("sig").alias("root")), "roots")
     for turn in range(rounds + 1):
-        placed = met.drop("often").join(roots, "sig")
+        placed = entries.join(roots, "sig") if turn else entries.withColumn("root", F.col("sig"))
         if turn < rounds:
             pairs = _star_pairs(placed, turn, percent)
         else:
@@ -318,9 +339,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         sizes = stored(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")).join(
             merged.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left").select(
                 "root", "size", F.coalesce("new", "root").alias("new")), "renamed")
-        roots = stored(attach(roots, sizes, "root", "size", max(1, count)).select("sig", "strength", F.col("new").alias("root")), "roots")
+        roots = stored(attach(roots, sizes, "root", "size", max(1, count)).select("sig", F.col("new").alias("root")), "roots")
 
-    named = stored(records.join(roots.drop("strength"), "sig", "left").select("sig", "least", "copies", "n", F.coalesce("root", "sig").alias("root")), "named")
+    named = stored(records.join(roots, "sig", "left").select("sig", "least", "copies", "n", F.coalesce("root", "sig").alias("root")), "named")
     least = stored(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size")), "least")
     known = stored(attach(named, least, "root", "size", max(1, count)).select("sig", "component_id", "copies"), "known")
     filled = documents.filter("n > 0")
@@ -334,35 +355,188 @@ def _fits(a: str, b: str, percent: int) -> F.Column:
     return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
 
 
-def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """One record per shingle and component, paired with one of them per shingle."""
+def _entries(met: DataFrame, percent: int) -> DataFrame:
+    """token, sig, n, own, shared: the first shingles by which records can be linked.
+
+    What no other record has among its first shingles and what comes before a shared one in
+    the common order, the other set cannot have at all. So ``own``, a set's size without
+    those, bounds what it shares with any record that it meets there; ``shared`` counts a
+    record's rows.
+    """
+    record = Window.partitionBy("sig")
+    own = F.col("n") - F.col("place") + F.row_number().over(record.orderBy("place")) - 1
+    kept = met.withColumn("own", own).filter(100 * F.col("own") >= percent * F.col("n"))
+    enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
+    kept = kept.withColumn("shared", F.count(F.lit(1)).over(record)).filter(F.col("shared") >= enough)
+    return kept.select("token", "sig", "n", "own", "shared")
+
+
+def _least_shared(n, m, percent: int, greatest, least, ceil):
+    """First shingles that linked sets of these sizes share at least.
+
+    Where the first of two beginnings ends, all shared shingles up to there are counted, and the
+    others lie in what that set has left; together they have to reach the overlap of linked sets.
+    """
+    def left(size):
+        required = ceil(size * percent / 100)
+        return required - least(SHARED, required)
+
+    return greatest(1, ceil((n + m) * percent / (100 + percent)) - greatest(left(n), left(m)))
+
+
+def _foremost(lot) -> F.Column:
+    """The record that speaks for a shingle."""
+    return F.min(F.struct(lot.alias("lot"), "sig", "n", "shared"))
+
+
+def _strength() -> F.Column:
     # First the record with most shared shingles for its size: the text that others were made from
-    # shares all of its own, a changed copy only what the change has left. Then eight orders by chance.
-    lot = -F.col("strength") if turn == 0 else F.xxhash64(F.pmod("token", F.lit(8)) + turn * 8, "sig")
-    chosen = F.struct(lot.alias("lot"), "sig", "n")
-    members = stored(placed.groupBy("token", "root").agg(F.min(chosen).alias("member")), "members")
-    centres = stored(members.groupBy("token").agg(F.min("member").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "centres")
-    both = attach(members, centres, "token", "size", max(1, members.count())).select(
-        F.col("centre.sig").alias("a"), F.col("member.sig").alias("b"), F.col("centre.n").alias("na"), F.col("member.n").alias("nb"))
-    return both.filter((F.col("a") != F.col("b")) & _fits("na", "nb", percent)).select("a", "b").distinct()
+    # shares all of its own, a changed copy only what the change has left.
+    return -F.col("shared") / F.col("n")
+
+
+def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One record per shingle and component, paired with one of them per shingle, if they can be linked."""
+    lot = _strength() if turn == 0 else F.xxhash64(F.lit(turn), "sig")
+    members = stored(placed.groupBy("token", "root").agg(_foremost(lot).alias("member")) if turn else placed.select(
+        "token", F.struct(lot.alias("lot"), "sig", "n", "shared").alias("member")), "members")
+    centres = members.groupBy("token").agg(F.min("member").alias("centre"), F.count(F.lit(1)).alias("size"))
+    centres = stored(centres.filter("size > 1").select("token", "centre.*", "size").withColumnsRenamed(
+        {"sig": "a", "n": "na", "shared": "all"}), "centres")
+    met = attach(members, centres, "token", "size", max(1, members.count())).select(
+        "a", "na", "all", F.col("member.sig").alias("b"), F.col("member.n").alias("nb"), F.col("member.shared").alias("shared"))
+    met = met.filter((F.col("a") != F.col("b")) & _fits("na", "nb", percent)).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("here"), *[F.first(c).alias(c) for c in ("na", "nb", "all", "shared")])
+    spoken = centres.groupBy("a").agg(F.count(F.lit(1)).alias("spoken"))
+    # They may also share shingles for which another record speaks.
+    most = F.col("here") + F.least(F.col("shared") - F.col("here"), F.col("all") - F.col("spoken"))
+    least = _least_shared(F.col("na"), F.col("nb"), percent, *_COLUMNS)
+    return met.join(spoken, "a").filter(most >= least).select("a", "b")
+
+
+_COLUMNS = (lambda a, b: F.greatest(*(F.lit(c) if isinstance(c, int) else c for c in (a, b))),
+            lambda a, b: F.least(*(F.lit(c) if isinstance(c, int) else c for c in (a, b))), F.ceil)
 
 
 def _all_pairs(placed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of records in different components that share enough first shingles and fit in size."""
+    """All pairs of records in different components that share enough first shingles and fit in size.
+
+    A shingle is counted with all others for which the same record speaks. Many records of
+    one such group are dealt into blocks, and each two blocks meet in a task.
+    """
     placed = stored(placed, "placed")
-    spread = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-    spread = stored(spread.filter("low <> high").select("token", "size"), "spread")
-    open_ = stored(attach(placed, spread, "token", "size", max(1, placed.count())).select("token", "sig", "n", "root"), "open")
-    other = open_.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    # All shingles that two records of different components share are open, so they can be counted.
-    # Where the first of two beginnings ends, all shared shingles up to there are counted, and the
-    # others lie in what that set has left; together they have to reach the overlap of linked sets.
-    def left(n):
-        required = F.ceil(F.first(n) * percent / 100)
-        return required - F.least(F.lit(SHARED), required)
-
-    overlap = F.ceil((F.first("n") + F.first("nb")) * percent / (100 + percent))
-    least = F.greatest(F.lit(1), overlap - F.greatest(left("n"), left("nb")))
-    return open_.withColumnRenamed("sig", "a").join(other, "token").filter(
-        (F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")) & _fits("n", "nb", percent)).groupBy("a", "b").agg(
-            F.count(F.lit(1)).alias("shared"), least.alias("least")).filter("shared >= least").select("a", "b")
+    spread = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
+                                         _foremost(_strength()).alias("centre"))
+    spread = stored(spread.filter("low <> high").select("token", "size", F.col("centre.sig").alias("centre")), "spread")
+    open_ = stored(attach(placed, spread, "token", "size", max(1, placed.count())).select(
+        "centre", "token", "sig", "n", "own", "shared", "root"), "open")
+    sizes = open_.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).filter("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1).cast("long"))
+    dealt = open_.join(F.broadcast(sizes), "centre", "left").withColumn("block", F.pmod(F.xxhash64("sig"), blocks))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    group = ["centre", "low", "high"]
+    dealt = dealt.select(*group, "token", "sig", "n", "own", "shared", "root", "block")
+    found = dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(
+        lambda batches: _candidates(batches, percent), "a long, b long, shared long, least long")
+    # A pair that can be linked comes from each of its groups, so this is all that they share.
+    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("least").alias("least")).filter(
+        "shared >= least").select("a", "b")
+
+
+def _numbers(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each row's number among the distinct keys in order, the first row of each)."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
+
+
+def _candidates(batches, percent):
+    """Pairs that can be linked, from rows sorted by group; some whole groups are held at a time."""
+    schema = pa.schema([(name, pa.int64()) for name in ("a", "b", "shared", "least")])
+    held: list[np.ndarray] = []
+    size = 0
+
+    def pairs(rows):
+        for found in _pairs_of_groups(rows, percent):
+            if len(found[0]):
+                yield arrow_batch(schema, *map(pa.array, found))
+
+    for batch in batches:
+        held.append(np.stack([c.to_numpy() for c in batch.columns]))
+        size += batch.num_rows
+        if size >= BLOCK // 4:
+            rows = np.concatenate(held, axis=1)
+            borders = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(axis=0)) + 1
+            cut = borders[-1] if len(borders) else 0
+            if cut:
+                yield from pairs(rows[:, :cut])
+            held, size = [rows[:, cut:].copy()], 0
+    if held:
+        rows = np.concatenate(held, axis=1)
+        if rows.shape[1]:
+            yield from pairs(rows)
+
+
+def _pairs_of_groups(rows: np.ndarray, percent: int):
+    """Arrays of records in different components that may share enough: both, what they share in a group, the least in all."""
+    centre, low, high, token, sig, n, own, shared, root, block = rows
+    group, _ = _numbers(centre, low, high)
+    member, first = _numbers(group, sig)
+    column, first_column = _numbers(group, token)
+    of, crossed = group[first], (low != high)[first]
+    sig, n, root, block, rest = sig[first], n[first], root[first], block[first], shared[first] - np.bincount(member)
+    most = np.zeros(len(first), np.int64)
+    np.maximum.at(most, member, own)
+
+    def able(a, b, count):
+        at = (root[a] != root[b]) & (count + np.minimum(rest[a], rest[b]) >= 1) & ~(crossed[a] & (block[a] == block[b]))
+        a, b, count = a[at], b[at], count[at]
+        na, nb = n[a], n[b]
+        least = _least_shared(na, nb, percent, np.maximum, np.minimum, lambda x: np.ceil(x).astype(np.int64))
+        at = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (count + np.minimum(rest[a], rest[b]) >= least)
+        at &= (100 + percent) * np.minimum(most[a], most[b]) >= percent * (na + nb)
+        a, b = sig[a[at]], sig[b[at]]
+        return np.minimum(a, b), np.maximum(a, b), count[at], least[at]
+
+    by = np.lexsort((member, column))
+    column, member = column[by], member[by]
+    # A group whose shingles all have few records is counted by lists, any other by products.
+    largest = np.zeros(of[-1] + 1, np.int64)
+    np.maximum.at(largest, group[first_column], np.bincount(column))
+    listed = largest[of[member]] <= LISTED
+    columns, members = column[listed], member[listed]
+    codes = []
+    for step in range(1, LISTED):
+        same = columns[step:] == columns[:-step]
+        if not same.any():
+            break
+        codes.append(members[:-step][same] * len(first) + members[step:][same])
+    if codes:
+        codes, counts = np.unique(np.concatenate(codes), return_counts=True)
+        yield able(codes // len(first), codes % len(first), counts)
+    borders = np.searchsorted(of, np.arange(of[-1] + 2))
+    heavy = np.flatnonzero(largest > LISTED)
+    for g in heavy.tolist():
+        inside = of[member] == g
+        columns, members = column[inside] - column[inside][0], member[inside]
+        width, by = columns[-1] + 1, np.argsort(members, kind="stable")
+        columns, members = columns[by], members[by]
+        at_once = int(np.clip((1 << 22) // width, 1, 1024))
+        starts = range(borders[g], borders[g + 1], at_once)
+
+        def matrix(start):
+            part = slice(*np.searchsorted(members, (start, start + at_once)))
+            out = np.zeros((min(at_once, borders[g + 1] - start), width), np.float32)
+            out[members[part] - start, columns[part]] = 1
+            return out
+
+        for i in starts:
+            left = matrix(i)
+            for j in range(i, borders[g + 1], at_once):
+                product = left @ (left if i == j else matrix(j)).T
+                a, b = np.nonzero(np.triu(product, 1) if i == j else product)
+                yield able(a + i, b + j, product[a, b].astype(np.int64))
