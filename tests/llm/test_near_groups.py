@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -70,3 +71,18 @@ def test_lists_and_products_find_the_same(monkeypatch):
     assert found[0] == found[1]
     assert brute_force(sets, roots) <= {(a, b) for a, b, *_ in found[0]}
     assert all(shared == len(sets[a] & sets[b]) for a, b, shared, _ in found[0])
+
+
+def test_repeated_shingles_are_found_in_little_memory():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 3, 5000):
+        tokens = rng.integers(0, 1500, size).astype(np.uint64)
+        distinct, counts = np.unique(tokens, return_counts=True)
+        found, often = near_dup.repeated(tokens.copy())
+        assert found.tolist() == distinct[counts >= 3].tolist() and often.tolist() == counts[counts >= 3].tolist()
+    tokens = rng.integers(0, 1 << 62, 1 << 20).astype(np.uint64)
+    tracemalloc.start()
+    near_dup.repeated(tokens)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < tokens.nbytes // 2

@@ -45,6 +45,8 @@ ROUNDS = 2
 SHARED = 8
 #: First shingles of a block of records; shingles of more records than this are counted by products.
 BLOCK, LISTED = 1 << 18, 32
+#: Shingles among which a task looks for frequent ones.
+DESCRIBED = 4_000_000
 #: Sets in a bucket of the stored ones.
 SETS_AT_ONCE = 2048
 
@@ -104,26 +106,37 @@ def _sets(part: pa.RecordBatch, column: int, width: int) -> list[np.ndarray]:
     return shingle_sets(bytes_of(part.column(column)), width)
 
 
+def repeated(tokens: np.ndarray, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that occur ``least`` times or more, ascending, and how often; ``tokens`` is sorted in place."""
+    tokens.sort()
+    reached = tokens[least - 1:][tokens[least - 1:] == tokens[:len(tokens) - least + 1]] if len(tokens) >= least else tokens[:0]
+    # A token that occurs k times is found at k - least + 1 places.
+    found, places = np.unique(reached, return_counts=True)
+    return found, places + least - 1
+
+
 def _describe(batches, width):
     """A row per document, and the shingles that are frequent in the partition (doc is null there)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("token", pa.int64())])
-    held, size = [], 0
+    held, size = np.empty(0, np.uint64), 0
 
     def frequent():
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-        often = counts >= 3
-        return arrow_batch(schema, [None] * int(often.sum()), pa.array(counts[often]), [None] * int(often.sum()),
-                           pa.array(tokens[often].view(np.int64)))
+        tokens, counts = repeated(held[:size])
+        return arrow_batch(schema, [None] * len(tokens), pa.array(counts), [None] * len(tokens), pa.array(tokens.view(np.int64)))
 
     for part in slices(batches):
         sets = _sets(part, 1, width)
         yield arrow_batch(schema, part.column(0), [len(s) for s in sets], [set_hash(s) for s in sets], [None] * len(sets))
-        held += sets
-        size += sum(map(len, sets))
-        if size > 4_000_000:
+        more = sum(map(len, sets))
+        if size + more > len(held):
+            held = np.concatenate([held[:size], np.empty(max(more, min(size, DESCRIBED)), np.uint64)])
+        if more:
+            held[size:size + more] = np.concatenate(sets)
+        size += more
+        if size > DESCRIBED:
             yield frequent()
-            held, size = [], 0
-    if held:
+            size = 0
+    if size:
         yield frequent()
 
 
@@ -165,7 +178,9 @@ def _deal(batches, order, buckets, width, percent):
     size = 0
 
     def flush():
-        tokens, ranks, sigs, sizes, places = (np.concatenate(c) for c in zip(*held))
+        columns = list(zip(*held))
+        held.clear()
+        tokens, ranks, sigs, sizes, places = (np.concatenate(columns.pop(0)) for _ in range(5))
         bucket = np.where(ranks > 0, -1 - (sigs & (buckets - 1)), (tokens & np.uint64(buckets - 1)).astype(np.int64))
         by = np.argsort(bucket, kind="stable")
         tokens, sigs, sizes, places, bucket = tokens[by], sigs[by], sizes[by], places[by], bucket[by]
@@ -190,7 +205,7 @@ def _deal(batches, order, buckets, width, percent):
             size += len(tokens)
         if size > 1 << 20:
             yield from flush()
-            held, size = [], 0
+            size = 0
     if held:
         yield from flush()
 
