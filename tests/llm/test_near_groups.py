@@ -6,8 +6,9 @@ import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 
-from tierflow.llm import near_dup
+from tierflow.llm import langid, near_dup
 
 
 def brute_force(sets, roots, percent=80):
@@ -86,3 +87,17 @@ def test_repeated_shingles_are_found_in_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < tokens.nbytes // 2
+
+
+def test_texts_are_read_in_small_slices():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=400)) for _ in range(512)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(512)), pa.array(texts)], ["doc_id", "text"])]
+    labelled = [pa.RecordBatch.from_arrays([pa.array(["en"] * 512), pa.array(texts)], ["lang", "text"])]
+    size = sum(map(len, texts))
+    for run in (lambda: near_dup._describe(iter(batches), 5), lambda: langid._count(iter(labelled))):
+        tracemalloc.start()
+        assert sum(out.num_rows for out in run())
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 15 * size

@@ -19,6 +19,8 @@ from tierflow.llm.common import arrow_batch, remainder, slices, texts_of
 
 BUCKETS = 1 << 14
 UNKNOWN = "und"
+#: Rows and bytes whose trigrams are held together: they take some thirty times the bytes.
+AT_ONCE = 64, 1 << 19
 # Everything that is no letter becomes a blank; bytes from 128 on are parts of letters.
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -95,7 +97,7 @@ class Languages:
 def _count(batches):
     """Trigram counts per language of a partition."""
     totals: dict[str, np.ndarray] = {}
-    for part in slices(batches):
+    for part in slices(batches, *AT_ONCE):
         buckets, ends = trigrams(texts_of(part.column(1)))
         for name, counted in zip(part.column(0).to_pylist(), np.split(buckets, ends[:-1])):
             if name not in totals:
@@ -141,7 +143,7 @@ def identify(docs: DataFrame, languages: Languages, text: str = "text", keep: li
 
     def run(batches):
         known = model.value
-        for part in slices(batches):
+        for part in slices(batches, *AT_ONCE):
             texts = texts_of(part.column(at))
             buckets, ends = trigrams(texts)
             rows = []

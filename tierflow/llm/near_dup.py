@@ -45,6 +45,8 @@ ROUNDS = 2
 SHARED = 8
 #: First shingles of a block of records; shingles of more records than this are counted by products.
 BLOCK, LISTED = 1 << 18, 32
+#: Rows and bytes of texts whose words are hashed together: they take some forty times the bytes.
+AT_ONCE = 64, 1 << 19
 #: Shingles among which a task looks for frequent ones.
 DESCRIBED = 4_000_000
 #: Sets in a bucket of the stored ones.
@@ -124,7 +126,7 @@ def _describe(batches, width):
         tokens, counts = repeated(held[:size])
         return arrow_batch(schema, [None] * len(tokens), pa.array(counts), [None] * len(tokens), pa.array(tokens.view(np.int64)))
 
-    for part in slices(batches):
+    for part in slices(batches, *AT_ONCE):
         sets = _sets(part, 1, width)
         yield arrow_batch(schema, part.column(0), [len(s) for s in sets], [set_hash(s) for s in sets], [None] * len(sets))
         more = sum(map(len, sets))
@@ -190,7 +192,7 @@ def _deal(batches, order, buckets, width, percent):
                 part = slice(low, min(b, low + (1 << 16)))
                 yield arrow_batch(_BUCKET, [bucket[low]], *([c[part].tobytes()] for c in (tokens, sigs, sizes, places)))
 
-    for part in slices(batches):
+    for part in slices(batches, *AT_ONCE):
         for shingles in _sets(part, 0, width):
             if not len(shingles):
                 continue
@@ -243,7 +245,7 @@ def _needed_sets(batches, wanted, bits, width):
     schema = pa.schema([("sig", pa.int64()), ("shingles", pa.binary())])
     held = np.frombuffer(wanted.value, np.uint8)
     seen: set[int] = set()
-    for part in slices(batches):
+    for part in slices(batches, *AT_ONCE):
         keyed = [(k or 0, s) for k, s in zip(part.column(0).to_pylist(), _sets(part, 1, width)) if len(s)]
         sets = [s for _, s in keyed]
         sigs = np.array([set_hash(s) for s in sets], np.int64)
