@@ -101,3 +101,16 @@ def test_texts_are_read_in_small_slices():
         most = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert most < 15 * size
+
+
+def test_searched_sets_are_copied_in_small_slices():
+    shingles = np.arange(4000, dtype=np.uint64).tobytes()
+    names = ["a", "chunk", "asked", "sig", "shingles"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+    rows = [(a, 0, not i, 2 * a + i, shingles) for a in range(150) for i in range(2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    tracemalloc.start()
+    links = [(r["a"], r["b"]) for out in near_dup._search_groups(iter([batch]), 80) for r in out.to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links == [(a, 2 * a + 1) for a in range(150)] and most < batch.nbytes // 2

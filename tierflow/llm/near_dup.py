@@ -277,7 +277,7 @@ def _search_groups(batches, percent):
         found = search(query, sets, percent)
         return arrow_batch(schema, [group[0]] * len(found), [sigs[i] for i in found])
 
-    for batch in batches:
+    for batch in slices(batches, *AT_ONCE):
         for a, chunk, asked, sig, shingles in zip(*(c.to_pylist() for c in batch.columns)):
             if (a, chunk) != group:
                 if sets:
