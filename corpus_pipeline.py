@@ -13,38 +13,43 @@ from pyspark.sql import DataFrame, SparkSession
 from tierflow.llm import stages
 from tierflow.llm.bpe import encode_documents
 from tierflow.llm.common import stored, table
-from tierflow.session import ship_package
+from tierflow.session import bound_batches, ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def _ready(spark: SparkSession) -> None:
+    ship_package(spark)
+    bound_batches(spark)  # every stage hands whole texts to Python
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; texts without a letter and gibberish go. Without labels all stay."""
-    ship_package(spark)
+    _ready(spark)
     return stages.keep_language(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of all documents with equal texts."""
-    ship_package(spark)
+    _ready(spark)
     return stages.drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 or more."""
-    ship_package(spark)
+    _ready(spark)
     return stages.drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the target weights of their sources ask for; null is a source, and an empty text has size 0."""
-    ship_package(spark)
+    _ready(spark)
     return stages.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and digests of ids and decoded bytes of every row."""
-    ship_package(spark)
+    _ready(spark)
     return encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 

@@ -114,3 +114,18 @@ def test_searched_sets_are_copied_in_small_slices():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert links == [(a, 2 * a + 1) for a in range(150)] and most < batch.nbytes // 2
+
+
+def test_first_shingles_are_dealt_in_small_shares():
+    numbers = np.random.default_rng(3).integers(0, 1 << 40, (8000, 400))
+    texts = (pa.array([" ".join(map(str, row)) for row in numbers[i:i + 500].tolist()]) for i in range(0, 8000, 500))
+    batches = (pa.RecordBatch.from_arrays([t], ["text"]) for t in texts)
+    order = near_dup.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    tracemalloc.start()
+    dealt, yielded = 0, 0
+    for out in near_dup._deal(batches, order, 256, 5, 80):
+        dealt, yielded = dealt + sum(len(b) // 8 for b in out.column(1).to_pylist()), yielded + 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dealt == 8000 * (396 - near_dup.least_overlap(396) + near_dup.SHARED)
+    assert most < 64_000_000 and yielded < 10

@@ -4,6 +4,10 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
+import pytest
+
+import corpus_pipeline
 from tierflow.llm import stages
 from tierflow.llm.mixing import mix_sources
 
@@ -32,3 +36,18 @@ def test_mixing_stage_takes_rows_that_share_a_key_by_themselves(documents, clash
         expected[r.doc_id, r.size] += r.repeats
     got = Counter((r.doc_id, len(r.text.split())) for r in stages.mix(docs).collect())
     assert got == +expected and len({c for (k, _), c in expected.items() if k is None}) > 1
+
+
+@pytest.mark.parametrize("stage", ["language", "near_dedup"])
+def test_stages_hand_python_bounded_batches(spark, documents, stage):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64m")
+    try:
+        docs = documents(*((i, f"{i} " + "word " * 20_000) for i in range(200))).coalesce(1)
+        dict(corpus_pipeline.STAGES)[stage](spark, docs, "")
+        taken = docs.select("text").mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"]) for b in batches), "size long").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r["size"] for r in taken) > 20_000_000 and max(r["size"] for r in taken) < 5 << 20

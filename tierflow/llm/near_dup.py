@@ -32,7 +32,7 @@ from tierflow.llm import bloom
 from tierflow.llm.common import arrow_batch, attach, bytes_of, slices, stored
 from tierflow.llm.components import components
 from tierflow.llm.shingles import set_hash, shingle_sets
-from tierflow.session import scratch_path
+from tierflow.session import bound_batches, scratch_path
 from tierflow.sources.buckets import write_bucketed
 
 PERCENT = 80
@@ -49,6 +49,8 @@ BLOCK, LISTED = 1 << 18, 32
 AT_ONCE = 64, 1 << 19
 #: Shingles among which a task looks for frequent ones.
 DESCRIBED = 4_000_000
+#: First shingles that a task deals into buckets at once: they take some hundred bytes each.
+DEALT = 1 << 18
 #: Sets in a bucket of the stored ones.
 SETS_AT_ONCE = 2048
 
@@ -187,10 +189,10 @@ def _deal(batches, order, buckets, width, percent):
         by = np.argsort(bucket, kind="stable")
         tokens, sigs, sizes, places, bucket = tokens[by], sigs[by], sizes[by], places[by], bucket[by]
         borders = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-        for a, b in zip(borders, borders[1:]):
-            for low in range(a, b, 1 << 16):
-                part = slice(low, min(b, low + (1 << 16)))
-                yield arrow_batch(_BUCKET, [bucket[low]], *([c[part].tobytes()] for c in (tokens, sigs, sizes, places)))
+        parts = [slice(low, min(b, low + (1 << 16))) for a, b in zip(borders, borders[1:]) for low in range(a, b, 1 << 16)]
+        for some in (parts[i:i + 1024] for i in range(0, len(parts), 1024)):
+            yield arrow_batch(_BUCKET, [bucket[part.start] for part in some],
+                              *([c[part].tobytes() for part in some] for c in (tokens, sigs, sizes, places)))
 
     for part in slices(batches, *AT_ONCE):
         for shingles in _sets(part, 0, width):
@@ -205,7 +207,7 @@ def _deal(batches, order, buckets, width, percent):
             held.append((tokens, ranks, np.full(len(tokens), sig, np.int64), np.full(len(tokens), len(shingles), np.int32),
                          np.arange(len(tokens), dtype=np.int32)))
             size += len(tokens)
-        if size > 1 << 20:
+        if size > DEALT:
             yield from flush()
             size = 0
     if held:
@@ -315,6 +317,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     texts are one component. Rows may repeat. A null key is never the smallest unless there
     is no other. Other columns are not read. Sets and shingles are told apart by 64-bit hashes.
     """
+    bound_batches(docs.sparkSession)  # sets of shingles are wide rows
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     described = stored(rows.mapInArrow(lambda b: _describe(b, width), "doc_id long, n long, sig long, token long"), "described")
     # A document's row has its set's hash, a frequent shingle's row has none.
