@@ -14,7 +14,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tierflow.llm import bpe, langid, secrets
-from tierflow.llm.chunks import chunks
+from tierflow.llm.chunks import ChunkEncoder, chunks
 from tierflow.llm.simple8b import block_ends, pack, unpack
 from tierflow.llm.token_files import (
     LibraryEncoder, library_encoder, read_payload, read_token_files, token_positions, write_payload, write_token_files,
@@ -254,3 +254,13 @@ def test_language_without_labels(documents):
     got = langid.identify_documents(documents((1, "some text"), (2, None))).collect()
     assert [r.lang_pred for r in got] == ["und", "und"]
     assert langid.identify_documents(documents()).count() == 0
+
+
+def test_words_with_a_stop_are_cut_without_the_pattern():
+    made, cut = [], []
+    encoder = ChunkEncoder(lambda match: made.append(match) or match.encode(), P.PATTERN)
+    split = encoder.split
+    encoder.split = lambda chunk: cut.append(chunk) or split(chunk)
+    text = "Eins, zwei zwei. zwei, drei! zwei's  ,\n é, x1. ,"
+    assert encoder([text, text]) == [text.encode()] * 2
+    assert sorted(cut) == sorted({" zwei's", " ,", " x1.", "\n", " ", ","} & set(cut)) and made.count(" zwei") == 1

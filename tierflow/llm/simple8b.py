@@ -44,8 +44,13 @@ def _selectors(widths: np.ndarray) -> np.ndarray:
     return selector
 
 
+_NARROW = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits of each value: the exponents of its two halves, which floats hold exactly."""
+    if not len(values) or values.max() < len(_NARROW):
+        return _NARROW[values.astype(np.int64)]
     low = np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1].astype(np.uint8)
     if len(values) and values.max() >> np.uint64(32):
         high = np.frexp((values >> np.uint64(32)).astype(np.float64))[1].astype(np.uint8)

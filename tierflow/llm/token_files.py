@@ -90,10 +90,14 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        tokenize, letters = self.library.model.tokenize, self.letters
-        self.by_chunks = ChunkEncoder(lambda match: array(
-            "I", [token.id for token in tokenize(match.encode().decode("latin-1").translate(letters))]
-        ).tobytes(), pattern, most=MOST_CHUNKS)
+        self.by_chunks = ChunkEncoder(self._match, pattern, most=MOST_CHUNKS)
+
+    def _match(self, match: str) -> bytes:
+        if match.isascii() and match.isprintable():  # all but the blank are their own letters
+            spelled = match.replace(" ", self.letters[32])
+        else:
+            spelled = match.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.library.model.tokenize(spelled)]).tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         whole = [any(s in text for s in self.special) for text in texts]
