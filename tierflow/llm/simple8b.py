@@ -90,11 +90,14 @@ def pack(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if s == ESCAPE:
             words[place[mine] + 1] = values[at[mine]]
             continue
-        lanes = np.arange(COUNTS[s])
-        held = padded[at[mine, None] + lanes]
-        held[lanes[None, :] >= taken[mine, None]] = 0
-        shifts = (lanes * BITS[s]).astype(np.uint64)
-        words[place[mine]] = np.bitwise_or.reduce(held << shifts, axis=1) | np.uint64(s) << np.uint64(60)
+        first, held = at[mine], taken[mine]
+        short = np.flatnonzero(held < COUNTS[s])  # words that end a block
+        own = np.full(len(first), np.uint64(s) << np.uint64(60), np.uint64)
+        for lane in range(COUNTS[s]):
+            lot = padded[first + lane]
+            lot[short[held[short] <= lane]] = 0
+            own |= lot << np.uint64(lane * BITS[s])
+        words[place[mine]] = own
     return words, place[np.searchsorted(at, starts)].astype(np.uint32)
 
 
