@@ -217,6 +217,63 @@ def test_long_reasons_are_kept_whole(spark):
     assert got.page_error == "ValueError: " + "x" * 2000
 
 
+#: What the tokenizer refuses, in an article of its own.
+REFUSED = ["<![foo bar]]>", "<![>", "<![ endif]>", "&#" + "9" * 5000 + ";", '<i title="&#' + "9" * 5000 + ';">']
+
+
+def test_no_page_is_missing_from_a_result(spark, tmp_path):
+    """Pages that a strict tokenizer refuses have their rows in results without a quarantine."""
+    page = '<html lang="en"><title>T%d</title><body>%s<h1>H%d</h1><ul><li><a href="/a">A%d</a></li></ul>'
+    htmls = [page % (n, odd, n, n) for n, odd in enumerate(["", *REFUSED])]
+    spark.createDataFrame([(n, "u", html) for n, html in enumerate(htmls)], "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet")
+    got = QUERIES["pages_extract"](spark, str(tmp_path)).orderBy("page_id").collect()
+    assert [(r.page_id, r.lang, r.title, r.city_named) for r in got] == [(n, "en", f"T{n}", f"H{n}") for n in range(6)]
+    items = QUERIES["pages_extract_items"](spark, str(tmp_path)).orderBy("page_id").collect()
+    assert [(r.page_id, r.pos, r.href, r.label) for r in items] == [(n, 0, "/a", f"A{n}") for n in range(6)]
+    for html in REFUSED:
+        with pytest.raises(pg.UNREADABLE):
+            Page(html)
+
+
+@pytest.mark.parametrize("number, sign", [
+    ("9" * 5000, "\ufffd"), ("0" * 5000 + "65", "A"), ("0" * 5000, "\ufffd"), ("0" * 5000 + "128512", "\U0001f600"), ("65", "A"),
+])
+def test_references_of_any_length(number, sign):
+    assert Page(f"<p>x&#{number};y", lenient=True).texts == [f"x{sign}y"]
+
+
+@pytest.mark.parametrize("problem", [MemoryError, KeyError, TypeError, RuntimeError, OSError])
+def test_failures_of_the_job_are_no_results(spark, monkeypatch, problem):
+    """Only what a page does to the tokenizer is put aside; other errors stop the job."""
+    def fail(*_, **__):
+        raise problem("lost")
+
+    pages = stored(spark, "<p>x")
+    with pytest.raises(Exception, match="lost"):
+        pg.read_pages(pages, fail, pg.PAGE_RECORD).collect()
+    for name in ("read_current", "read_forecast", "read_page_info", "read_items", "current_part"):
+        monkeypatch.setattr(pg, name, fail)
+    with pytest.raises(problem):
+        pg.read_both({"html": "<p>x", "fetch_hour": 1})
+    for made in (pg.current_rows(pages), pg.forecast_cells(pages), pg.page_quarantine(pages, "current"),
+                 pg.page_quarantine(pages, "forecast"), pg.page_info(pages), pg.page_items(pages)):
+        with pytest.raises(Exception, match="lost"):
+            made.collect()
+
+
+@pytest.mark.parametrize("problem", [AssertionError, ValueError])
+def test_results_without_a_quarantine_leave_out_nothing(spark, monkeypatch, problem):
+    def fail(row):
+        raise problem("lost")
+
+    for name in ("read_page_info", "read_items"):
+        monkeypatch.setattr(pg, name, fail)
+    for made in (pg.page_info(stored(spark, "<p>x")), pg.page_items(stored(spark, "<p>x"))):
+        with pytest.raises(Exception, match="lost"):
+            made.collect()
+
+
 def test_page_jobs_use_all_cores(spark):
     for make in (feeds.current_pages, feeds.forecast_pages):
         pages = make(spark, "/root/testdata/sf0.01")
